@@ -25,22 +25,18 @@ from pyspark.sql import functions as F
 
 from epipanel.session import table_path
 
-# TPC-H fixes nation at 25 and region at 5 rows; the check below still
-# counts them before broadcasting.
-DIMENSION_MAX_ROWS = 10_000
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def _bounded_dimension(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    """Broadcast a dimension table after counting it (a cheap file scan)."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``nation_key, state, country``: nation names with their region."""
+    """``nation_key, state, country``: nation names with their region.
+
+    Not hinted: the planner broadcasts a file-backed relation only when its
+    measured size is under ``spark.sql.autoBroadcastJoinThreshold`` (nation
+    and region are a few KB), and plans a shuffle join otherwise.
+    """
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
@@ -53,7 +49,7 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    geo = _bounded_dimension(geography(spark, sf_dir))
+    geo = geography(spark, sf_dir)
     placed = customer.join(geo, customer.c_nationkey == geo.nation_key).select(
         "c_custkey", "state", "country"
     )
@@ -70,7 +66,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def population(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer").select("c_nationkey", "c_acctbal")
-    geo = _bounded_dimension(geography(spark, sf_dir))
+    geo = geography(spark, sf_dir)
     return customer.join(geo, customer.c_nationkey == geo.nation_key).select(
         "state", F.floor("c_acctbal").alias("population")
     )
