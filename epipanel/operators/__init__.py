@@ -12,6 +12,13 @@ from epipanel.operators.growth import (
 from epipanel.operators.occurrence import accumulate, first_occurrence, population_rollup, relationship
 from epipanel.operators.ranking import least_infected, most_infected
 from epipanel.operators.reshape import densify, long_to_wide, wide_to_long
+from epipanel.operators.wide import (
+    wide_growth_factor,
+    wide_increment_table,
+    wide_increments,
+    wide_local_spikes,
+    wide_percent_change,
+)
 from epipanel.operators.series import (
     change_over_time,
     increments,
@@ -42,5 +49,10 @@ __all__ = [
     "population_rollup",
     "relationship",
     "shift_observed_date",
+    "wide_growth_factor",
+    "wide_increment_table",
+    "wide_increments",
+    "wide_local_spikes",
+    "wide_percent_change",
     "wide_to_long",
 ]

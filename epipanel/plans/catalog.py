@@ -29,8 +29,14 @@ from epipanel.operators import (
     population_rollup,
     relationship,
     shift_observed_date,
+    wide_growth_factor,
+    wide_increment_table,
+    wide_increments,
+    wide_local_spikes,
+    wide_percent_change,
     wide_to_long,
 )
+from epipanel.operators.growth import extreme_snapshots
 from epipanel.sources import proxies
 from epipanel.sources.files import read_observations, read_snapshot, read_wide, write_snapshot
 from epipanel.session import shared_scratch_path
@@ -224,6 +230,47 @@ def q_relationship_state(spark, sf):
     )
 
 
+# ---- the same analyses straight on wide tables (no shuffle) ---------------
+
+def _wide_user_panel(spark, sf):
+    """Stand-in wide file: the user panel pivoted to ``M/d/yy`` columns."""
+    return long_to_wide(proxies.user_panel(spark, sf), PANEL_ENTITY)
+
+
+def q_wide_growth_factor(spark, sf):
+    return wide_growth_factor(_wide_user_panel(spark, sf), PANEL_ENTITY)
+
+
+def q_wide_growth_extremes(spark, sf):
+    stats = growth_daily_stats(q_wide_growth_factor(spark, sf), PANEL_GROUP)
+    return growth_extremes(stats, PANEL_GROUP)
+
+
+def q_wide_growth_extreme_snapshots(spark, sf):
+    growth = q_wide_growth_factor(spark, sf)
+    extremes = growth_extremes(growth_daily_stats(growth, PANEL_GROUP), PANEL_GROUP)
+    return extreme_snapshots(growth, extremes, PANEL_GROUP)
+
+
+def q_wide_daily_increment(spark, sf):
+    return wide_increments(_wide_user_panel(spark, sf), PANEL_ENTITY)
+
+
+def q_wide_percent_change(spark, sf):
+    return wide_percent_change(_wide_user_panel(spark, sf), PANEL_ENTITY)
+
+
+def q_wide_local_spikes_us(spark, sf):
+    wide = long_to_wide(proxies.type_panel(spark, sf), ["combined_key"])
+    return wide_local_spikes(wide, ["combined_key"], ["combined_key"], cumulative=True)
+
+
+def q_wide_local_spikes_world(spark, sf):
+    keys = ["province", "country"]
+    wide = long_to_wide(proxies.world_panel(spark, sf), keys)
+    return wide_local_spikes(wide_increment_table(wide, keys), keys, keys)  # the original's two steps
+
+
 # ---- reshape and files -----------------------------------------------------
 
 def q_long_to_wide(spark, sf):
@@ -316,6 +363,14 @@ QUERIES: dict[str, Query] = {
     "bottom10_state": q_bottom10_state,
     "relationship_country": q_relationship_country,
     "relationship_state": q_relationship_state,
+    # wide tables, no shuffle
+    "wide_growth_factor": q_wide_growth_factor,
+    "wide_growth_extremes": q_wide_growth_extremes,
+    "wide_growth_extreme_snapshots": q_wide_growth_extreme_snapshots,
+    "wide_daily_increment": q_wide_daily_increment,
+    "wide_percent_change": q_wide_percent_change,
+    "wide_local_spikes_us": q_wide_local_spikes_us,
+    "wide_local_spikes_world": q_wide_local_spikes_world,
     # reshape and files
     "long_to_wide": q_long_to_wide,
     "wide_to_long": q_wide_to_long,

@@ -380,5 +380,19 @@ SELECT * FROM (
 }
 
 
+# The wide-table queries must give exactly the long-panel answers.
+ORACLE.update(
+    {
+        "wide_growth_factor": ORACLE["growth_factor"],
+        "wide_growth_extremes": ORACLE["growth_extremes"],
+        "wide_growth_extreme_snapshots": ORACLE["growth_extreme_snapshots"],
+        "wide_daily_increment": ORACLE["daily_increment"],
+        "wide_percent_change": ORACLE["percent_change"],
+        "wide_local_spikes_us": ORACLE["local_spikes_us"],
+        "wide_local_spikes_world": ORACLE["local_spikes_world"],
+    }
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
