@@ -40,6 +40,7 @@ from epipanel.operators.growth import extreme_snapshots
 from epipanel.sources import proxies
 from epipanel.sources.files import read_observations, read_snapshot, read_wide, write_snapshot
 from epipanel.session import shared_scratch_path
+from epipanel.streaming import observation_stream, publish, running_first_occurrence, running_totals
 
 # Fixed parameters of the stand-in queries (the test tables have nations
 # and regions where the case files have states and countries).
@@ -303,9 +304,9 @@ def q_csv_round_trip(spark, sf):
     return read_snapshot(spark, path, schema)
 
 
-def q_observations_csv(spark, sf):
-    """Observations written in the original daily-file layout (text dates
-    ``MM/dd/yyyy``, counts like ``5.0``) and parsed back."""
+def _write_original_observations(spark, sf, path: str) -> None:
+    """Observations in the original daily-file layout: text dates
+    ``MM/dd/yyyy`` and counts written like ``5.0``."""
     obs = proxies.observations(spark, sf)
     original = obs.select(
         F.lit(None).cast("string").alias("SNo"),
@@ -317,11 +318,36 @@ def q_observations_csv(spark, sf):
         F.format_string("%d.0", "deaths").alias("Deaths"),
         F.format_string("%d.0", "recovered").alias("Recovered"),
     )
-    path = shared_scratch_path(spark, "observations-csv")
     write_snapshot(original, path)
+
+
+def q_observations_csv(spark, sf):
+    """Observations written in the original daily-file layout and parsed back."""
+    path = shared_scratch_path(spark, "observations-csv")
+    _write_original_observations(spark, sf, path)
     return read_observations(spark, path)
 
 
+def _streamed(spark, sf, build):
+    """Feed the original-layout files through a file stream, a few files per
+    micro-batch, and return the published result table."""
+    source = shared_scratch_path(spark, "observation-feed")
+    _write_original_observations(spark, sf, source)
+    table = shared_scratch_path(spark, "stream-table")
+    query = publish(build(observation_stream(spark, source, max_files_per_trigger=2)), table)
+    query.awaitTermination()
+    return spark.read.parquet(table)
+
+
+def q_streaming_accum_state(spark, sf):
+    return _streamed(spark, sf, lambda s: running_totals(s, "state", STATE_ALLOW))
+
+
+def q_streaming_first_confirmed_country(spark, sf):
+    first = _streamed(spark, sf, lambda s: running_first_occurrence(s, "confirmed", "country", tie_break=["state"]))
+    return keep_entities(first, "country", COUNTRY_ALLOW)
+
+
 QUERIES: dict[str, Query] = {
     # growth family (flagship)
     "growth_factor": q_growth_factor,
@@ -376,6 +402,9 @@ QUERIES: dict[str, Query] = {
     "wide_to_long": q_wide_to_long,
     "csv_round_trip": q_csv_round_trip,
     "observations_csv": q_observations_csv,
+    # structured streaming
+    "streaming_accum_state": q_streaming_accum_state,
+    "streaming_first_confirmed_country": q_streaming_first_confirmed_country,
 }
 
 
