@@ -37,6 +37,7 @@ from epipanel.operators import (
     wide_to_long,
 )
 from epipanel.operators.growth import extreme_snapshots
+from epipanel.plans.joins import materialize
 from epipanel.sources import proxies
 from epipanel.sources.files import read_observations, read_snapshot, read_wide, write_snapshot
 from epipanel.session import shared_scratch_path
@@ -147,14 +148,15 @@ def q_cleanse_countries(spark, sf):
     return keep_entities(proxies.observations(spark, sf), "country", COUNTRY_ALLOW)
 
 
-def _first_country(spark, sf, measure):
-    first = first_occurrence(proxies.observations(spark, sf), measure, "country", tie_break=["state"])
+def _first_country(spark, sf, measure, obs=None):
+    obs = proxies.observations(spark, sf) if obs is None else obs
+    first = first_occurrence(obs, measure, "country", tie_break=["state"])
     return keep_entities(first, "country", COUNTRY_ALLOW)
 
 
-def _first_state(spark, sf, measure):
-    obs = proxies.observations(spark, sf).where(F.col("country") == STATE_COUNTRY)
-    first = first_occurrence(obs, measure, "state", tie_break=["country"])
+def _first_state(spark, sf, measure, obs=None):
+    obs = proxies.observations(spark, sf) if obs is None else obs
+    first = first_occurrence(obs.where(F.col("country") == STATE_COUNTRY), measure, "state", tie_break=["country"])
     return keep_entities(first, "state", STATE_ALLOW)
 
 
@@ -213,19 +215,22 @@ def q_bottom10_state(spark, sf):
 
 
 def q_relationship_country(spark, sf):
+    # three inputs derive from the same daily table: aggregate it once
+    obs = materialize(proxies.observations(spark, sf))
     return relationship(
-        q_first_confirmed_country(spark, sf),
-        q_first_deaths_country(spark, sf),
-        q_accum_country(spark, sf),
+        _first_country(spark, sf, "confirmed", obs),
+        _first_country(spark, sf, "deaths", obs),
+        accumulate(obs, "country", COUNTRY_ALLOW),
         "country",
     )
 
 
 def q_relationship_state(spark, sf):
+    obs = materialize(proxies.observations(spark, sf))
     return relationship(
-        q_first_confirmed_state(spark, sf),
-        q_first_deaths_state(spark, sf),
-        q_accum_state(spark, sf),
+        _first_state(spark, sf, "confirmed", obs),
+        _first_state(spark, sf, "deaths", obs),
+        accumulate(obs, "state", STATE_ALLOW),
         "state",
         population=q_population_rollup(spark, sf),
     )
