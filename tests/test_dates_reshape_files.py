@@ -87,3 +87,16 @@ def test_snapshot_writer_layout(spark):
     back = read_snapshot(spark, path, "location string, delta double, grp string, stat string")
     assert sorted(rows(back, "grp", "stat", "location", "delta")) == sorted(rows(df, "grp", "stat", "location", "delta"))
     assert back.where(F.col("grp") == "g1").count() == 2
+
+
+def test_densify_fills_every_day(spark):
+    from epipanel.operators import densify
+
+    sparse = spark.createDataFrame(
+        [("a", d("1/1/20"), 1), ("a", d("1/4/20"), 4), ("b", d("1/2/20"), 2)], "loc string, date date, value bigint"
+    )
+    dense = densify(sparse, ["loc"])
+    got = sorted(rows(dense, "loc", "date", "value"), key=str)
+    assert len(got) == 8  # 2 places x 4 days
+    assert ("a", d("1/2/20"), None) in got and ("b", d("1/4/20"), None) in got
+    assert ("a", d("1/4/20"), 4) in got

@@ -144,3 +144,13 @@ def test_zero_confirmed_gives_null_ratio(spark):
     totals = spark.createDataFrame([("X", 0, 1, 1)], "e string, total_confirmed bigint, total_deaths bigint, total_recovered bigint")
     r = relationship(first, deaths, totals, "e").first()
     assert r.case_fatality_ratio is None and r.case_recovery_ratio is None
+
+
+def test_long_allow_list_becomes_semi_join(spark, monkeypatch):
+    import epipanel.operators.entities as entities
+
+    monkeypatch.setattr(entities, "INLIST_MAX", 1)
+    got = entities.keep_entities(observations(spark), "country", COUNTRIES)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
+    assert sorted({r.country for r in got.collect()}) == ["Japan", "US"]
