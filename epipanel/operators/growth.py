@@ -12,11 +12,11 @@ six extremes. Here the whole family is one declarative plan:
 Scale notes
 * The lag window is partitioned by (group, entity); an entity holds at most
   one row per date, so no window partition grows with the data volume.
-* Per-date statistics are a hash aggregate with map-side partial
-  aggregation. The exact median uses ``percentile_disc``, whose buffer is a
-  value -> count map merged across tasks; its size is bounded by the number
-  of distinct decimal(8,2) deltas, not by the number of places, so one
-  group holding a third of all rows still aggregates in bounded memory.
+* Per-date statistics come from a ``(group, date, delta) -> count``
+  histogram, a hash aggregate combined map-side; the exact median is found
+  by a running count over one group-date's histogram rows, which number at
+  most the distinct decimal(8,2) deltas, not the places. A group holding a
+  third of all rows never lands in one task.
 * Extremes are picked with ``max``/``min`` over ``struct(stat, day)`` in one
   aggregation (no window, no sort, no driver loop); ties go to the earliest
   date, as the original's strict comparison while walking dates upwards.
@@ -107,19 +107,40 @@ def growth_daily_stats(
     """Across-entity statistics of the growth of each group and date.
 
     Output: ``group_cols..., date, median_delta, avg_delta, max_delta,
-    min_delta, n_entities``. The median is the exact lower median
-    (``percentile_disc(0.5)``): of ``1, 2, 3, 4`` it is 2, like the
-    original's quantile sketch. ``avg_delta`` is the exact decimal average
-    (6 places, HALF_UP) shown as a double.
+    min_delta, n_entities``. The median is the exact lower median (the
+    smallest delta whose cumulative share reaches one half; of ``1, 2, 3,
+    4`` it is 2, like the original's quantile sketch). ``avg_delta`` is the
+    exact decimal average (6 places, HALF_UP) shown as a double.
+
+    Computed from a value histogram, so no task ever holds a group's rows:
+    ``(group, date, delta) -> count`` is a hash aggregate combined map-side
+    and spread by the delta value itself; the running count over one
+    group-date's histogram rows (at most the distinct decimal(8,2) deltas,
+    sorted with spilling) locates the median; sums, extremes and counts come
+    from the same histogram in the same final aggregation.
     """
     group_cols = as_list(group_cols)
-    median = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{delta_col}`)")
-    return growth.groupBy(*group_cols, date_col).agg(
-        median.cast("double").alias("median_delta"),
-        F.avg(delta_col).cast("double").alias("avg_delta"),
-        F.max(delta_col).cast("double").alias("max_delta"),
-        F.min(delta_col).cast("double").alias("min_delta"),
-        F.count(F.lit(1)).alias("n_entities"),
+    keys = [*group_cols, date_col]
+    delta = F.col(delta_col)
+    hist = growth.groupBy(*keys, delta_col).agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.partitionBy(*keys).orderBy(delta_col).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*keys)
+    ranked = hist.select(
+        *keys,
+        delta,
+        F.col("_n"),
+        F.sum("_n").over(running).alias("_cum"),
+        F.sum("_n").over(whole).alias("_total"),
+    )
+    # grouped on the window's partitioning keys: no further shuffle
+    n = F.sum("_n")
+    exact_avg = (F.sum(delta * F.col("_n")) / n).cast("decimal(12,6)")
+    return ranked.groupBy(*keys).agg(
+        F.min(F.when(F.col("_cum") * 2 >= F.col("_total"), delta)).cast("double").alias("median_delta"),
+        exact_avg.cast("double").alias("avg_delta"),
+        F.max(delta).cast("double").alias("max_delta"),
+        F.min(delta).cast("double").alias("min_delta"),
+        n.alias("n_entities"),
     )
 
 
