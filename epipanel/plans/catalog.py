@@ -309,9 +309,10 @@ def q_csv_round_trip(spark, sf):
     return read_snapshot(spark, path, schema)
 
 
-def _write_original_observations(spark, sf, path: str) -> None:
+def _write_original_observations(spark, sf, path: str, by_year: bool = False) -> None:
     """Observations in the original daily-file layout: text dates
-    ``MM/dd/yyyy`` and counts written like ``5.0``."""
+    ``MM/dd/yyyy`` and counts written like ``5.0``. ``by_year`` writes one
+    folder of files per year, as a feed that grows over time would."""
     obs = proxies.observations(spark, sf)
     original = obs.select(
         F.lit(None).cast("string").alias("SNo"),
@@ -322,8 +323,12 @@ def _write_original_observations(spark, sf, path: str) -> None:
         F.format_string("%d.0", "confirmed").alias("Confirmed"),
         F.format_string("%d.0", "deaths").alias("Deaths"),
         F.format_string("%d.0", "recovered").alias("Recovered"),
+        F.year("obs_date").alias("year"),
     )
-    write_snapshot(original, path)
+    if by_year:
+        write_snapshot(original, path, partition_cols=["year"])
+    else:
+        write_snapshot(original.drop("year"), path)
 
 
 def q_observations_csv(spark, sf):
@@ -334,10 +339,10 @@ def q_observations_csv(spark, sf):
 
 
 def _streamed(spark, sf, build):
-    """Feed the original-layout files through a file stream, a few files per
-    micro-batch, and return the published result table."""
+    """Feed the original-layout files (one folder per year) through a file
+    stream, two files per micro-batch, and return the published table."""
     source = shared_scratch_path(spark, "observation-feed")
-    _write_original_observations(spark, sf, source)
+    _write_original_observations(spark, sf, source, by_year=True)
     table = shared_scratch_path(spark, "stream-table")
     query = publish(build(observation_stream(spark, source, max_files_per_trigger=2)), table)
     query.awaitTermination()
