@@ -18,8 +18,9 @@ Scale notes
   most the distinct decimal(8,2) deltas, not the places. A group holding a
   third of all rows never lands in one task.
 * Extremes are picked with ``max``/``min`` over ``struct(stat, day)`` in one
-  aggregation (no window, no sort, no driver loop); ties go to the earliest
-  date, as the original's strict comparison while walking dates upwards.
+  aggregation over the small per-date table (sort-based, as struct buffers
+  require; no window, no driver loop); ties go to the earliest date, as the
+  original's strict comparison while walking dates upwards.
 * The extremes table (six rows per group) is counted before it is
   broadcast; beyond the limit the join falls back to a shuffle join.
 """

@@ -1,10 +1,13 @@
 """First occurrences, accumulated totals and the ratios relating them.
 
-All aggregations are hash aggregates with map-side partial aggregation, so
-an entity holding a third of all rows is reduced inside every map task
-before anything is shuffled. The original's "first row per entity" window
-(which sorts each entity's rows inside one task) is replaced by
-``min(struct(date, tie-break..., value))``: same answer, no per-entity sort.
+Every aggregation combines partially on the map side, so an entity holding
+a third of all rows is reduced inside every map task before anything is
+shuffled. Totals are hash aggregates. The original's "first row per
+entity" window, which sorts all of an entity's rows inside one task, is
+replaced by ``min(struct(date, tie-break..., value))``. That is a
+sort-based aggregate (struct buffers), but each map task reduces its own
+rows to one per entity before the shuffle, so no task ever sorts a whole
+entity.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from epipanel.functions.allow_lists import US_STATES
 from epipanel.functions.columns import as_list
@@ -40,8 +44,12 @@ def first_occurrence(
     aggregation.
     """
     tie_break = [c for c in as_list(tie_break) if c not in (entity, date_col, measure)]
+    # a plain comparison on a numeric measure reaches the Parquet scan;
+    # text measures (as read from CSV) go through a tolerant cast
+    numeric = isinstance(df.schema[measure].dataType, T.NumericType)
+    has_cases = (F.col(measure) > 0) if numeric else positive(F.col(measure))
     first = (
-        df.where(positive(F.col(measure)) & F.col(date_col).isNotNull())
+        df.where(has_cases & F.col(date_col).isNotNull())
         .groupBy(entity)
         .agg(
             F.min(

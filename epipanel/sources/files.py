@@ -18,7 +18,7 @@ from epipanel.functions.columns import as_list
 from epipanel.functions.dates import parse_observation_date
 from epipanel.functions.numeric import to_count
 
-# Column names of the daily observation file (``covid_19_data.csv``).
+# Column names of the daily observation file.
 OBSERVATION_COLUMNS = (
     "SNo", "ObservationDate", "Province/State", "Country/Region",
     "Last Update", "Confirmed", "Deaths", "Recovered",
