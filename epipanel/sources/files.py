@@ -82,6 +82,8 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | str) ->
     """Read back a :func:`write_snapshot` directory with a declared schema.
 
     Partition columns come from the directory names and must be part of
-    ``schema``; declaring them keeps their types stable.
+    ``schema``; declaring them keeps their types stable. The header is
+    checked against the schema's names, so a file whose columns are in
+    another order is rejected instead of being read mislabelled.
     """
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)

@@ -100,3 +100,13 @@ def test_densify_fills_every_day(spark):
     assert len(got) == 8  # 2 places x 4 days
     assert ("a", d("1/2/20"), None) in got and ("b", d("1/4/20"), None) in got
     assert ("a", d("1/4/20"), 4) in got
+
+
+def test_snapshot_reader_rejects_misordered_schema(spark):
+    import pytest
+
+    df = spark.createDataFrame([("g1", "a", 1.5)], "grp string, location string, delta double")
+    path = shared_scratch_path(spark, "test-snap-order")
+    write_snapshot(df, path, partition_cols=["grp"])
+    with pytest.raises(Exception):
+        read_snapshot(spark, path, "delta double, location string, grp string").collect()
