@@ -140,7 +140,7 @@ def _read_countries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def main(argv: list[str] | None = None) -> None:
-    from epipanel.session import build_session
+    from epipanel.session import build_session, size_partitions_for
 
     parser = argparse.ArgumentParser(description=__doc__.split("\n\n")[0])
     parser.add_argument("--observations", required=True)
@@ -151,6 +151,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True)
     args = parser.parse_args(argv)
     spark = build_session(app_name="epipanel-report")
+    size_partitions_for(
+        spark, [args.observations, args.confirmed_us, args.deaths_us, args.confirmed_world]
+    )
     results = case_report(
         spark,
         args.observations,

@@ -24,21 +24,74 @@ BASE_CONF = {
 }
 
 
+MIB = 1024 * 1024
+# Target bytes per task: large enough to amortise task overhead, small
+# enough that a sort or hash buffer of one partition fits an executor core's
+# share of memory (a few GiB) without heavy spilling.
+TARGET_PARTITION_BYTES = 256 * MIB
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def scale_conf(input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Partition sizing for an input of ``input_bytes`` (e.g. 100 TB).
+
+    * file splits of ``target_bytes`` (``spark.sql.files.maxPartitionBytes``);
+    * shuffle partitions so that shuffling the whole input gives about
+      ``target_bytes`` per reducer, capped at ``MAX_SHUFFLE_PARTITIONS``
+      (mappers x reducers shuffle blocks must stay manageable; at 100 TB the
+      cap means ~1 GB per reducer, which sorts and aggregates spill);
+    * AQE coalesces the partitions of the many small, pre-aggregated
+      shuffles and splits skewed ones.
+    """
+    partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, -(-int(input_bytes) // target_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * MIB),
+    }
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of files under ``paths`` (Hadoop-FS metadata; no data read)."""
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(hconf).getContentSummary(path).getLength()
+    return total
+
+
+def size_partitions_for(spark: SparkSession, paths) -> dict[str, str]:
+    """Apply :func:`scale_conf` for the inputs at ``paths`` to the running
+    session, leaving every setting the submitter set explicitly untouched."""
+    explicit = spark.sparkContext.getConf()
+    chosen = {k: v for k, v in scale_conf(input_bytes(spark, paths)).items() if not explicit.contains(k)}
+    for key, value in chosen.items():
+        spark.conf.set(key, value)
+    return chosen
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "epipanel",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
     """Create (or fetch) a session with the package's base settings.
 
     ``master`` and ``shuffle_partitions`` are only for local runs and tests;
-    on a cluster leave them ``None`` so the submitter's settings win.
+    on a cluster leave them ``None`` so the submitter's settings win, or pass
+    ``input_bytes`` to size partitions with :func:`scale_conf`.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if input_bytes:
+        conf.update(scale_conf(input_bytes))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

@@ -110,3 +110,13 @@ def test_snapshot_reader_rejects_misordered_schema(spark):
     write_snapshot(df, path, partition_cols=["grp"])
     with pytest.raises(Exception):
         read_snapshot(spark, path, "delta double, location string, grp string").collect()
+
+
+def test_partition_sizing():
+    from epipanel.session import scale_conf
+
+    tb = 1024**4
+    assert scale_conf(tb)["spark.sql.shuffle.partitions"] == "4096"  # 1 TB / 256 MB
+    assert scale_conf(100 * tb)["spark.sql.shuffle.partitions"] == "100000"  # capped
+    assert scale_conf(1)["spark.sql.shuffle.partitions"] == "200"
+    assert scale_conf(tb)["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
