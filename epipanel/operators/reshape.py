@@ -11,11 +11,12 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epipanel.functions.columns import as_list
 from epipanel.functions.dates import mdy_name, parse_mdy_name
+from epipanel.functions.numeric import to_count
 
 
 def date_columns(df: DataFrame, id_cols: Sequence[str]) -> list[tuple[str, object]]:
@@ -26,6 +27,12 @@ def date_columns(df: DataFrame, id_cols: Sequence[str]) -> list[tuple[str, objec
     return sorted([(c, d) for c, d in found if d is not None], key=lambda p: p[1])
 
 
+def typed_cell(cell: Column, value_type: str) -> Column:
+    """A wide-file cell as ``value_type``; counts written ``12.0`` read as 12
+    and junk reads as null (never an error under ANSI mode)."""
+    return to_count(cell) if value_type == "bigint" else cell.try_cast(value_type)
+
+
 def wide_to_long(
     df: DataFrame,
     id_cols: Sequence[str],
@@ -48,7 +55,7 @@ def wide_to_long(
         *[
             F.struct(
                 F.lit(d).alias(date_col),
-                F.col(f"`{name}`").try_cast(value_type).alias(value_col),
+                typed_cell(F.col(f"`{name}`"), value_type).alias(value_col),
             )
             for name, d in dates
         ]

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from epipanel.functions.columns import as_list
 from epipanel.functions.numeric import fractional_change, growth_percent
-from epipanel.operators.reshape import date_columns
+from epipanel.operators.reshape import date_columns, typed_cell
 
 _ONE_DAY = _dt.timedelta(days=1)
 
@@ -46,7 +46,7 @@ class _Frame:
         self.names = [name for name, _ in dates]
         self.n = len(dates)
         self.value_type = value_type
-        self.values = F.array(*[F.col(f"`{name}`").try_cast(value_type) for name in self.names])
+        self.values = F.array(*[typed_cell(F.col(f"`{name}`"), value_type) for name in self.names])
         self.days = F.array(*[F.lit(d) for _, d in dates])
         self.follows = F.array(
             F.lit(False), *[F.lit(cur - prev == _ONE_DAY) for (_, prev), (_, cur) in zip(dates, dates[1:])]

@@ -66,3 +66,12 @@ def test_increment_table_keeps_schema(spark):
     t = wide_increment_table(w, IDS)
     assert t.columns == w.columns
     assert rows(t.where("Admin2 = 'Pima'"), "1/1/20", "1/2/20", "1/4/20", "1/5/20", "1/6/20") == [(4, 0, 4, 1, 0)]
+
+
+def test_counts_written_with_decimals(spark):
+    from epipanel.operators import wide_to_long
+
+    w = spark.createDataFrame([("x", "1.0", "3.0", "n/a")], "k string, `1/1/20` string, `1/2/20` string, `1/3/20` string")
+    assert rows(wide_to_long(w, ["k"]).orderBy("date"), "value") == [(1,), (3,), (None,)]
+    g = wide_growth_factor(w, ["k"]).orderBy("date")
+    assert [str(r.delta) for r in g.collect()] == ["200.00", "0.00"]
