@@ -6,7 +6,6 @@ from epipanel.functions.dates import (
     mdy_name,
     parse_mdy_name,
     parse_observation_date,
-    shift_days,
 )
 from epipanel.functions.numeric import (
     fractional_change,
@@ -26,6 +25,5 @@ __all__ = [
     "parse_observation_date",
     "positive",
     "ratio",
-    "shift_days",
     "to_count",
 ]

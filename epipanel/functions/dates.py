@@ -52,8 +52,3 @@ def parse_mdy_name(name: str) -> _dt.date | None:
 def mdy_name(d: _dt.date) -> str:
     """Driver-side inverse of :func:`parse_mdy_name` (``1/22/20``)."""
     return f"{d.month}/{d.day}/{d.year % 100:02d}"
-
-
-def shift_days(c, days: int) -> Column:
-    """Real calendar arithmetic: ``days`` may be negative and crosses months."""
-    return F.date_add(as_col(c), days)
