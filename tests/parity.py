@@ -29,9 +29,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v  # exact: a value hash would see the last bit
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 9)
+        return ("dec", str(v))
     if isinstance(v, (_dt.datetime, _dt.date)):
         return v.isoformat()
     if hasattr(v, "item"):  # numpy scalar
