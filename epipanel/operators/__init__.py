@@ -18,6 +18,7 @@ from epipanel.operators.wide import (
     wide_increments,
     wide_local_spikes,
     wide_percent_change,
+    wide_percent_change_table,
 )
 from epipanel.operators.series import (
     change_over_time,
@@ -54,5 +55,6 @@ __all__ = [
     "wide_increments",
     "wide_local_spikes",
     "wide_percent_change",
+    "wide_percent_change_table",
     "wide_to_long",
 ]

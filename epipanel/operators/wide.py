@@ -134,6 +134,23 @@ def wide_percent_change(wide: DataFrame, id_cols: str | Sequence[str], value_typ
     return wide.select(*_ids(id_cols), F.inline(F.transform(fr.positions(), row)))
 
 
+def wide_percent_change_table(
+    wide: DataFrame, id_cols: str | Sequence[str], value_type: str = "bigint"
+) -> DataFrame:
+    """The wide table with every date column replaced by its fractional
+    day-over-day change (same column names, decimal with 3 places), like
+    the original's percent-change generator."""
+    id_cols = as_list(id_cols)
+    fr = _Frame(wide, id_cols, value_type)
+    changes = F.transform(
+        fr.positions(), lambda i: fractional_change(F.get(fr.values, i), _previous_column(fr, i))
+    )
+    staged = wide.select(*_ids(id_cols), changes.alias("_chg"))
+    return staged.select(
+        *_ids(id_cols), *[F.get(F.col("_chg"), k).alias(name) for k, name in enumerate(fr.names)]
+    )
+
+
 def wide_local_spikes(
     wide: DataFrame,
     id_cols: str | Sequence[str],

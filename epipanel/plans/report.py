@@ -37,7 +37,7 @@ from epipanel.operators import (
     wide_growth_factor,
     wide_increment_table,
     wide_local_spikes,
-    wide_percent_change,
+    wide_percent_change_table,
 )
 from epipanel.operators.growth import extreme_snapshots
 from epipanel.sources.files import read_observations, read_wide, write_snapshot
@@ -104,8 +104,8 @@ def case_report(
         "most_infected_states": most_infected(totals_state, "state"),
         "least_infected_states": least_infected(totals_state, "state"),
         "increments_us": increments_us,
-        "percent_change_us": wide_percent_change(confirmed_us, us_ids),
-        "percent_change_of_increments_us": wide_percent_change(increments_us, us_ids),
+        "percent_change_us": wide_percent_change_table(confirmed_us, us_ids),
+        "percent_change_of_increments_us": wide_percent_change_table(increments_us, us_ids),
         "spikes_us": wide_local_spikes(confirmed_us, us_ids, ["Combined_Key"], cumulative=True),
         "spikes_world": wide_local_spikes(world, world_ids, ["Province/State", "Country/Region"], cumulative=True),
         "growth_extremes_us": extremes,

@@ -75,3 +75,17 @@ def test_counts_written_with_decimals(spark):
     assert rows(wide_to_long(w, ["k"]).orderBy("date"), "value") == [(1,), (3,), (None,)]
     g = wide_growth_factor(w, ["k"]).orderBy("date")
     assert [str(r.delta) for r in g.collect()] == ["200.00", "0.00"]
+
+
+def test_percent_change_table_keeps_schema(spark):
+    from epipanel.operators import wide_percent_change_table
+
+    w = wide_table(spark)
+    t = wide_percent_change_table(w, IDS)
+    assert t.columns == w.columns
+    got = rows(t.where("Admin2 = 'Maricopa'"), "1/1/20", "1/2/20", "1/4/20", "1/5/20", "1/6/20")
+    # 0, 2, 3, (empty), 1: the empty cell and what follows it read as 0.000
+    assert [str(x) for x in got[0]] == ["0.000", "0.000", "0.500", "0.000", "0.000"]
+    long = percent_change(wide_to_long(w, IDS), IDS)
+    same_vals = sorted(rows(long.where("Admin2 = 'Pima'").orderBy("date"), "pct_change"))
+    assert sorted((x,) for x in rows(t.where("Admin2 = 'Pima'"), *w.columns[2:])[0]) == same_vals
