@@ -196,8 +196,10 @@ def extreme_snapshots(
     """The growth rows of every place on each extreme date.
 
     Output: ``group_cols..., stat, stat_value, <growth columns>``. The
-    extremes side is materialised and counted before it is broadcast, so the
-    large growth side is scanned once and never shuffled for this join.
+    extremes side is written once to the shared checkpoint folder and
+    counted. Within ``max_broadcast_rows`` it is broadcast and the large
+    growth side is not shuffled for this join; beyond it Spark plans a
+    shuffle join instead.
     """
     group_cols = as_list(group_cols)
     small = extremes.select(
