@@ -216,22 +216,7 @@ GROUP BY {s_keys}"""
 
 
 def _first(measure: str, entity: str, tie: str, where: str = "", allow: str = "", target: str = "") -> str:
-    conds = [f"{measure} > 0"]
-    if where:
-        conds.append(where)
-    outer = []
-    if allow:
-        outer.append(f"{entity} IN ({allow})")
-    if target:
-        outer.append(f"contains({entity}, '{target}')")
-    outer_where = ("WHERE " + " AND ".join(outer)) if outer else ""
-    return _with(OBS) + f"""
-SELECT {entity}, first_{measure}_date, {measure} FROM (
-  SELECT {entity}, obs_date AS first_{measure}_date, {measure},
-         row_number() OVER (PARTITION BY {entity}
-                            ORDER BY obs_date, {tie} NULLS FIRST, {measure}) AS rn
-  FROM obs WHERE {' AND '.join(conds)}
-) t WHERE rn = 1 {('AND ' + ' AND '.join(outer)) if outer else ''}"""
+    return _with(OBS, _first_cte("f", measure, entity, tie, where, allow, target)) + "SELECT * FROM f"
 
 
 def _accum(entity: str, allow: str, suffix: str = "") -> str:
@@ -258,15 +243,23 @@ def _ratio(n: str, d: str) -> str:
     return f"CAST(round(CAST(CAST({q} AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE)"
 
 
-def _first_cte(name: str, measure: str, entity: str, tie: str, where: str, allow: str) -> str:
+def _first_cte(
+    name: str, measure: str, entity: str, tie: str, where: str = "", allow: str = "", target: str = ""
+) -> str:
+    """Earliest positive row per entity by (date, tie-break nulls first, measure)."""
     conds = [f"{measure} > 0"] + ([where] if where else [])
+    outer = ["rn = 1"]
+    if allow:
+        outer.append(f"{entity} IN ({allow})")
+    if target:
+        outer.append(f"contains({entity}, '{target}')")
     return f"""
 {name} AS (
   SELECT {entity}, first_{measure}_date, {measure} FROM (
     SELECT {entity}, obs_date AS first_{measure}_date, {measure},
            row_number() OVER (PARTITION BY {entity} ORDER BY obs_date, {tie} NULLS FIRST, {measure}) AS rn
     FROM obs WHERE {' AND '.join(conds)}
-  ) t WHERE rn = 1 AND {entity} IN ({allow})
+  ) t WHERE {' AND '.join(outer)}
 )"""
 
 
