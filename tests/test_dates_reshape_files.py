@@ -120,3 +120,27 @@ def test_partition_sizing():
     assert scale_conf(100 * tb)["spark.sql.shuffle.partitions"] == "100000"  # capped
     assert scale_conf(1)["spark.sql.shuffle.partitions"] == "200"
     assert scale_conf(tb)["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
+
+
+def test_long_to_wide_with_fixed_dates(spark):
+    long = spark.createDataFrame(
+        [("a", d("1/22/20"), 1), ("a", d("1/24/20"), 3), ("a", d("1/25/20"), 9)], "loc string, date date, value bigint"
+    )
+    # the schema is fixed by the list: 1/23/20 exists (empty), 1/25/20 is left out
+    wide = long_to_wide(long, ["loc"], dates=[d("1/22/20"), d("1/23/20"), d("1/24/20")])
+    assert wide.columns == ["loc", "1/22/20", "1/23/20", "1/24/20"]
+    assert rows(wide, "1/22/20", "1/23/20", "1/24/20") == [(1, None, 3)]
+
+
+def test_bad_inputs_are_rejected(spark):
+    import pytest
+
+    from epipanel.operators import like_entity, wide_growth_factor
+
+    no_dates = spark.createDataFrame([("a", 1)], "k string, n int")
+    with pytest.raises(ValueError):
+        wide_to_long(no_dates, ["k"])
+    with pytest.raises(ValueError):
+        wide_growth_factor(no_dates, ["k"])
+    with pytest.raises(ValueError):
+        like_entity(no_dates, "k", "a", how="prefix")

@@ -1,7 +1,8 @@
-"""Whole snapshot files of the original's committed output, recomputed.
+"""Whole growth snapshots published by the original, recomputed.
 
-Fixed values: two committed Arizona snapshot files (county, count on the
-previous day, count on the day, growth delta), transcribed as they are.
+Fixed values: two Arizona growth snapshots of the original's results
+(county, count on the previous day, count on the day, growth delta),
+transcribed as they are.
 """
 
 from decimal import Decimal
