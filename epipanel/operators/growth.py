@@ -47,6 +47,10 @@ EXTREMES = (
     "min",
 )
 
+# Fixed value: the original's quantile sketch has relative error 0.001,
+# i.e. percentile_approx accuracy 1/0.001.
+SKETCH_ACCURACY = 1000
+
 # statistic column and direction of each extreme
 _EXTREME_SPEC = {
     "greatest_median": ("median_delta", "greatest"),
@@ -104,6 +108,7 @@ def growth_daily_stats(
     group_cols: str | Sequence[str] = (),
     date_col: str = "date",
     delta_col: str = "delta",
+    median: str = "exact",
 ) -> DataFrame:
     """Across-entity statistics of the growth of each group and date.
 
@@ -119,10 +124,27 @@ def growth_daily_stats(
     group-date's histogram rows (at most the distinct decimal(8,2) deltas,
     sorted with spilling) locates the median; sums, extremes and counts come
     from the same histogram in the same final aggregation.
+
+    ``median="sketch"`` uses the original's quantile sketch instead
+    (``percentile_approx`` with relative error 0.001): one aggregation whose
+    buffer has a fixed size however many distinct deltas a group-date has.
+    It equals the exact lower median whenever the sketch is exact (every
+    group of up to several hundred places), and is within the sketch's rank
+    error beyond that.
     """
     group_cols = as_list(group_cols)
     keys = [*group_cols, date_col]
     delta = F.col(delta_col)
+    if median == "sketch":
+        return growth.groupBy(*keys).agg(
+            F.percentile_approx(delta, 0.5, SKETCH_ACCURACY).cast("double").alias("median_delta"),
+            F.avg(delta).cast("double").alias("avg_delta"),
+            F.max(delta).cast("double").alias("max_delta"),
+            F.min(delta).cast("double").alias("min_delta"),
+            F.count(F.lit(1)).alias("n_entities"),
+        )
+    if median != "exact":
+        raise ValueError("median must be 'exact' or 'sketch'")
     hist = growth.groupBy(*keys, delta_col).agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(*keys).orderBy(delta_col).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)

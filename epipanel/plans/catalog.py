@@ -71,6 +71,11 @@ def q_growth_daily_stats(spark, sf):
     return growth_daily_stats(q_growth_factor(spark, sf), PANEL_GROUP)
 
 
+def q_growth_daily_stats_sketch(spark, sf):
+    """Per-date statistics with the original's quantile sketch for the median."""
+    return growth_daily_stats(q_growth_factor(spark, sf), PANEL_GROUP, median="sketch")
+
+
 def q_growth_extremes(spark, sf):
     return growth_extremes(q_growth_daily_stats(spark, sf), PANEL_GROUP)
 
@@ -362,6 +367,7 @@ QUERIES: dict[str, Query] = {
     # growth family (flagship)
     "growth_factor": q_growth_factor,
     "growth_daily_stats": q_growth_daily_stats,
+    "growth_daily_stats_sketch": q_growth_daily_stats_sketch,
     "growth_extremes": q_growth_extremes,
     "growth_extreme_snapshots": q_growth_extreme_snapshots,
     "growth_factor_of_increment": q_growth_factor_of_increment,

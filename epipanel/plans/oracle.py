@@ -376,6 +376,8 @@ SELECT * FROM (
 # The wide-table queries must give exactly the long-panel answers.
 ORACLE.update(
     {
+        # the sketch is exact for groups of this size (30 / 300 places)
+        "growth_daily_stats_sketch": ORACLE["growth_daily_stats"],
         "wide_growth_factor": ORACLE["growth_factor"],
         "wide_growth_extremes": ORACLE["growth_extremes"],
         "wide_growth_extreme_snapshots": ORACLE["growth_extreme_snapshots"],

@@ -132,3 +132,12 @@ def test_unknown_extreme_rejected(spark):
     stats = spark.createDataFrame([], "grp string, date date, median_delta double")
     with pytest.raises(ValueError):
         G.growth_extremes(stats, ["grp"], which=("mode",))
+
+
+def test_sketch_median_matches_exact_on_small_groups(spark):
+    growth = G.growth_factor(panel(spark, M4), ["grp", "location"])
+    exact = G.growth_daily_stats(growth, ["grp"]).orderBy("date").collect()
+    sketch = G.growth_daily_stats(growth, ["grp"], median="sketch").orderBy("date").collect()
+    assert [tuple(r) for r in sketch] == [tuple(r) for r in exact]
+    with pytest.raises(ValueError):
+        G.growth_daily_stats(growth, ["grp"], median="mean")
