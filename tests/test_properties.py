@@ -123,3 +123,34 @@ def test_increments_and_spikes_match_definition(spark, rows, threshold):
         want.append((g, loc, high, peak))
     want.sort(key=lambda t: (-t[2], -t[3], t[0], t[1]))
     assert got == want
+
+
+wide_tables = st.tuples(
+    st.lists(st.integers(min_value=0, max_value=9), min_size=2, max_size=6, unique=True).map(sorted),
+    st.lists(st.lists(st.one_of(st.none(), st.integers(min_value=-2, max_value=30)), min_size=6, max_size=6),
+             min_size=1, max_size=4),
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(table=wide_tables)
+def test_wide_path_equals_long_path(spark, table):
+    from epipanel.operators import percent_change, wide_growth_factor, wide_increments, wide_percent_change, wide_to_long
+
+    day_offsets, cells = table
+    names = [f"{(DAY0 + dt.timedelta(days=o)).month}/{(DAY0 + dt.timedelta(days=o)).day}/20" for o in day_offsets]
+    schema = "k string, " + ", ".join(f"`{n}` string" for n in names)
+    data = [(f"p{i}", *[None if v is None else str(v) for v in row[: len(names)]]) for i, row in enumerate(cells)]
+    wide = spark.createDataFrame(data, schema)
+    long = wide_to_long(wide, ["k"])
+
+    def same(a, b):
+        cols = sorted(a.columns)
+        key = lambda t: tuple(str(x) for x in t)
+        assert sorted((tuple(r[c] for c in cols) for r in a.collect()), key=key) == sorted(
+            (tuple(r[c] for c in cols) for r in b.collect()), key=key
+        )
+
+    same(wide_growth_factor(wide, ["k"]), G.growth_factor(long, ["k"]))
+    same(wide_increments(wide, ["k"]), increments(long, ["k"]))
+    same(wide_percent_change(wide, ["k"]), percent_change(long, ["k"]))
