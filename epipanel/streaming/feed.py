@@ -57,13 +57,15 @@ def publish(
     table_path: str,
     checkpoint_path: str | None = None,
     available_now: bool = True,
+    interval: str = "1 minute",
 ) -> StreamingQuery:
     """Run a streaming aggregation and keep ``table_path`` (Parquet) equal to
     its complete current result.
 
     ``available_now`` processes every file present and stops (a scheduled
-    catch-up run); otherwise the query keeps running. The checkpoint lives
-    in the shared checkpoint folder unless a path is given.
+    catch-up run); otherwise the query keeps running, one micro-batch per
+    ``interval``. The checkpoint lives in the shared checkpoint folder unless
+    a path is given. State is one row per entity, so it needs no watermark.
     """
     spark = result.sparkSession
     checkpoint_path = checkpoint_path or shared_scratch_path(spark, "stream-state")
@@ -76,5 +78,5 @@ def publish(
         .option("checkpointLocation", checkpoint_path)
         .foreachBatch(write_batch)
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
