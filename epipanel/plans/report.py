@@ -128,9 +128,18 @@ def _snapshots(growth: DataFrame, extremes: DataFrame) -> DataFrame:
 
 
 def write_report(results: dict[str, DataFrame], out_dir: str, mode: str = "errorifexists") -> None:
-    """Store each result as a CSV folder with a header under ``out_dir``."""
+    """Store each result as a CSV folder with a header under ``out_dir``.
+
+    Growth snapshots go to ``state=/stat=`` folders, each file listing places
+    by their previous-day count (descending) like the original's files. The
+    order is applied within each write task: a state holding most places is
+    written by many tasks (several sorted files), never funnelled into one.
+    """
     for name, df in results.items():
-        parts = ["state", "stat"] if name == "growth_snapshots_us" else []
+        parts: list[str] = []
+        if name == "growth_snapshots_us":
+            parts = ["state", "stat"]
+            df = df.sortWithinPartitions("state", "stat", F.col("prev_value").desc(), "location")
         write_snapshot(df, f"{out_dir.rstrip('/')}/{name}", partition_cols=parts, mode=mode)
 
 
