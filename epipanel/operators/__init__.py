@@ -9,7 +9,13 @@ from epipanel.operators.growth import (
     growth_extremes,
     growth_factor,
 )
-from epipanel.operators.occurrence import accumulate, first_occurrence, population_rollup, relationship
+from epipanel.operators.occurrence import (
+    accumulate,
+    first_occurrence,
+    outcome_ratios,
+    population_rollup,
+    relationship,
+)
 from epipanel.operators.ranking import least_infected, most_infected
 from epipanel.operators.reshape import densify, long_to_wide, wide_to_long
 from epipanel.operators.wide import (
@@ -46,6 +52,7 @@ __all__ = [
     "local_spikes",
     "long_to_wide",
     "most_infected",
+    "outcome_ratios",
     "percent_change",
     "population_rollup",
     "relationship",

@@ -145,3 +145,61 @@ def relationship(
         ratios.append(ratio("total_deaths", "_population").alias("mortality_ratio"))
     ratios.append(ratio("total_recovered", "total_confirmed").alias("case_recovery_ratio"))
     return joined.select(*ratios)
+
+
+def outcome_ratios(
+    obs: DataFrame,
+    entity: str,
+    allowed: Iterable[str] | DataFrame,
+    date_col: str = "obs_date",
+    tie_break: Sequence[str] = (),
+    first_where=None,
+    population: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`relationship` of first occurrences and totals, in one pass.
+
+    Same output as ``relationship(first_occurrence(confirmed),
+    first_occurrence(deaths), accumulate(...))`` but the two first dates and
+    the three totals of an entity come out of a single aggregation over the
+    recognised rows, so a large observation table is read once and nothing
+    is joined except ``population``. ``first_where`` restricts only the rows
+    that may be first occurrences (e.g. states of one country), while the
+    totals count every recognised row, as in the original.
+    """
+    tie_break = [c for c in as_list(tie_break) if c not in (entity, date_col)]
+    rows = keep_entities(obs, entity, allowed)
+    eligible = F.col(date_col).isNotNull()
+    if first_where is not None:
+        eligible = eligible & first_where
+
+    def first(measure: str):
+        numeric = isinstance(obs.schema[measure].dataType, T.NumericType)
+        has_cases = (F.col(measure) > 0) if numeric else positive(F.col(measure))
+        key = F.struct(
+            F.col(date_col).alias("d"),
+            *[F.col(c).alias(f"t{i}") for i, c in enumerate(tie_break)],
+            F.col(measure).alias("m"),
+        )
+        return F.min(F.when(has_cases & eligible, key)).alias(f"_first_{measure}")
+
+    per_entity = rows.groupBy(entity).agg(
+        first("confirmed"),
+        first("deaths"),
+        *[F.sum(m).alias(f"total_{m}") for m in MEASURES],
+    ).where(F.col("_first_confirmed").isNotNull() & F.col("_first_deaths").isNotNull())
+    cols = [
+        F.col("_first_confirmed.d").alias("first_confirmed_date"),
+        F.col("_first_confirmed.m").alias("confirmed"),
+        F.col("_first_deaths.d").alias("first_deaths_date"),
+        F.col("_first_deaths.m").alias("deaths"),
+        F.col(entity),
+        ratio("total_deaths", "total_confirmed").alias("case_fatality_ratio"),
+    ]
+    if population is not None:
+        pop = population.select(
+            F.col(population.columns[0]).alias(entity), F.col(population.columns[1]).alias("_population")
+        )
+        per_entity = per_entity.join(pop, entity, "inner")
+        cols.append(ratio("total_deaths", "_population").alias("mortality_ratio"))
+    cols.append(ratio("total_recovered", "total_confirmed").alias("case_recovery_ratio"))
+    return per_entity.select(*cols)

@@ -25,6 +25,7 @@ from epipanel.operators import (
     local_spikes,
     long_to_wide,
     most_infected,
+    outcome_ratios,
     percent_change,
     population_rollup,
     relationship,
@@ -220,17 +221,25 @@ def q_bottom10_state(spark, sf):
 
 
 def q_relationship_country(spark, sf):
-    # three inputs derive from the same daily table: aggregate it once
-    obs = materialize(proxies.observations(spark, sf))
-    return relationship(
-        _first_country(spark, sf, "confirmed", obs),
-        _first_country(spark, sf, "deaths", obs),
-        accumulate(obs, "country", COUNTRY_ALLOW),
-        "country",
-    )
+    """Two first dates and three totals per country from one aggregation."""
+    return outcome_ratios(proxies.observations(spark, sf), "country", COUNTRY_ALLOW, tie_break=["state"])
 
 
 def q_relationship_state(spark, sf):
+    return outcome_ratios(
+        proxies.observations(spark, sf),
+        "state",
+        STATE_ALLOW,
+        tie_break=["country"],
+        first_where=F.col("country") == STATE_COUNTRY,
+        population=q_population_rollup(spark, sf),
+    )
+
+
+def q_relationship_state_joined(spark, sf):
+    """The same result composed as in the original: first occurrences and
+    totals computed separately (from one materialised daily table), then
+    joined."""
     obs = materialize(proxies.observations(spark, sf))
     return relationship(
         _first_state(spark, sf, "confirmed", obs),
@@ -405,6 +414,7 @@ QUERIES: dict[str, Query] = {
     "bottom10_state": q_bottom10_state,
     "relationship_country": q_relationship_country,
     "relationship_state": q_relationship_state,
+    "relationship_state_joined": q_relationship_state_joined,
     # wide tables, no shuffle
     "wide_growth_factor": q_wide_growth_factor,
     "wide_growth_extremes": q_wide_growth_extremes,

@@ -385,6 +385,7 @@ ORACLE.update(
         "wide_percent_change": ORACLE["percent_change"],
         "wide_local_spikes_us": ORACLE["local_spikes_us"],
         "wide_local_spikes_world": ORACLE["local_spikes_world"],
+        "relationship_state_joined": ORACLE["relationship_state"],
         "streaming_accum_state": ORACLE["accum_state"],
         "streaming_first_confirmed_country": ORACLE["first_confirmed_country"],
     }

@@ -154,3 +154,27 @@ def test_long_allow_list_becomes_semi_join(spark, monkeypatch):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan
     assert sorted({r.country for r in got.collect()}) == ["Japan", "US"]
+
+
+def test_single_pass_ratios_equal_composed(spark):
+    from epipanel.operators import outcome_ratios
+
+    obs = observations(spark)
+    countries = outcome_ratios(obs, "country", COUNTRIES, tie_break=["state"])
+    composed = relationship(
+        keep_entities(first_occurrence(obs, "confirmed", "country", tie_break=["state"]), "country", COUNTRIES),
+        keep_entities(first_occurrence(obs, "deaths", "country", tie_break=["state"]), "country", COUNTRIES),
+        accumulate(obs, "country", COUNTRIES),
+        "country",
+    )
+    assert countries.columns == composed.columns
+    assert sorted(rows(countries, *countries.columns)) == sorted(rows(composed, *composed.columns))
+
+    pop = spark.createDataFrame([("Washington", 100), ("New York", 50)], "state string, population bigint")
+    states = outcome_ratios(
+        obs, "state", ["Washington", "New York"], first_where=F.col("country") == "US", population=pop
+    )
+    assert sorted(rows(states, "state", "first_confirmed_date", "case_fatality_ratio", "mortality_ratio")) == [
+        ("New York", d("2020-01-24"), 0.29, 0.04),
+        ("Washington", d("2020-01-22"), 0.17, 0.01),
+    ]
