@@ -26,14 +26,12 @@ from pyspark.sql import functions as F
 from epipanel.functions.allow_lists import US_STATES
 from epipanel.operators import (
     accumulate,
-    first_occurrence,
     growth_daily_stats,
     growth_extremes,
-    keep_entities,
     least_infected,
     most_infected,
+    outcome_ratios,
     population_rollup,
-    relationship,
     wide_growth_factor,
     wide_increment_table,
     wide_local_spikes,
@@ -63,24 +61,11 @@ def case_report(
 ) -> dict[str, DataFrame]:
     """All results, lazily, keyed by name."""
     obs = read_observations(spark, observations_path)
-    us_obs = obs.where(F.col("country") == US)
     confirmed_us = read_wide(spark, confirmed_us_path)
     world = read_wide(spark, confirmed_world_path)
     us_ids = _ids_present(confirmed_us, US_IDS)
     world_ids = _ids_present(world, WORLD_IDS)
 
-    first = {
-        (measure, "country"): keep_entities(
-            first_occurrence(obs, measure, "country", tie_break=["state"]), "country", countries
-        )
-        for measure in ("confirmed", "deaths")
-    }
-    first.update(
-        {
-            (measure, "state"): keep_entities(first_occurrence(us_obs, measure, "state"), "state", US_STATES)
-            for measure in ("confirmed", "deaths")
-        }
-    )
     totals_country = accumulate(obs, "country", countries)
     totals_state = accumulate(obs, "state", US_STATES)
     deaths_us = read_wide(spark, deaths_us_path)
@@ -93,11 +78,9 @@ def case_report(
     increments_us = wide_increment_table(confirmed_us, us_ids)
 
     return {
-        "relationship_countries": relationship(
-            first[("confirmed", "country")], first[("deaths", "country")], totals_country, "country"
-        ),
-        "relationship_states": relationship(
-            first[("confirmed", "state")], first[("deaths", "state")], totals_state, "state", population
+        "relationship_countries": outcome_ratios(obs, "country", countries, tie_break=["state"]),
+        "relationship_states": outcome_ratios(
+            obs, "state", US_STATES, first_where=F.col("country") == US, population=population
         ),
         "most_infected_countries": most_infected(totals_country, "country"),
         "least_infected_countries": least_infected(totals_country, "country"),
