@@ -33,6 +33,53 @@ def typed_cell(cell: Column, value_type: str) -> Column:
     return to_count(cell) if value_type == "bigint" else cell.try_cast(value_type)
 
 
+def stage_cells(
+    df: DataFrame, id_cols: Sequence[str], value_type: str = "bigint", cells_col: str = "_v"
+) -> tuple[DataFrame, list[tuple[str, _dt.date]]]:
+    """Driver-side schema work plus one projection: identity columns and an
+    array of the typed date cells (in date order) per row.
+
+    The cells are typed by a single ``transform`` over the array, so the
+    plan holds one cast expression however many date columns a file has,
+    and every later per-date expression reads this one column instead of
+    rebuilding the array (which would cost columns^2 work per row).
+    """
+    dates = date_columns(df, id_cols)
+    if not dates:
+        raise ValueError("no column name parses as M/d/yy")
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}  # one schema fetch
+    kinds = {types[name] for name, _ in dates}
+    # thousands of date columns: build the array as one SQL expression (one
+    # call into the JVM) rather than one Column object per cell
+    cast = "" if len(kinds) == 1 else " AS string"
+    raw = F.expr(
+        "array(" + ", ".join(f"CAST({quote(name)}{cast})" if cast else quote(name) for name, _ in dates) + ")"
+    )
+    if kinds == {value_type}:
+        cells = raw
+    else:
+        cells = F.transform(raw, lambda x: typed_cell(x, value_type))
+    staged = df.select(*[F.col(quote(c)) for c in id_cols], cells.alias(cells_col))
+    return staged, dates
+
+
+def quote(name: str) -> str:
+    """A column name as a SQL identifier (names like ``1/22/20`` need it)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal_array(values) -> Column:
+    """A literal array of dates / booleans / ints as one SQL expression."""
+    def lit(v):
+        if isinstance(v, bool):
+            return "true" if v else "false"
+        if isinstance(v, _dt.date):
+            return f"DATE'{v.isoformat()}'"
+        return str(int(v))
+
+    return F.expr("array(" + ", ".join(lit(v) for v in values) + ")")
+
+
 def wide_to_long(
     df: DataFrame,
     id_cols: Sequence[str],
@@ -42,25 +89,18 @@ def wide_to_long(
 ) -> DataFrame:
     """Unpivot a wide time-series table to ``(id_cols..., date, value)``.
 
-    Each wide row becomes one row per date column; the date is a literal
-    taken from the column name at plan time, so no per-row string parsing
-    happens. Cells that are not numbers become null values (not errors).
-    A narrow per-row ``Generate``: no shuffle.
+    Each wide row becomes one row per date column; dates come from the
+    column names at plan time (a literal array), so no per-row string
+    parsing happens. Cells that are not numbers become null values (not
+    errors). A narrow per-row ``Generate``: no shuffle.
     """
     id_cols = as_list(id_cols)
-    dates = date_columns(df, id_cols)
-    if not dates:
-        raise ValueError("no column name parses as M/d/yy")
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(d).alias(date_col),
-                typed_cell(F.col(f"`{name}`"), value_type).alias(value_col),
-            )
-            for name, d in dates
-        ]
+    staged, dates = stage_cells(df, id_cols, value_type)
+    days = literal_array([d for _, d in dates])
+    rows = F.transform(
+        F.col("_v"), lambda v, i: F.struct(F.get(days, i).alias(date_col), v.alias(value_col))
     )
-    return df.select(*[F.col(f"`{c}`") for c in id_cols], F.inline(cells))
+    return staged.select(*[F.col(quote(c)) for c in id_cols], F.inline(rows))
 
 
 def long_to_wide(

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from epipanel.functions.columns import as_list
 from epipanel.functions.numeric import fractional_change, growth_percent
-from epipanel.operators.reshape import date_columns, typed_cell
+from epipanel.operators.reshape import literal_array, quote, stage_cells
 
 _ONE_DAY = _dt.timedelta(days=1)
 
@@ -32,24 +32,23 @@ _ONE_DAY = _dt.timedelta(days=1)
 class _Frame:
     """Plan-time view of a wide table's date columns.
 
-    ``values`` is one array of the typed cells (0-based position = column
-    order by date); ``days`` and ``follows`` are literal arrays: the date of
-    each column and whether the previous column is exactly the day before.
-    Per-date logic is then written once, inside ``transform`` over the
-    positions, so the plan stays small however many date columns a file has.
+    ``staged`` holds the identity columns and ``_v``, one array of the
+    typed cells per row (0-based position = column order by date); ``days``
+    and ``follows`` are literal arrays: the date of each column and whether
+    the previous column is exactly the day before. Per-date logic is then
+    written once, inside ``transform`` over the positions, and reads ``_v``:
+    the plan stays small and the work per row linear however many date
+    columns a file has.
     """
 
     def __init__(self, wide: DataFrame, id_cols: list[str], value_type: str):
-        dates = date_columns(wide, id_cols)
-        if not dates:
-            raise ValueError("no column name parses as M/d/yy")
+        self.staged, dates = stage_cells(wide, id_cols, value_type)
         self.names = [name for name, _ in dates]
         self.n = len(dates)
-        self.value_type = value_type
-        self.values = F.array(*[typed_cell(F.col(f"`{name}`"), value_type) for name in self.names])
-        self.days = F.array(*[F.lit(d) for _, d in dates])
-        self.follows = F.array(
-            F.lit(False), *[F.lit(cur - prev == _ONE_DAY) for (_, prev), (_, cur) in zip(dates, dates[1:])]
+        self.values = F.col("_v")
+        self.days = literal_array([d for _, d in dates])
+        self.follows = literal_array(
+            [False, *[cur - prev == _ONE_DAY for (_, prev), (_, cur) in zip(dates, dates[1:])]]
         )
 
     def positions(self, first: int = 0) -> Column:
@@ -57,7 +56,15 @@ class _Frame:
 
 
 def _ids(id_cols: list[str]) -> list[Column]:
-    return [F.col(f"`{c}`") for c in id_cols]
+    return [F.col(quote(c)) for c in id_cols]
+
+
+def _spread(staged: DataFrame, id_cols: list[str], array_col: str, names: list[str]) -> DataFrame:
+    """Array elements back out as one column per date, named like the input
+    (one ``selectExpr`` call however many columns)."""
+    return staged.selectExpr(
+        *[quote(c) for c in id_cols], *[f"{array_col}[{k}] AS {quote(name)}" for k, name in enumerate(names)]
+    )
 
 
 def wide_growth_factor(wide: DataFrame, id_cols: str | Sequence[str], value_type: str = "bigint") -> DataFrame:
@@ -86,7 +93,7 @@ def wide_growth_factor(wide: DataFrame, id_cols: str | Sequence[str], value_type
             growth_percent(cell, prev).alias("delta"),
         )
 
-    return wide.select(*_ids(id_cols), F.inline(F.transform(fr.positions(1), row)))
+    return fr.staged.select(*_ids(id_cols), F.inline(F.transform(fr.positions(1), row)))
 
 
 def _previous_column(fr: _Frame, i) -> Column:
@@ -104,7 +111,7 @@ def wide_increments(wide: DataFrame, id_cols: str | Sequence[str], value_type: s
         inc = F.get(fr.values, i) - F.coalesce(_previous_column(fr, i), F.lit(0))
         return F.struct(F.get(fr.days, i).alias("date"), inc.alias("increment"))
 
-    return wide.select(*_ids(id_cols), F.inline(F.transform(fr.positions(), row)))
+    return fr.staged.select(*_ids(id_cols), F.inline(F.transform(fr.positions(), row)))
 
 
 def wide_increment_table(wide: DataFrame, id_cols: str | Sequence[str], value_type: str = "bigint") -> DataFrame:
@@ -115,10 +122,8 @@ def wide_increment_table(wide: DataFrame, id_cols: str | Sequence[str], value_ty
     incs = F.transform(
         fr.positions(), lambda i: F.get(fr.values, i) - F.coalesce(_previous_column(fr, i), F.lit(0))
     )
-    staged = wide.select(*_ids(id_cols), incs.alias("_inc"))
-    return staged.select(
-        *_ids(id_cols), *[F.get(F.col("_inc"), k).alias(name) for k, name in enumerate(fr.names)]
-    )
+    staged = fr.staged.select(*_ids(id_cols), incs.alias("_inc"))
+    return _spread(staged, id_cols, "_inc", fr.names)
 
 
 def wide_percent_change(wide: DataFrame, id_cols: str | Sequence[str], value_type: str = "bigint") -> DataFrame:
@@ -131,7 +136,7 @@ def wide_percent_change(wide: DataFrame, id_cols: str | Sequence[str], value_typ
         change = fractional_change(F.get(fr.values, i), _previous_column(fr, i))
         return F.struct(F.get(fr.days, i).alias("date"), change.alias("pct_change"))
 
-    return wide.select(*_ids(id_cols), F.inline(F.transform(fr.positions(), row)))
+    return fr.staged.select(*_ids(id_cols), F.inline(F.transform(fr.positions(), row)))
 
 
 def wide_percent_change_table(
@@ -145,10 +150,8 @@ def wide_percent_change_table(
     changes = F.transform(
         fr.positions(), lambda i: fractional_change(F.get(fr.values, i), _previous_column(fr, i))
     )
-    staged = wide.select(*_ids(id_cols), changes.alias("_chg"))
-    return staged.select(
-        *_ids(id_cols), *[F.get(F.col("_chg"), k).alias(name) for k, name in enumerate(fr.names)]
-    )
+    staged = fr.staged.select(*_ids(id_cols), changes.alias("_chg"))
+    return _spread(staged, id_cols, "_chg", fr.names)
 
 
 def wide_local_spikes(
@@ -165,7 +168,8 @@ def wide_local_spikes(
     increments are formed inside the same array expression.
 
     Output: ``key_cols..., count_high_days, highest_daily_value`` ordered
-    like the long version. The peak and the count are row-local
+    like the long version; ``key_cols`` are taken from ``id_cols``. The
+    peak and the count are row-local
     expressions (``array_max`` and a filtered ``size``): no shuffle; only the
     final presentation sort moves data.
     """
@@ -177,10 +181,12 @@ def wide_local_spikes(
         values = F.transform(
             fr.positions(), lambda i: F.get(fr.values, i) - F.coalesce(_previous_column(fr, i), F.lit(0))
         )
-    with_peak = wide.select(*_ids(key_cols), values.alias("_v"), F.array_max(values).alias("_peak"))
+    with_peak = fr.staged.select(*_ids(key_cols), values.alias("_d")).select(
+        *_ids(key_cols), F.col("_d"), F.array_max("_d").alias("_peak")
+    )
     p = F.col("_peak")
     count = F.size(
-        F.filter("_v", lambda x: (p > 0) & (x.cast("double") >= F.lit(float(threshold)) * p.cast("double")))
+        F.filter("_d", lambda x: (p > 0) & (x.cast("double") >= F.lit(float(threshold)) * p.cast("double")))
     )
     return with_peak.select(
         *_ids(key_cols),
@@ -189,5 +195,5 @@ def wide_local_spikes(
     ).orderBy(
         F.col("count_high_days").desc(),
         F.col("highest_daily_value").desc(),
-        *[F.col(f"`{c}`").asc_nulls_first() for c in key_cols],
+        *[F.col(quote(c)).asc_nulls_first() for c in key_cols],
     )

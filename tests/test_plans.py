@@ -86,3 +86,18 @@ def test_first_occurrence_needs_no_window(spark, panel_path):
     assert "Window" not in p
     assert "GreaterThan(value,0)" in p  # numeric filter pushed to the scan
     assert first.where(F.col("grp") == "g1").first()["first_value_date"] == d("2020-01-02")
+
+
+def test_wide_plan_size_does_not_grow_with_date_columns(spark):
+    import datetime as dt
+
+    n = 300
+    names = [f"{(dt.date(2020, 1, 1) + dt.timedelta(days=i)).month}/{(dt.date(2020, 1, 1) + dt.timedelta(days=i)).day}/"
+             f"{(dt.date(2020, 1, 1) + dt.timedelta(days=i)).year % 100}" for i in range(n)]
+    schema = "k string, " + ", ".join(f"`{c}` string" for c in names)
+    wide = spark.createDataFrame([("a", *[str(i) for i in range(n)])], schema)
+    growth = wide_growth_factor(wide, ["k"])
+    p = plan(growth)
+    # cells are typed by one lambda, and per-date logic reads one array column
+    assert p.count("try_cast") <= 4
+    assert growth.count() == n - 1
