@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from epipanel.operators import (
     accumulate,
     change_over_time,
+    densify,
     first_occurrence,
     growth_daily_stats,
     growth_extreme_report,
@@ -293,6 +294,13 @@ def q_wide_local_spikes_world(spark, sf):
 
 # ---- reshape and files -----------------------------------------------------
 
+def q_densify_observations(spark, sf):
+    """Every state on every day from the first to the last observation;
+    counts stay empty on days without a record."""
+    obs = proxies.observations(spark, sf).select("state", "obs_date", "confirmed")
+    return densify(obs, ["state"], "obs_date")
+
+
 def q_long_to_wide(spark, sf):
     return long_to_wide(
         proxies.user_panel(spark, sf), PANEL_ENTITY, name_of=lambda d: d.strftime("d%Y%m%d")
@@ -424,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "wide_local_spikes_us": q_wide_local_spikes_us,
     "wide_local_spikes_world": q_wide_local_spikes_world,
     # reshape and files
+    "densify_observations": q_densify_observations,
     "long_to_wide": q_long_to_wide,
     "wide_to_long": q_wide_to_long,
     "csv_round_trip": q_csv_round_trip,

@@ -361,6 +361,12 @@ FROM pop WHERE state IN ({STATES}) GROUP BY state""",
     "bottom10_state": _topk("state", STATES, False),
     "relationship_country": REL_COUNTRY,
     "relationship_state": REL_STATE,
+    "densify_observations": _with(OBS) + """
+SELECT s.state, CAST(b.lo + CAST(t.i AS INTEGER) AS DATE) AS obs_date, o.confirmed
+FROM (SELECT DISTINCT state FROM obs) s
+CROSS JOIN (SELECT min(obs_date) AS lo, max(obs_date) AS hi FROM obs) b
+CROSS JOIN range(0, (b.hi - b.lo) + 1) t(i)
+LEFT JOIN obs o ON o.state = s.state AND o.obs_date = CAST(b.lo + CAST(t.i AS INTEGER) AS DATE)""",
     "long_to_wide": _with(PANEL) + """
 SELECT * FROM (
   PIVOT (SELECT grp, location, 'd' || strftime(date, '%Y%m%d') AS day_name, value FROM panel)
