@@ -29,9 +29,13 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Reliable checkpoints survive executor loss (unlike local checkpoints or
     caching), so a lost executor never forces recomputing the upstream plan.
+    The columns come back under fresh attribute ids: the result is usually
+    joined with the plan it was derived from, and sharing ids with it would
+    make that join a self-join for the analyser to untangle.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    saved = df.checkpoint(eager=True)
+    return saved.select(*[F.col("`" + c.replace("`", "``") + "`").alias(c) for c in saved.columns])
 
 
 def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -31,3 +31,16 @@ def test_entry_smoke(spark):
     df = contract.entry(spark)
     assert df.count() > 0
     assert df.columns == ["grp", "stat", "stat_value", "location", "prev_date", "prev_value", "date", "value", "delta"]
+
+
+def test_snapshots_without_aqe(spark, con):
+    """Joining a materialised table back to its own lineage must not depend
+    on AQE (it once tripped the analyser's self-join handling)."""
+    previous = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name in ("growth_extreme_snapshots", "wide_growth_extreme_snapshots"):
+            ok, msg = compare(QUERIES[name](spark, SF_DIR), con, ORACLE[name])
+            assert ok, f"{name}: {msg}"
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", previous)
