@@ -113,7 +113,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder and is used as is. Only a session without one (a unit test) gets
     a fresh scratch folder of its own.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir on the Spark Connect server") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
