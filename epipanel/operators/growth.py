@@ -82,16 +82,20 @@ def growth_factor(
     """
     entity_cols = as_list(entity_cols)
     w = Window.partitionBy(*entity_cols).orderBy(date_col)
-    prev_date = F.lag(date_col).over(w)
-    prev_value = F.lag(value_col).over(w)
+    lagged = panel.select(
+        *entity_cols,
+        F.col(date_col),
+        F.col(value_col),
+        F.lag(date_col).over(w).alias("_prev_row_date"),
+        F.lag(value_col).over(w).alias("_prev_row_value"),
+    )
     day_before = F.date_sub(F.col(date_col), 1)
-    with_prev = panel.select(
+    with_prev = lagged.where(F.col("_prev_row_date").isNotNull()).select(
         *entity_cols,
         F.col(date_col),
         F.col(value_col),
-        prev_date.alias("_prev_row_date"),
-        F.when(prev_date == day_before, prev_value).alias("_prev_value"),
-    ).where(F.col("_prev_row_date").isNotNull())
+        F.when(F.col("_prev_row_date") == day_before, F.col("_prev_row_value")).alias("_prev_value"),
+    )
     zero = F.lit(0).cast(panel.schema[value_col].dataType)
     return with_prev.select(
         *entity_cols,
