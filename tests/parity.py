@@ -45,14 +45,24 @@ def _rows(names, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+# Spark simple type name -> DuckDB type name
+TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "string": "VARCHAR",
+         "int": "INTEGER", "boolean": "BOOLEAN"}
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     s_names = spark_df.columns
+    s_types = {f.name: f.dataType.simpleString() for f in spark_df.schema.fields}
     s_rows = [tuple(r) for r in spark_df.collect()]
     rel = con.sql(sql)
     d_names = list(rel.columns)
+    d_types = {c: str(t) for c, t in zip(d_names, rel.types)}
     d_rows = rel.fetchall()
     if sorted(s_names) != sorted(d_names):
         return False, f"columns differ: spark={sorted(s_names)} oracle={sorted(d_names)}"
+    wrong = {c: (t, d_types[c]) for c, t in s_types.items() if TYPES.get(t, t.upper()) != d_types[c]}
+    if wrong:
+        return False, f"types differ: {wrong}"
     if len(s_rows) != len(d_rows):
         return False, f"row count differs: spark={len(s_rows)} oracle={len(d_rows)}"
     a, b = _rows(s_names, s_rows), _rows(d_names, d_rows)
