@@ -77,19 +77,37 @@ def accumulate(
     allowed: Iterable[str] | DataFrame | None = None,
     target: str | None = None,
     measures: Sequence[str] = MEASURES,
+    mode: str = "sum",
+    date_col: str = "obs_date",
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """Per-entity sums ``total_<measure>`` over all rows of recognised entities.
+    """Per-entity totals ``total_<measure>`` over recognised entities.
+
+    * ``mode="sum"`` (default, the original's behaviour) sums every row; for
+      running counts that is a sum of cumulative values.
+    * ``mode="latest"`` treats each series (the entity, or the entity split
+      by ``within`` columns such as the states of a country) as cumulative
+      and sums the values of each series' latest date. Both steps are
+      aggregations (latest row via ``max(struct(date, ...))``), so a hot
+      entity is reduced map-side and never sorted in one task.
 
-    As in the original this sums every observation row (for running counts
-    that is a sum of cumulative values). ``target`` keeps entities whose name
-    ends with it (``LIKE '%t'``).
+    ``target`` keeps entities whose name ends with it (``LIKE '%t'``).
     """
-    source = df.select(entity, *measures)
+    within = [c for c in as_list(within) if c != entity]
+    cols = [entity, *within, *measures] + ([date_col] if mode == "latest" else [])
+    source = df.select(*cols)
     if allowed is not None:
         source = keep_entities(source, entity, allowed)
-    totals = source.groupBy(entity).agg(
-        *[F.sum(m).alias(f"total_{m}") for m in measures]
-    )
+    if mode == "latest":
+        latest = (
+            source.where(F.col(date_col).isNotNull())
+            .groupBy(entity, *within)
+            .agg(F.max(F.struct(F.col(date_col).alias("d"), *[F.col(m) for m in measures])).alias("_last"))
+        )
+        source = latest.select(entity, *[F.col(f"_last.{m}").alias(m) for m in measures])
+    elif mode != "sum":
+        raise ValueError("mode must be 'sum' or 'latest'")
+    totals = source.groupBy(entity).agg(*[F.sum(m).alias(f"total_{m}") for m in measures])
     if target:
         totals = like_entity(totals, entity, target, "suffix")
     return totals

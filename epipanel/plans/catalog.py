@@ -197,6 +197,11 @@ def q_accum_state(spark, sf):
     return accumulate(proxies.observations(spark, sf), "state", STATE_ALLOW)
 
 
+def q_accum_country_latest(spark, sf):
+    """Country totals as the sum of each state's latest values."""
+    return accumulate(proxies.observations(spark, sf), "country", COUNTRY_ALLOW, mode="latest", within=["state"])
+
+
 def q_accum_target(spark, sf):
     return accumulate(proxies.observations(spark, sf), "state", STATE_ALLOW, target=TARGET_SUFFIX)
 
@@ -415,6 +420,7 @@ QUERIES: dict[str, Query] = {
     "accum_country": q_accum_country,
     "accum_state": q_accum_state,
     "accum_target": q_accum_target,
+    "accum_country_latest": q_accum_country_latest,
     "population_rollup": q_population_rollup,
     "top10_country": q_top10_country,
     "bottom10_country": q_bottom10_country,

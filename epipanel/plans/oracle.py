@@ -352,6 +352,16 @@ FROM obs WHERE obs_date = DATE '{SHIFT_START}'""",
     "accum_country": _with(OBS) + _accum("country", COUNTRIES),
     "accum_state": _with(OBS) + _accum("state", STATES),
     "accum_target": _with(OBS) + _accum("state", STATES, suffix=TARGET_SUFFIX),
+    "accum_country_latest": _with(OBS) + f"""
+SELECT country,
+       CAST(SUM(confirmed) AS BIGINT) AS total_confirmed,
+       CAST(SUM(deaths) AS BIGINT) AS total_deaths,
+       CAST(SUM(recovered) AS BIGINT) AS total_recovered
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY country, state ORDER BY obs_date DESC) AS rn
+  FROM obs WHERE country IN ({COUNTRIES}) AND obs_date IS NOT NULL
+) t WHERE rn = 1
+GROUP BY country""",
     "population_rollup": _with(POP) + f"""
 SELECT state, CAST(SUM(population) AS BIGINT) AS population
 FROM pop WHERE state IN ({STATES}) GROUP BY state""",

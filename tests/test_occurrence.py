@@ -178,3 +178,16 @@ def test_single_pass_ratios_equal_composed(spark):
         ("New York", d("2020-01-24"), 0.29, 0.04),
         ("Washington", d("2020-01-22"), 0.17, 0.01),
     ]
+
+
+def test_totals_of_latest_values(spark):
+    obs = observations(spark)
+    latest = accumulate(obs, "country", COUNTRIES, mode="latest", within=["state"])
+    assert sorted(rows(latest, "country", "total_confirmed", "total_deaths", "total_recovered")) == [
+        ("Japan", 3, 1, 0),
+        ("US", 9, 3, 2),
+    ]
+    import pytest
+
+    with pytest.raises(ValueError):
+        accumulate(obs, "country", COUNTRIES, mode="median")
