@@ -43,7 +43,13 @@ from epipanel.plans.joins import materialize
 from epipanel.sources import proxies
 from epipanel.sources.files import read_observations, read_snapshot, read_wide, write_snapshot
 from epipanel.session import shared_scratch_path
-from epipanel.streaming import observation_stream, publish, running_first_occurrence, running_totals
+from epipanel.streaming import (
+    observation_stream,
+    publish,
+    running_first_occurrence,
+    running_outcome_ratios,
+    running_totals,
+)
 
 # Fixed parameters of the stand-in queries (the test tables have nations
 # and regions where the case files have states and countries).
@@ -367,11 +373,12 @@ def q_observations_csv(spark, sf):
 
 def _streamed(spark, sf, build):
     """Feed the original-layout files (one folder per year) through a file
-    stream, two files per micro-batch, and return the published table."""
+    stream, four files per micro-batch (so state carries across batches),
+    and return the published table."""
     source = shared_scratch_path(spark, "observation-feed")
     _write_original_observations(spark, sf, source, by_year=True)
     table = shared_scratch_path(spark, "stream-table")
-    query = publish(build(observation_stream(spark, source, max_files_per_trigger=2)), table)
+    query = publish(build(observation_stream(spark, source, max_files_per_trigger=4)), table)
     query.awaitTermination()
     return spark.read.parquet(table)
 
@@ -385,6 +392,12 @@ def q_streaming_first_confirmed_country(spark, sf):
     return keep_entities(first, "country", COUNTRY_ALLOW)
 
 
+def q_streaming_relationship_country(spark, sf):
+    return _streamed(
+        spark, sf, lambda s: running_outcome_ratios(s, "country", COUNTRY_ALLOW, tie_break=["state"])
+    )
+
+
 QUERIES: dict[str, Query] = {
     # growth family (flagship)
     "growth_factor": q_growth_factor,
@@ -446,6 +459,7 @@ QUERIES: dict[str, Query] = {
     # structured streaming
     "streaming_accum_state": q_streaming_accum_state,
     "streaming_first_confirmed_country": q_streaming_first_confirmed_country,
+    "streaming_relationship_country": q_streaming_relationship_country,
 }
 
 

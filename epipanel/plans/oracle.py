@@ -404,6 +404,7 @@ ORACLE.update(
         "relationship_state_joined": ORACLE["relationship_state"],
         "streaming_accum_state": ORACLE["accum_state"],
         "streaming_first_confirmed_country": ORACLE["first_confirmed_country"],
+        "streaming_relationship_country": ORACLE["relationship_country"],
     }
 )
 

@@ -1,9 +1,10 @@
 """Keep totals and first occurrences current as new daily files arrive.
 
 The batch operators are plain aggregations, so they run unchanged on a
-Structured Streaming source: ``accumulate`` and ``first_occurrence`` become
-stateful streaming aggregations whose state (one row per entity) lives in
-the query's checkpoint. Each micro-batch reads only the new files.
+Structured Streaming source: ``accumulate``, ``first_occurrence`` and
+``outcome_ratios`` become stateful streaming aggregations whose state (one
+row per entity) lives in the query's checkpoint. Each micro-batch reads
+only the new files.
 
 Results are published with ``foreachBatch``: the complete per-entity table
 is rewritten for every batch, which is idempotent for a replayed batch id,
@@ -20,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from epipanel.functions.dates import parse_observation_date
 from epipanel.functions.numeric import to_count
-from epipanel.operators.occurrence import accumulate, first_occurrence
+from epipanel.operators.occurrence import accumulate, first_occurrence, outcome_ratios
 from epipanel.session import shared_scratch_path
 from epipanel.sources.files import OBSERVATION_SCHEMA
 
@@ -52,6 +53,12 @@ def running_first_occurrence(stream: DataFrame, measure: str, entity: str, tie_b
     return first_occurrence(stream, measure, entity, tie_break=tie_break)
 
 
+def running_outcome_ratios(stream: DataFrame, entity: str, allowed, tie_break=(), first_where=None) -> DataFrame:
+    """Streaming :func:`epipanel.operators.occurrence.outcome_ratios` (first
+    dates and fatality / recovery ratios from one stateful aggregation)."""
+    return outcome_ratios(stream, entity, allowed, tie_break=tie_break, first_where=first_where)
+
+
 def publish(
     result: DataFrame,
     table_path: str,
