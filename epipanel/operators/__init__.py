@@ -19,6 +19,7 @@ from epipanel.operators.occurrence import (
 from epipanel.operators.ranking import least_infected, most_infected
 from epipanel.operators.reshape import densify, long_to_wide, wide_to_long
 from epipanel.operators.wide import (
+    wide_growth_extreme_report,
     wide_growth_factor,
     wide_increment_table,
     wide_increments,
@@ -57,6 +58,7 @@ __all__ = [
     "population_rollup",
     "relationship",
     "shift_observed_date",
+    "wide_growth_extreme_report",
     "wide_growth_factor",
     "wide_increment_table",
     "wide_increments",

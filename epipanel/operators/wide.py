@@ -197,3 +197,25 @@ def wide_local_spikes(
         F.col("highest_daily_value").desc(),
         *[F.col(quote(c)).asc_nulls_first() for c in key_cols],
     )
+
+
+def wide_growth_extreme_report(
+    wide: DataFrame,
+    id_cols: str | Sequence[str],
+    group_cols: str | Sequence[str],
+    which: Sequence[str] | None = None,
+    value_type: str = "bigint",
+) -> DataFrame:
+    """:func:`epipanel.operators.growth.growth_extreme_report` of a wide
+    table: growth of every place on every date, the chosen extremes per
+    group (all six by default) and the snapshot rows on those dates.
+
+    The wide file is scanned twice (statistics, then snapshots) and never
+    shuffled; only the small histogram and per-date tables move.
+    """
+    from epipanel.operators.growth import EXTREMES, extreme_snapshots, growth_daily_stats, growth_extremes
+
+    group_cols = as_list(group_cols)
+    growth = wide_growth_factor(wide, id_cols, value_type)
+    extremes = growth_extremes(growth_daily_stats(growth, group_cols), group_cols, which=which or EXTREMES)
+    return extreme_snapshots(growth, extremes, group_cols)

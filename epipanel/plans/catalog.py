@@ -31,6 +31,7 @@ from epipanel.operators import (
     population_rollup,
     relationship,
     shift_observed_date,
+    wide_growth_extreme_report,
     wide_growth_factor,
     wide_increment_table,
     wide_increments,
@@ -38,7 +39,6 @@ from epipanel.operators import (
     wide_percent_change,
     wide_to_long,
 )
-from epipanel.operators.growth import extreme_snapshots
 from epipanel.plans.joins import materialize
 from epipanel.sources import proxies
 from epipanel.sources.files import read_observations, read_snapshot, read_wide, write_snapshot
@@ -279,9 +279,7 @@ def q_wide_growth_extremes(spark, sf):
 
 
 def q_wide_growth_extreme_snapshots(spark, sf):
-    growth = q_wide_growth_factor(spark, sf)
-    extremes = growth_extremes(growth_daily_stats(growth, PANEL_GROUP), PANEL_GROUP)
-    return extreme_snapshots(growth, extremes, PANEL_GROUP)
+    return wide_growth_extreme_report(_wide_user_panel(spark, sf), PANEL_ENTITY, PANEL_GROUP)
 
 
 def q_wide_daily_increment(spark, sf):

@@ -89,3 +89,14 @@ def test_percent_change_table_keeps_schema(spark):
     long = percent_change(wide_to_long(w, IDS), IDS)
     same_vals = sorted(rows(long.where("Admin2 = 'Pima'").orderBy("date"), "pct_change"))
     assert sorted((x,) for x in rows(t.where("Admin2 = 'Pima'"), *w.columns[2:])[0]) == same_vals
+
+
+def test_wide_extreme_report_equals_long(spark):
+    from epipanel.operators import growth_extreme_report, wide_growth_extreme_report
+
+    w = wide_table(spark)
+    wide_snaps = wide_growth_extreme_report(w, IDS, ["Province_State"])
+    long_snaps = growth_extreme_report(wide_to_long(w, IDS), ["Province_State"], ["Admin2"])
+    same(wide_snaps, long_snaps)
+    only_max = wide_growth_extreme_report(w, IDS, ["Province_State"], which=("max",))
+    assert {r.stat for r in only_max.collect()} == {"max"}
