@@ -79,6 +79,9 @@ def growth_factor(
       not fit decimal(8,2) all give ``delta = 0.00`` (e.g. 0 -> 1 is 0.00).
     * An entity's first row has nothing before it and gives no growth row
       (the first date of a dense panel has no growth, as in the original).
+
+    The panel holds one row per entity and date (as unpivoted wide files
+    do); combine duplicate rows first, e.g. ``groupBy(entity, date)``.
     """
     entity_cols = as_list(entity_cols)
     w = Window.partitionBy(*entity_cols).orderBy(date_col)
