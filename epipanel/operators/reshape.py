@@ -39,10 +39,10 @@ def stage_cells(
     """Driver-side schema work plus one projection: identity columns and an
     array of the typed date cells (in date order) per row.
 
-    The cells are typed by a single ``transform`` over the array, so the
-    plan holds one cast expression however many date columns a file has,
-    and every later per-date expression reads this one column instead of
-    rebuilding the array (which would cost columns^2 work per row).
+    The whole array is typed by one cast (codegen'd, no per-cell
+    expressions): text counts go through ``decimal(38,18)``, so integers
+    stay exact and ``12.0`` reads as 12, like :func:`typed_cell`; junk
+    reads as null. Every later per-date expression reads this one column.
     """
     dates = date_columns(df, id_cols)
     if not dates:
@@ -57,8 +57,10 @@ def stage_cells(
     )
     if kinds == {value_type}:
         cells = raw
+    elif value_type == "bigint":
+        cells = raw.try_cast("array<decimal(38,18)>").try_cast("array<bigint>")
     else:
-        cells = F.transform(raw, lambda x: typed_cell(x, value_type))
+        cells = raw.try_cast(f"array<{value_type}>")
     staged = df.select(*[F.col(quote(c)) for c in id_cols], cells.alias(cells_col))
     return staged, dates
 
@@ -97,10 +99,9 @@ def wide_to_long(
     id_cols = as_list(id_cols)
     staged, dates = stage_cells(df, id_cols, value_type)
     days = literal_array([d for _, d in dates])
-    rows = F.transform(
-        F.col("_v"), lambda v, i: F.struct(F.get(days, i).alias(date_col), v.alias(value_col))
-    )
-    return staged.select(*[F.col(quote(c)) for c in id_cols], F.inline(rows))
+    ids = [F.col(quote(c)) for c in id_cols]
+    exploded = staged.select(*ids, F.posexplode("_v").alias("_pos", value_col))
+    return exploded.select(*ids, F.get(days, F.col("_pos")).alias(date_col), F.col(value_col))
 
 
 def long_to_wide(

@@ -43,6 +43,7 @@ class _Frame:
 
     def __init__(self, wide: DataFrame, id_cols: list[str], value_type: str):
         self.staged, dates = stage_cells(wide, id_cols, value_type)
+        self.value_type = value_type
         self.names = [name for name, _ in dates]
         self.n = len(dates)
         self.values = F.col("_v")
@@ -54,6 +55,21 @@ class _Frame:
     def positions(self, first: int = 0) -> Column:
         return F.sequence(F.lit(first), F.lit(self.n - 1))
 
+    def exploded(self, id_cols: list[str]) -> DataFrame:
+        """One row per date column: ``_pos``, ``_val`` (the cell) and
+        ``_prev`` (the previous column's cell, null for the first).
+
+        Built from codegen'd expressions only: the previous cells are the
+        array shifted by one (``slice(concat(...))``) and both are exploded
+        together with ``posexplode(arrays_zip(...))``.
+        """
+        ids = _ids(id_cols)
+        shifted = F.slice(F.concat(F.array(F.lit(None).cast(self.value_type)), F.col("_v")), 1, self.n)
+        paired = self.staged.select(*ids, F.col("_v"), shifted.alias("_p"))
+        return paired.select(*ids, F.posexplode(F.arrays_zip("_v", "_p")).alias("_pos", "_z")).select(
+            *ids, F.col("_pos"), F.col("_z._v").alias("_val"), F.col("_z._p").alias("_prev")
+        )
+
 
 def _ids(id_cols: list[str]) -> list[Column]:
     return [F.col(quote(c)) for c in id_cols]
@@ -80,20 +96,17 @@ def wide_growth_factor(wide: DataFrame, id_cols: str | Sequence[str], value_type
     if fr.n < 2:
         raise ValueError("a growth factor needs at least two date columns")
     zero = F.lit(0).cast(value_type)
-
-    def row(i):
-        day = F.get(fr.days, i)
-        cell = F.get(fr.values, i)
-        prev = F.when(F.get(fr.follows, i), F.get(fr.values, i - 1))
-        return F.struct(
-            F.date_sub(day, 1).alias("prev_date"),
-            F.coalesce(prev, zero).alias("prev_value"),
-            day.alias("date"),
-            F.coalesce(cell, zero).alias("value"),
-            growth_percent(cell, prev).alias("delta"),
-        )
-
-    return fr.staged.select(*_ids(id_cols), F.inline(F.transform(fr.positions(1), row)))
+    pos = F.col("_pos")
+    day = F.get(fr.days, pos)
+    prev = F.when(F.get(fr.follows, pos), F.col("_prev"))
+    return fr.exploded(id_cols).where(pos >= 1).select(
+        *_ids(id_cols),
+        F.date_sub(day, 1).alias("prev_date"),
+        F.coalesce(prev, zero).alias("prev_value"),
+        day.alias("date"),
+        F.coalesce(F.col("_val"), zero).alias("value"),
+        growth_percent(F.col("_val"), prev).alias("delta"),
+    )
 
 
 def _previous_column(fr: _Frame, i) -> Column:
@@ -106,12 +119,10 @@ def wide_increments(wide: DataFrame, id_cols: str | Sequence[str], value_type: s
     rows ``id_cols..., date, increment``."""
     id_cols = as_list(id_cols)
     fr = _Frame(wide, id_cols, value_type)
-
-    def row(i):
-        inc = F.get(fr.values, i) - F.coalesce(_previous_column(fr, i), F.lit(0))
-        return F.struct(F.get(fr.days, i).alias("date"), inc.alias("increment"))
-
-    return fr.staged.select(*_ids(id_cols), F.inline(F.transform(fr.positions(), row)))
+    inc = F.col("_val") - F.coalesce(F.col("_prev"), F.lit(0))
+    return fr.exploded(id_cols).select(
+        *_ids(id_cols), F.get(fr.days, F.col("_pos")).alias("date"), inc.alias("increment")
+    )
 
 
 def wide_increment_table(wide: DataFrame, id_cols: str | Sequence[str], value_type: str = "bigint") -> DataFrame:
@@ -131,12 +142,10 @@ def wide_percent_change(wide: DataFrame, id_cols: str | Sequence[str], value_typ
     long rows ``id_cols..., date, pct_change``."""
     id_cols = as_list(id_cols)
     fr = _Frame(wide, id_cols, value_type)
-
-    def row(i):
-        change = fractional_change(F.get(fr.values, i), _previous_column(fr, i))
-        return F.struct(F.get(fr.days, i).alias("date"), change.alias("pct_change"))
-
-    return fr.staged.select(*_ids(id_cols), F.inline(F.transform(fr.positions(), row)))
+    change = fractional_change(F.col("_val"), F.col("_prev"))
+    return fr.exploded(id_cols).select(
+        *_ids(id_cols), F.get(fr.days, F.col("_pos")).alias("date"), change.alias("pct_change")
+    )
 
 
 def wide_percent_change_table(
