@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from epipanel.functions.columns import as_list
 from epipanel.functions.dates import mdy_name, parse_mdy_name
-from epipanel.functions.numeric import to_count
 
 
 def date_columns(df: DataFrame, id_cols: Sequence[str]) -> list[tuple[str, object]]:
@@ -27,12 +26,6 @@ def date_columns(df: DataFrame, id_cols: Sequence[str]) -> list[tuple[str, objec
     return sorted([(c, d) for c, d in found if d is not None], key=lambda p: p[1])
 
 
-def typed_cell(cell: Column, value_type: str) -> Column:
-    """A wide-file cell as ``value_type``; counts written ``12.0`` read as 12
-    and junk reads as null (never an error under ANSI mode)."""
-    return to_count(cell) if value_type == "bigint" else cell.try_cast(value_type)
-
-
 def stage_cells(
     df: DataFrame, id_cols: Sequence[str], value_type: str = "bigint", cells_col: str = "_v"
 ) -> tuple[DataFrame, list[tuple[str, _dt.date]]]:
@@ -41,7 +34,7 @@ def stage_cells(
 
     The whole array is typed by one cast (codegen'd, no per-cell
     expressions): text counts go through ``decimal(38,18)``, so integers
-    stay exact and ``12.0`` reads as 12, like :func:`typed_cell`; junk
+    stay exact and ``12.0`` reads as 12 (like ``functions.to_count``); junk
     reads as null. Every later per-date expression reads this one column.
     """
     dates = date_columns(df, id_cols)
