@@ -130,11 +130,12 @@ def wide_increment_table(wide: DataFrame, id_cols: str | Sequence[str], value_ty
     (same column names), like the original's increment generator."""
     id_cols = as_list(id_cols)
     fr = _Frame(wide, id_cols, value_type)
-    incs = F.transform(
-        fr.positions(), lambda i: F.get(fr.values, i) - F.coalesce(_previous_column(fr, i), F.lit(0))
-    )
-    staged = fr.staged.select(*_ids(id_cols), incs.alias("_inc"))
-    return _spread(staged, id_cols, "_inc", fr.names)
+    # plain per-column arithmetic on the staged array (codegen'd; built in
+    # one selectExpr call however many columns)
+    incs = [f"_v[0] - 0 AS {quote(fr.names[0])}"] + [
+        f"_v[{k}] - coalesce(_v[{k - 1}], 0) AS {quote(name)}" for k, name in enumerate(fr.names) if k > 0
+    ]
+    return fr.staged.selectExpr(*[quote(c) for c in id_cols], *incs)
 
 
 def wide_percent_change(wide: DataFrame, id_cols: str | Sequence[str], value_type: str = "bigint") -> DataFrame:

@@ -98,6 +98,6 @@ def test_wide_plan_size_does_not_grow_with_date_columns(spark):
     wide = spark.createDataFrame([("a", *[str(i) for i in range(n)])], schema)
     growth = wide_growth_factor(wide, ["k"])
     p = plan(growth)
-    # cells are typed by one lambda, and per-date logic reads one array column
+    # cells are typed by one array cast, and per-date logic reads one array column
     assert p.count("try_cast") <= 4
     assert growth.count() == n - 1
