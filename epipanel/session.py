@@ -6,6 +6,7 @@ the session is only needed by sources, checkpoints and the query catalogue.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -106,12 +107,20 @@ def build_session(
     return spark
 
 
+def _is_local_master(spark: SparkSession) -> bool:
+    """True for ``local[...]`` masters, whose tasks all share this machine's disk."""
+    return (spark.sparkContext.master or "").startswith("local") and not spark.sparkContext.master.startswith(
+        "local-cluster"
+    )
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object-store)
-    folder and is used as is. Only a session without one (a unit test) gets
-    a fresh scratch folder of its own.
+    On a cluster ``spark.checkpoint.dir`` must name a folder that the driver
+    and every executor share (HDFS, an object store, a network mount); a
+    session without it raises. Only a ``local[...]`` session (a unit test)
+    gets a fresh scratch folder of its own.
     """
     try:
         sc = spark.sparkContext
@@ -125,15 +134,61 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not _is_local_master(spark):
+            raise RuntimeError(
+                f"spark.checkpoint.dir is not set and the master is {sc.master}: name a folder "
+                "that the driver and all executors share"
+            )
         configured = tempfile.mkdtemp(prefix="epipanel-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_scratch: list[str] = []
+
+
 def shared_scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
+    """A fresh, unique path under the shared checkpoint folder.
+
+    The path is remembered: :func:`clear_scratch` deletes everything handed
+    out, and runs by itself when the driver process ends.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(_clear_at_exit, spark)
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete every scratch path handed out so far; returns how many existed.
+
+    Call it only when all results that read them have been consumed.
+    """
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    deleted = 0
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        deleted += bool(path.getFileSystem(hconf).delete(path, True))
+    return deleted
+
+
+def _clear_at_exit(spark: SparkSession) -> None:
+    try:
+        clear_scratch(spark)
+    except Exception:  # the session was stopped first: nothing left to ask
+        _scratch.clear()
+
+
+def write_scratch(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return the table read back: a lineage cut that survives lost executors
+    and lets later steps read only the columns they need."""
+    path = shared_scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:

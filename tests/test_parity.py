@@ -6,10 +6,11 @@ import pytest
 from parity import compare, duck
 
 import __spark_entry__ as contract
+from epipanel.plans import catalog, oracle
 
 SF_DIR = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
