@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from epipanel.llm import exact_dedup
+from epipanel.llm import chat_format, exact_dedup, license_scan
 
 
 def queries() -> dict:
     return {
+        "op4_license_scan": license_scan.query,
+        "op7_chat_format": chat_format.query,
         "op10_exact_dedup": exact_dedup.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_license_scan": license_scan.ORACLE_SQL,
+        "op7_chat_format": chat_format.ORACLE_SQL,
         "op10_exact_dedup": exact_dedup.ORACLE_SQL,
     }
