@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from epipanel.llm import chat_format, exact_dedup, license_scan
+from epipanel.llm import chat_format, exact_dedup, langid, license_scan
 
 
 def queries() -> dict:
     return {
         "op4_license_scan": license_scan.query,
+        "op6_language_id": langid.query,
         "op7_chat_format": chat_format.query,
         "op10_exact_dedup": exact_dedup.query,
     }
