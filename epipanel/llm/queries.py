@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from epipanel.llm import chat_format, exact_dedup, langid, license_scan
+from epipanel.llm import chat_format, exact_dedup, langid, license_scan, warc
 
 
 def queries() -> dict:
     return {
+        "op2_warc": warc.query,
         "op4_license_scan": license_scan.query,
         "op6_language_id": langid.query,
         "op7_chat_format": chat_format.query,
@@ -16,6 +17,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_warc": warc.ORACLE_SQL,
         "op4_license_scan": license_scan.ORACLE_SQL,
         "op7_chat_format": chat_format.ORACLE_SQL,
         "op10_exact_dedup": exact_dedup.ORACLE_SQL,

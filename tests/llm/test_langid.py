@@ -10,6 +10,8 @@ from epipanel.llm import langid
 from epipanel.llm.langid import learn_dictionaries, predict_languages
 
 SF_DIR = "/root/testdata/sf0.01"
+EN = "The and attion to thanedble the, anea. Eriner thanea."
+DE = "Nicht aulich für sch erüver enau sch der."
 
 
 def test_held_out_accuracy(spark):
@@ -31,7 +33,7 @@ def dictionaries(spark):
 
 
 def test_edge_cases(docs, dictionaries):
-    rows = [(1, None), (2, ""), (3, "123 !! \n"), (4, "the and of the"), (4, "the and of the"), (None, "der die und nicht"), (5, "the and of that " * 60_000)]
+    rows = [(1, None), (2, ""), (3, "123 !! \n"), (4, EN), (4, EN), (None, DE), (5, (EN + " ") * 6_000)]
     frame = docs(rows).withColumn("size", F.lit(1)).withColumn("draw", F.lit("x")).drop("lang")
     out = predict_languages(frame, dictionaries)
     assert out.columns[: len(frame.columns)] == frame.columns
@@ -55,7 +57,7 @@ def test_only_long_texts_still_give_a_dictionary(docs):
 
 
 def test_predictions_do_not_see_the_label(docs, dictionaries):
-    rows = [(1, "der die und nicht in"), (2, "the and of that")]
+    rows = [(1, EN), (2, DE)]
     a = predict_languages(docs(rows), dictionaries)
     b = predict_languages(docs(rows).withColumn("lang", F.lit("fr")).withColumn("source", F.lit("zz")), dictionaries)
     pick = lambda df: sorted((r["doc_id"], r["__lang_pred"], r["__lang_score"]) for r in df.collect())
