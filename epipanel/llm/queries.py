@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from epipanel.llm import chat_format, exact_dedup, langid, license_scan, warc
+from epipanel.llm import chat_format, exact_dedup, langid, license_scan, ngram_jaccard, warc
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op4_license_scan": license_scan.query,
         "op6_language_id": langid.query,
         "op7_chat_format": chat_format.query,
+        "op9_ngram_jaccard": ngram_jaccard.query,
         "op10_exact_dedup": exact_dedup.query,
     }
 
@@ -20,5 +21,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_warc": warc.ORACLE_SQL,
         "op4_license_scan": license_scan.ORACLE_SQL,
         "op7_chat_format": chat_format.ORACLE_SQL,
+        "op9_ngram_jaccard": ngram_jaccard.ORACLE_SQL,
         "op10_exact_dedup": exact_dedup.ORACLE_SQL,
     }
