@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from epipanel.llm import chat_format, exact_dedup, langid, license_scan, ngram_jaccard, warc
+from epipanel.llm import chat_format, exact_dedup, langid, license_scan, ngram_jaccard, sentence_spans, warc
 
 
 def queries() -> dict:
     return {
         "op2_warc": warc.query,
         "op4_license_scan": license_scan.query,
+        "op5_sentence_spans": sentence_spans.query,
         "op6_language_id": langid.query,
         "op7_chat_format": chat_format.query,
         "op9_ngram_jaccard": ngram_jaccard.query,
