@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from epipanel.llm import chat_format, exact_dedup, langid, license_scan, ngram_jaccard, sentence_spans, warc
+from epipanel.llm import chat_format, exact_dedup, langid, license_scan, ngram_jaccard, packing, sentence_spans, warc
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op5_sentence_spans": sentence_spans.query,
         "op6_language_id": langid.query,
         "op7_chat_format": chat_format.query,
+        "op8_best_fit_packing": packing.query,
         "op9_ngram_jaccard": ngram_jaccard.query,
         "op10_exact_dedup": exact_dedup.query,
     }
