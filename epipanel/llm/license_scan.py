@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from epipanel.llm.common import ascii_lower, narrow, table
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # label, notice, mandatory phrases; the first three are the base phrases
 TEMPLATES = [
@@ -74,7 +74,13 @@ MIN_SHARE = 0.6
 
 
 def licence_words(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    """The words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z
+    lower-cased. ``lower`` gives the same words, and is faster, unless the text
+    holds one of the two other characters whose lower case has an ASCII letter."""
+    text = F.coalesce(text, F.lit(""))
+    odd = F.contains(text, F.lit("\u0130")) | F.contains(text, F.lit("\u212a"))
+    lowered = F.when(odd, ascii_lower(text)).otherwise(F.lower(text))
+    return F.array_remove(F.split(lowered, BETWEEN_WORDS), "")
 
 
 def _phrase_places(notice: list[str], phrase: list[str]) -> int:

@@ -11,7 +11,7 @@ ROWS = [
     (5, "x " * 30_000 + "This work is licensed under the GNU General Public License, version 3. tail"), (6, "general public general public license"),
     (7, "Released under the MIT License. mit license"), (7, "Released under the MIT License. mit license"), (None, "cc by cc by"),
     (8, "apache license version 2 0"), (9, "écc by cc byé CC_BY"), (10, "license license license"),
-    (11, "permission is hereby granted free of charge to all a copy of this software"), (12, "nothing here"),
+    (11, "permission is hereby granted free of charge to all a copy of this software"), (12, "nothing here"), (14, "\u212a MIT License \u0130cc by"), (15, "ÉCC by CC\u212ay all rights reserved\x00"),
     (13, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and its documentation files"),
 ]
 
