@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from epipanel.llm import chat_format, exact_dedup, langid, license_scan, ngram_jaccard, packing, sentence_spans, warc
+from epipanel.llm import chat_format, decontaminate, exact_dedup, langid, license_scan, ngram_jaccard, packing, sentence_spans, warc
 
 
 def queries() -> dict:
     return {
         "op2_warc": warc.query,
+        "op3_decontaminate": decontaminate.query,
         "op4_license_scan": license_scan.query,
         "op5_sentence_spans": sentence_spans.query,
         "op6_language_id": langid.query,

@@ -22,6 +22,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: everything but digits, letters and non-ASCII characters
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -76,18 +78,19 @@ class Words:
     bounds: np.ndarray  # words bounds[i]:bounds[i + 1] are text i's
 
 
-def words_of(texts: list[bytes], hashed: bool = True) -> Words:
+def words_of(texts: list[bytes], between: np.ndarray = _SPACE) -> Words:
+    """``between`` tells the bytes that stand between words; line feeds must be among them."""
     sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
     text_starts = np.concatenate(([0], np.cumsum(sizes)))
     data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8) if texts else np.zeros(0, np.uint8)
     data = _LOWER[data]
-    word = ~_SPACE[data]
+    word = ~between[data]
     edges = np.flatnonzero(np.diff(word, prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]
     bounds = np.searchsorted(starts, text_starts)
     hashes = np.zeros(len(starts), dtype=np.uint64)
     first = 0
-    while hashed and first < len(starts):
+    while first < len(starts):
         base = starts[first]
         last = max(first + 1, int(np.searchsorted(ends, base + SEGMENT, side="right")))
         piece = slice(first, last)
