@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from epipanel.llm import chat_format, decontaminate, exact_dedup, langid, license_scan, ngram_jaccard, packing, sentence_spans, warc
+from epipanel.llm import (
+    chat_format,
+    decontaminate,
+    exact_dedup,
+    langid,
+    language_model,
+    license_scan,
+    ngram_jaccard,
+    packing,
+    sentence_spans,
+    warc,
+)
 
 
 def queries() -> dict:
     return {
+        "op1_lm_scoring": language_model.query,
         "op2_warc": warc.query,
         "op3_decontaminate": decontaminate.query,
         "op4_license_scan": license_scan.query,

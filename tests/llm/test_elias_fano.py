@@ -1,0 +1,47 @@
+"""Elias-Fano against sorted arrays."""
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from epipanel.llm.elias_fano import EliasFano
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.one_of(st.integers(0, 40), st.integers(0, 2**40), st.integers(0, 2**63)), max_size=200),
+    st.lists(st.one_of(st.integers(0, 45), st.integers(0, 2**41), st.integers(0, 2**64 - 1)), min_size=1, max_size=60),
+)
+def test_get_successor_and_find(values, asked):
+    values = np.sort(np.array(values, dtype=np.uint64))
+    ef = EliasFano.build(values)
+    assert (ef.get(np.arange(len(values))) == values).all()
+    x = np.array([*asked, *values[:20].tolist()], dtype=np.uint64)
+    assert (ef.successor(x) == np.searchsorted(values, x)).all()
+    found = ef.find(x)
+    for v, at in zip(x.tolist(), found.tolist()):
+        assert (at >= 0) == (v in set(values.tolist()))
+        assert at < 0 or values[at] == v
+
+
+def test_ranges_and_memory_map(tmp_path):
+    rng = np.random.default_rng(1)
+    values = np.unique(rng.integers(0, 2**50, 20_000, dtype=np.uint64))
+    EliasFano.build(values).save(str(tmp_path), "level")
+    ef = EliasFano.open(str(tmp_path), "level")
+    assert isinstance(ef.low, np.memmap)
+    x = np.concatenate((values[::3], rng.integers(0, 2**50, 5000, dtype=np.uint64)))
+    least = rng.integers(0, len(values), len(x))
+    most = np.minimum(least + rng.integers(0, 9000, len(x)), len(values))
+    want = np.clip(np.searchsorted(values, x), least, most)
+    assert (ef.successor(x, least, most) == want).all()
+    hit = np.searchsorted(values, x)
+    hit = np.where((hit >= least) & (hit < most) & (values[np.minimum(hit, len(values) - 1)] == x), hit, -1)
+    assert (ef.find(x, least, most) == hit).all()
+
+
+def test_size_is_near_the_bound():
+    values = np.sort(np.random.default_rng(2).integers(0, 2**48, 100_000, dtype=np.uint64))
+    ef = EliasFano.build(values)
+    bits = 8 * (ef.low.nbytes + ef.high.nbytes + ef.ones.nbytes) / len(values)
+    assert bits < 2 + 48 - np.log2(len(values)) + 5
