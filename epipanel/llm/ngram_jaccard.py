@@ -85,10 +85,9 @@ def fingerprint(shingles: np.ndarray) -> bytes:
 def _sketch(n_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("body").to_pylist()
             prints: list[bytes | None] = []
             signatures: list[bytes | None] = []
-            for _, group in groups(texts):
+            for _, group in groups(batch.column("body")):
                 for shingles in shingle_sets(words_of(group), n_words):
                     some = len(shingles) > 0
                     prints.append(fingerprint(shingles) if some else None)
@@ -101,7 +100,8 @@ def _sketch(n_words: int):
 
 def _candidates(needed: list[int]):
     """Pairs of a block that agree first on the block's band and survive the
-    posterior test: one row per left node with all its right nodes."""
+    posterior test: one row per left node with all its right nodes, and one
+    row with null ``others`` per node that is in any pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -116,6 +116,7 @@ def _candidates(needed: list[int]):
             left = np.arange(n) if low == high else np.flatnonzero(part == low)
             right = np.flatnonzero(part == high)
             bucket = group.column("bucket")[0].as_py()
+            involved = np.zeros(n, dtype=bool)
             for i in left:
                 others = right[right > i] if low == high else right
                 if not len(others):
@@ -129,10 +130,12 @@ def _candidates(needed: list[int]):
                     alive = matches >= least
                     others, same, matches = others[alive], same[alive], matches[alive]
                 if len(others):
+                    involved[i] = involved[others] = True
                     out.append((bucket, low, high, nodes[i], [nodes[j] for j in others]))
-                    if len(out) >= 1000:
-                        yield _pairs_batch(out)
-                        out = []
+            out += [(bucket, low, high, nodes[i], None) for i in np.flatnonzero(involved)]
+            if len(out) >= 1000:
+                yield _pairs_batch(out)
+                out = []
         if out:
             yield _pairs_batch(out)
 
@@ -158,7 +161,7 @@ def _shingles(n_words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, group in groups(batch.column("body").to_pylist()):
+            for _, group in groups(batch.column("body")):
                 sets = [s for s in shingle_sets(words_of(group), n_words) if len(s)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([fingerprint(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
@@ -279,7 +282,7 @@ def near_duplicates(
         "pairs",
     )
 
-    involved = pairs.select("bucket", "low", "high", F.explode(F.array_append("others", F.col("node"))).alias("node")).distinct()
+    involved = pairs.where("others IS NULL").select("bucket", "low", "high", "node")
     wanted = involved.select("node").distinct().join(classes.select("node", "ident", "copies"), "node")
     ids = wanted.select(F.col("ident").alias("wanted_id")).distinct()
     texts = rows.join(ids, F.col("ident").eqNullSafe(F.col("wanted_id")), "left_semi").select("body")
@@ -287,7 +290,7 @@ def near_duplicates(
     sets = sets.join(wanted.select("node", "copies"), "node").dropDuplicates(["node"])
     none = lambda kind: F.lit(None).cast(kind)
     material = involved.join(sets, "node").select("bucket", "low", "high", "node", none("array<binary>").alias("others"), "shingles", "copies")
-    questions = pairs.select("bucket", "low", "high", "node", "others", none("binary").alias("shingles"), none("bigint").alias("copies"))
+    questions = pairs.where("others IS NOT NULL").select("bucket", "low", "high", "node", "others", none("binary").alias("shingles"), none("bigint").alias("copies"))
     blocks = material.unionAll(questions).repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
     verified = write_scratch(blocks.mapInArrow(_verify(threshold), "node binary, links bigint, root binary"), "links")
 

@@ -11,8 +11,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
-GROUP_BYTES = 4 * 1024 * 1024  # texts looked at together
+GROUP_BYTES = 1024 * 1024  # texts looked at together: some 50 bytes of arrays per byte
+ROWS_AT_ONCE = 64
 SEGMENT = 1 << 18  # bytes hashed together, unless one word is longer
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so that powers have inverses modulo 2^64
@@ -99,16 +101,20 @@ def words_of(texts: list[bytes], between: np.ndarray = _SPACE) -> Words:
     return Words(data, starts, ends, hashes, text_starts[:-1], bounds)
 
 
-def groups(texts: list[bytes | None], limit: int = GROUP_BYTES) -> Iterator[tuple[int, list[bytes]]]:
-    """(number of the first text, texts) of about ``limit`` bytes each; null counts as empty."""
-    first, group, size = 0, [], 0
-    for i, text in enumerate(texts):
-        text = text or b""
-        if group and size + len(text) > limit:
-            yield first, group
-            first, group, size = i, [], 0
-        group.append(text)
-        size += len(text)
+def groups(texts: pa.Array | list, limit: int = GROUP_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """(number of the first text, texts) of about ``limit`` bytes each, null
+    counting as empty. A column is turned into Python objects a few rows at a time."""
+    first, group, size, i = 0, [], 0, 0
+    for at in range(0, len(texts), ROWS_AT_ONCE):
+        part = texts[at : at + ROWS_AT_ONCE]
+        for text in part if isinstance(part, list) else part.to_pylist():
+            text = text or b""
+            if group and size + len(text) > limit:
+                yield first, group
+                first, group, size = i, [], 0
+            group.append(text)
+            size += len(text)
+            i += 1
     if group:
         yield first, group
 
