@@ -37,7 +37,7 @@ from epipanel.llm.words import PUNCTUATION, Words, groups, words_of
 TERMS = 1 << 15
 PASSAGE = 32
 RANK, EXTRA = 96, 16
-FIT_DOCUMENTS, FIT_TASKS = 20_000, 8
+FIT_DOCUMENTS, FIT_TASKS = 10_000, 8
 SKETCH_ROWS = 512  # columns of A in a block of the sketch
 STRIDE = 8
 SIZES = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256)  # window lengths, in strides
@@ -76,7 +76,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Passages that hold each column; at ``TERMS`` all passages, at ``TERMS + 1`` all documents."""
     counts = np.zeros(TERMS + 2, dtype=np.int64)
     for batch in batches:
-        for _, group in groups(batch.column("body").to_pylist()):
+        for _, group in groups(batch.column("body")):
             words = _words(group)
             rows = np.sort(_rows_of(words, _terms(words), PASSAGE)[0], axis=1)
             found = np.bincount(rows[_firsts(rows)], minlength=TERMS + 1)
@@ -101,7 +101,7 @@ def _sketch(idf: np.ndarray, seed: int):
         omega = _omega(seed)
         total = np.zeros((TERMS + 1, omega.shape[1]), dtype=np.float32)
         for batch in batches:
-            for _, group in groups(batch.column("body").to_pylist()):
+            for _, group in groups(batch.column("body")):
                 words = _words(group)
                 passages = _rows_of(words, _terms(words), PASSAGE)[0]
                 for at in range(0, len(passages), 2000):
@@ -207,6 +207,16 @@ def common_subsequence(masks: dict[int, int], size: int, words: list[int]) -> in
     return size - row.bit_count()
 
 
+def _wider(sums: dict[int, np.ndarray], size: int) -> np.ndarray:
+    """Sums of ``size`` rows from each row on, made of two smaller ones and kept in ``sums``."""
+    if size not in sums:
+        half = 1 << (size - 1).bit_length() - 1
+        a, b = _wider(sums, half), _wider(sums, size - half)
+        sums[size] = a.copy()
+        sums[size][: len(a) - half] += b[half:]
+    return sums[size]
+
+
 def _candidates(stride_rows: np.ndarray, vectors: np.ndarray, items: Items, min_cosine: float) -> Iterator[tuple[int, int, float]]:
     """(first row, item, cosine): of each run of neighbouring windows that
     reach the cosine, the best."""
@@ -219,22 +229,11 @@ def _candidates(stride_rows: np.ndarray, vectors: np.ndarray, items: Items, min_
             part += vectors[rows[:, j]]
         sums[at : at + 1024] = part
     wider: dict[int, np.ndarray] = {1: sums}
-
-    def window(size: int) -> np.ndarray:
-        """Sums of ``size`` rows from each row on, made of two smaller ones."""
-        if size not in wider:
-            half = 1 << (size - 1).bit_length() - 1
-            a, b = window(half), window(size - half)
-            out = a.copy()
-            out[: len(out) - half] += b[half:]
-            wider[size] = out
-        return wider[size]
-
     within = stride_rows[:, 0] != TERMS  # a window does not start between two texts
     sizes = np.array(items.sizes)
     for size in np.unique(sizes):
         mine = np.flatnonzero(sizes == size)
-        sums_here = window(int(size))
+        sums_here = _wider(wider, int(size))
         norm = np.sqrt(np.einsum("ij,ij->i", sums_here, sums_here))
         score = items.vectors[mine] @ sums_here.T
         bar = np.where(within, np.maximum(norm, 1e-6) * np.float32(min_cosine), np.float32(np.inf))
@@ -262,7 +261,7 @@ def _search(vectors: np.ndarray, rows: list[tuple], min_cosine: float):
         for batch in batches:
             out: list[tuple] = []
             idents, keys = batch.column("ident").to_pylist(), batch.column("text_key").to_pylist()
-            for at, group in groups(batch.column("body").to_pylist()) if items.ids else ():
+            for at, group in groups(batch.column("body")) if items.ids else ():
                 words = _words(group)
                 stride_rows, first = _rows_of(words, _terms(words), STRIDE, gap)
                 best: dict[tuple[int, int], tuple] = {}
