@@ -15,7 +15,7 @@ from epipanel.functions.columns import as_col
 
 # Fixed output types of the analyses.
 GROWTH_TYPE = "decimal(8,2)"        # growth percent, two places
-PCT_CHANGE_TYPE = "decimal(18,3)"   # fractional day-over-day change, three places
+PCT_CHANGE_TYPE = "decimal(38,3)"   # fractional day-over-day change, three places; no bigint ratio overflows it
 
 
 def ratio(numerator, denominator, places: int = 2) -> Column:

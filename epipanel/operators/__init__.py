@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame analytic operators."""
 
-from epipanel.operators.entities import keep_entities, like_entity
+from epipanel.operators.entities import fill_identity, keep_entities, like_entity
 from epipanel.operators.growth import (
     EXTREMES,
     extreme_snapshots,
@@ -8,6 +8,7 @@ from epipanel.operators.growth import (
     growth_extreme_report,
     growth_extremes,
     growth_factor,
+    panel_snapshots,
 )
 from epipanel.operators.occurrence import (
     accumulate,
@@ -26,6 +27,7 @@ from epipanel.operators.wide import (
     wide_local_spikes,
     wide_percent_change,
     wide_percent_change_table,
+    wide_snapshots,
 )
 from epipanel.operators.series import (
     change_over_time,
@@ -41,6 +43,7 @@ __all__ = [
     "change_over_time",
     "densify",
     "extreme_snapshots",
+    "fill_identity",
     "first_occurrence",
     "growth_daily_stats",
     "growth_extreme_report",
@@ -54,6 +57,7 @@ __all__ = [
     "long_to_wide",
     "most_infected",
     "outcome_ratios",
+    "panel_snapshots",
     "percent_change",
     "population_rollup",
     "relationship",
@@ -65,5 +69,6 @@ __all__ = [
     "wide_local_spikes",
     "wide_percent_change",
     "wide_percent_change_table",
+    "wide_snapshots",
     "wide_to_long",
 ]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epipanel.functions.allow_lists import INLIST_MAX, US_STATES
+from epipanel.functions.columns import as_list
 
 
 def keep_entities(df: DataFrame, col: str, allowed: Iterable[str] | DataFrame = US_STATES) -> DataFrame:
@@ -22,7 +23,7 @@ def keep_entities(df: DataFrame, col: str, allowed: Iterable[str] | DataFrame =
     """
     if isinstance(allowed, DataFrame):
         names = allowed.select(allowed.columns[0]).withColumnRenamed(allowed.columns[0], col)
-        return df.join(names.distinct(), col, "left_semi")
+        return df.join(names, col, "left_semi")
     names = sorted(set(allowed))
     if len(names) <= INLIST_MAX:
         return df.where(F.col(col).isin(names))
@@ -31,6 +32,18 @@ def keep_entities(df: DataFrame, col: str, allowed: Iterable[str] | DataFrame =
     return df.join(F.broadcast(table), col, "left_semi")
 
 
+def fill_identity(df: DataFrame, cols: str | Sequence[str], value: str = " ") -> DataFrame:
+    """Null cells of the named identity columns replaced by ``value``, the
+    fill the original meant to apply before it read rows by position. Other
+    columns, measures included, keep their nulls."""
+    wanted = set(as_list(cols))
+    missing = wanted - set(df.columns)
+    if missing:
+        raise ValueError(f"no such columns: {sorted(missing)}")
+    quoted = {c: F.col("`" + c.replace("`", "``") + "`") for c in df.columns}
+    return df.select(*[F.coalesce(quoted[c].cast("string"), F.lit(value)).alias(c) if c in wanted else quoted[c] for c in df.columns])
+
+
 def like_entity(df: DataFrame, col: str, text: str, how: str = "contains") -> DataFrame:
     """Rows whose ``col`` contains (``LIKE '%t%'``) or ends with
     (``LIKE '%t'``) ``text``, matched literally (no wildcard injection)."""

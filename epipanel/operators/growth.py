@@ -7,29 +7,36 @@ six extremes. Here the whole family is one declarative plan:
     panel --lag over entity--> growth rows (every entity, every date)
           --groupBy(group, date)--> per-date median / avg / max / min
           --groupBy(group), max/min of (stat, date) structs--> six extremes
-          --broadcast join back on (group, date)--> six snapshots
+    panel --only the extreme dates and the days before--> six snapshots
 
 Scale notes
 * The lag window is partitioned by (group, entity); an entity holds at most
   one row per date, so no window partition grows with the data volume.
 * Per-date statistics come from a ``(group, date, delta) -> count``
-  histogram, a hash aggregate combined map-side; the exact median is found
-  by a running count over one group-date's histogram rows, which number at
-  most the distinct decimal(8,2) deltas, not the places. A group holding a
-  third of all rows never lands in one task.
+  histogram, a hash aggregate combined map-side. The exact median is found
+  in two steps, each over a fixed number of rows of a group and date: the
+  histogram is folded into at most 12,208 buckets, the bucket that holds the
+  median is found, and then the median among that bucket's 16,384 possible
+  deltas. A group holding a third of all rows never lands in one task.
 * Extremes are picked with ``max``/``min`` over ``struct(stat, day)`` in one
   aggregation over the small per-date table (sort-based, as struct buffers
   require; no window, no driver loop); ties go to the earliest date, as the
   original's strict comparison while walking dates upwards.
 * The extremes table (six rows per group) is counted before it is
-  broadcast; beyond the limit the join falls back to a shuffle join.
+  broadcast; beyond the limit the join falls back to a shuffle join. With
+  it known, the second reading of the panel keeps only the extreme dates
+  and the days before them, reduced to one row per entity before the shuffle.
+* Group columns may be null (a null province is normal): all joins on them
+  are null-safe.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epipanel.functions.columns import as_list
@@ -51,6 +58,9 @@ EXTREMES = (
 # i.e. percentile_approx accuracy 1/0.001.
 SKETCH_ACCURACY = 1000
 
+# Deltas (decimal(8,2), counted in hundredths) per bucket of the median's first step.
+MEDIAN_BUCKET = 1 << 14
+
 # statistic column and direction of each extreme
 _EXTREME_SPEC = {
     "greatest_median": ("median_delta", "greatest"),
@@ -127,10 +137,11 @@ def growth_daily_stats(
 
     Computed from a value histogram, so no task ever holds a group's rows:
     ``(group, date, delta) -> count`` is a hash aggregate combined map-side
-    and spread by the delta value itself; the running count over one
-    group-date's histogram rows (at most the distinct decimal(8,2) deltas,
-    sorted with spilling) locates the median; sums, extremes and counts come
-    from the same histogram in the same final aggregation.
+    and spread by the delta value itself. It is folded into buckets of
+    ``MEDIAN_BUCKET`` neighbouring deltas; a running count over the buckets
+    of a group and date finds the median's bucket, and one over the
+    deltas of that bucket the median. Sums, extremes and counts come from
+    the buckets.
 
     ``median="sketch"`` uses the original's quantile sketch instead
     (``percentile_approx`` with relative error 0.001): one aggregation whose
@@ -153,25 +164,51 @@ def growth_daily_stats(
     if median != "exact":
         raise ValueError("median must be 'exact' or 'sketch'")
     hist = growth.groupBy(*keys, delta_col).agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.partitionBy(*keys).orderBy(delta_col).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
-    ranked = hist.select(
-        *keys,
-        delta,
-        F.col("_n"),
+    bucket = F.floor((delta * 100).cast("bigint") / MEDIAN_BUCKET)
+    buckets = hist.groupBy(*keys, bucket.alias("_bucket")).agg(
+        F.sum("_n").alias("_n"),
+        F.sum(delta * F.col("_n")).alias("_sum"),
+        F.max(delta).alias("_max"),
+        F.min(delta).alias("_min"),
+    )
+    ordered = Window.partitionBy(*keys).orderBy("_bucket")
+    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counted = buckets.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.col("_bucket").alias("_mid_bucket"),
         F.sum("_n").over(running).alias("_cum"),
-        F.sum("_n").over(whole).alias("_total"),
+        F.col("_n"),
+        F.sum("_n").over(whole).alias("n_entities"),
+        F.sum("_sum").over(whole).alias("_sum"),
+        F.max("_max").over(whole).cast("double").alias("max_delta"),
+        F.min("_min").over(whole).cast("double").alias("min_delta"),
     )
-    # grouped on the window's partitioning keys: no further shuffle
-    n = F.sum("_n")
-    exact_avg = (F.sum(delta * F.col("_n")) / n).cast("decimal(12,6)")
-    return ranked.groupBy(*keys).agg(
-        F.min(F.when(F.col("_cum") * 2 >= F.col("_total"), delta)).cast("double").alias("median_delta"),
-        exact_avg.cast("double").alias("avg_delta"),
-        F.max(delta).cast("double").alias("max_delta"),
-        F.min(delta).cast("double").alias("min_delta"),
-        n.alias("n_entities"),
+    before = F.col("_cum") - F.col("_n")
+    half_reached = (F.col("_cum") * 2 >= F.col("n_entities")) & (before * 2 < F.col("n_entities"))
+    stats = counted.where(half_reached).select(
+        "*",
+        before.alias("_before"),
+        (F.col("_sum") / F.col("n_entities")).cast("decimal(12,6)").cast("double").alias("avg_delta"),
+    ).drop("_cum", "_n", "_sum")
+    inside = hist.withColumn("_bucket", bucket).join(
+        stats, _same(keys, [f"_k{i}" for i in range(len(keys))]) & (F.col("_bucket") == F.col("_mid_bucket"))
     )
+    within = Window.partitionBy(*keys, "_bucket").orderBy(delta_col).rowsBetween(Window.unboundedPreceding, 0)
+    located = inside.withColumn("_cum", F.col("_before") + F.sum("_n").over(within))
+    one = lambda c: F.max(c).alias(c)  # noqa: E731  the same on all rows of a group and date
+    return located.groupBy(*keys, "_bucket").agg(
+        F.min(F.when(F.col("_cum") * 2 >= F.col("n_entities"), delta)).cast("double").alias("median_delta"),
+        one("avg_delta"),
+        one("max_delta"),
+        one("min_delta"),
+        one("n_entities"),
+    ).drop("_bucket")
+
+
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Column by column equal, nulls being equal; true for no columns."""
+    return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)], F.lit(True))
 
 
 def growth_extremes(
@@ -231,18 +268,67 @@ def extreme_snapshots(
     shuffle join instead.
     """
     group_cols = as_list(group_cols)
-    small = extremes.select(
-        *group_cols,
-        F.col("stat"),
-        F.col(date_col),
-        F.col("value").alias("stat_value"),
-    )
+    small, names = _extreme_dates(extremes, group_cols, date_col)
     small = checked_broadcast(small, max_broadcast_rows)
-    joined = growth.join(small, [*group_cols, date_col], "inner")
+    joined = growth.join(small, _same([*group_cols, date_col], [*names, "_on"]), "inner")
     rest = [c for c in growth.columns if c not in group_cols]
     return joined.select(*group_cols, "stat", "stat_value", *rest)
 
 
+def _extreme_dates(extremes: DataFrame, group_cols: list[str], date_col: str) -> tuple[DataFrame, list[str]]:
+    """``stat, stat_value, _on`` and the group under names of its own."""
+    names = [f"_g{i}" for i in range(len(group_cols))]
+    cols = [F.col(c).alias(n) for c, n in zip(group_cols, names)]
+    return extremes.select(*cols, "stat", F.col(date_col).alias("_on"), F.col("value").alias("stat_value")), names
+
+
+def panel_snapshots(
+    panel: DataFrame,
+    extremes: DataFrame,
+    group_cols: str | Sequence[str],
+    entity_cols: str | Sequence[str],
+    date_col: str = "date",
+    value_col: str = "value",
+    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """:func:`extreme_snapshots` of a panel's growth, without computing the
+    growth of any other date.
+
+    Each entity is reduced to its first date and its values on the extreme
+    dates and the days before (at most two per statistic) in one aggregation,
+    combined map-side. A place has a growth row on a date when it is observed
+    there and on any earlier date, as in :func:`growth_factor`.
+    """
+    group_cols = as_list(group_cols)
+    keys = group_cols + [c for c in as_list(entity_cols) if c not in group_cols]
+    small, names = _extreme_dates(extremes, group_cols, date_col)
+    small = checked_broadcast(small, max_broadcast_rows)
+    days = F.array(F.col("_on"), F.date_sub("_on", 1))
+    near = small.select(*names, F.explode(days).alias("_day")).distinct().withColumn("_near", F.lit(True))
+    near = checked_broadcast(near, 2 * max_broadcast_rows)
+    rows = panel.select(*keys, F.col(date_col).alias("date"), F.col(value_col).alias("value"))
+    flagged = rows.join(near, _same([*group_cols, "date"], [*names, "_day"]), "left")
+    observed = F.collect_list(F.when(F.col("_near"), F.struct("date", "value")))
+    series = flagged.groupBy(*keys).agg(F.min("date").alias("_first"), observed.alias("_observed"))
+    series = series.where(F.size("_observed") > 0)
+    dated = series.select(*keys, "_first", "_observed", F.explode("_observed").alias("_now")).where("_now.date > _first")
+    before = F.filter("_observed", lambda x: x["date"] == F.date_sub(F.col("_now.date"), 1))
+    with_prev = dated.select(*keys, "_now.date", "_now.value", F.get(before, F.lit(0))["value"].alias("_prev_value"))
+    joined = with_prev.join(small, _same([*group_cols, "date"], [*names, "_on"]), "inner")
+    zero = F.lit(0).cast(panel.schema[value_col].dataType)
+    return joined.select(
+        *group_cols,
+        "stat",
+        "stat_value",
+        *[c for c in keys if c not in group_cols],
+        F.date_sub("date", 1).alias("prev_date"),
+        F.coalesce("_prev_value", zero).alias("prev_value"),
+        "date",
+        F.coalesce("value", zero).alias("value"),
+        growth_percent(F.col("value"), F.col("_prev_value")).alias("delta"),
+    )
+
+
 def growth_extreme_report(
     panel: DataFrame,
     group_cols: str | Sequence[str],
@@ -261,7 +347,7 @@ def growth_extreme_report(
     growth = growth_factor(panel, keys, date_col, value_col)
     stats = growth_daily_stats(growth, group_cols)
     extremes = growth_extremes(stats, group_cols, which=which)
-    return extreme_snapshots(growth, extremes, group_cols)
+    return panel_snapshots(panel, extremes, group_cols, entity_cols, date_col, value_col)
 
 
 __all__ = [
@@ -272,4 +358,5 @@ __all__ = [
     "growth_extreme_report",
     "growth_extremes",
     "growth_factor",
+    "panel_snapshots",
 ]

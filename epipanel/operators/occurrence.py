@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from epipanel.functions.allow_lists import US_STATES
 from epipanel.functions.columns import as_list
-from epipanel.functions.numeric import positive, ratio
+from epipanel.functions.numeric import positive, ratio, to_count
 from epipanel.operators.entities import keep_entities, like_entity
 
 MEASURES = ("confirmed", "deaths", "recovered")
@@ -119,10 +119,11 @@ def population_rollup(
     population_col: str = "population",
     allowed: Iterable[str] | DataFrame = US_STATES,
 ) -> DataFrame:
-    """County rows summed to ``state, population`` for recognised states."""
+    """County rows summed to ``state, population`` for recognised states.
+    Text counts like ``12.0`` are accepted; text that is no number is left out."""
     kept = keep_entities(population.select(state_col, population_col), state_col, allowed)
     return kept.groupBy(state_col).agg(
-        F.sum(F.col(population_col).try_cast("bigint")).alias("population")
+        F.sum(to_count(population_col)).alias("population")
     )
 
 
@@ -158,7 +159,7 @@ def relationship(
         ratio("total_deaths", "total_confirmed").alias("case_fatality_ratio"),
     ]
     if population is not None:
-        pop = population.select(F.col(population.columns[0]).alias(entity), F.col(population.columns[1]).alias("_population"))
+        pop = population.select(F.col(entity), F.col("population").alias("_population"))
         joined = joined.join(pop, entity, "inner")
         ratios.append(ratio("total_deaths", "_population").alias("mortality_ratio"))
     ratios.append(ratio("total_recovered", "total_confirmed").alias("case_recovery_ratio"))
@@ -214,9 +215,7 @@ def outcome_ratios(
         ratio("total_deaths", "total_confirmed").alias("case_fatality_ratio"),
     ]
     if population is not None:
-        pop = population.select(
-            F.col(population.columns[0]).alias(entity), F.col(population.columns[1]).alias("_population")
-        )
+        pop = population.select(F.col(entity), F.col("population").alias("_population"))
         per_entity = per_entity.join(pop, entity, "inner")
         cols.append(ratio("total_deaths", "_population").alias("mortality_ratio"))
     cols.append(ratio("total_recovered", "total_confirmed").alias("case_recovery_ratio"))

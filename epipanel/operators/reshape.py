@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +25,11 @@ def date_columns(df: DataFrame, id_cols: Sequence[str]) -> list[tuple[str, objec
     non-identity column whose name parses as ``M/d/yy``, in date order."""
     ids = set(id_cols)
     found = [(c, parse_mdy_name(c)) for c in df.columns if c not in ids]
-    return sorted([(c, d) for c, d in found if d is not None], key=lambda p: p[1])
+    dated = sorted([(c, d) for c, d in found if d is not None], key=lambda p: p[1])
+    for (a, first), (b, second) in zip(dated, dated[1:]):
+        if first == second:
+            raise ValueError(f"columns {a!r} and {b!r} stand for the same date")
+    return dated
 
 
 def stage_cells(
@@ -135,7 +141,9 @@ def densify(
     Missing days get null in the other columns. ``start``/``end`` default to
     the panel's first and last date (scalar subqueries, one small job each).
     The spine is generated per entity with ``sequence`` + ``explode`` — no
-    cross join — and joined back on ``(entity, date)``.
+    cross join — and joined back on ``(entity, date)``, nulls in entity
+    columns being equal. No row is lost: rows without a date, and rows
+    outside ``start`` to ``end``, are passed through beside the spine.
     """
     entity_cols = as_list(entity_cols)
     lo = F.lit(start) if start is not None else df.select(F.min(date_col)).scalar()
@@ -145,4 +153,11 @@ def densify(
         .distinct()
         .select(*entity_cols, F.explode(F.sequence(lo, hi)).alias(date_col))
     )
-    return spine.join(df, [*entity_cols, date_col], "left")
+    keys = [*entity_cols, date_col]
+    spine = spine.toDF(*[f"_spine{i}" for i in range(len(keys))])
+    same = reduce(and_, [F.col(f"_spine{i}").eqNullSafe(F.col(quote(c))) for i, c in enumerate(keys)])
+    rest = [c for c in df.columns if c not in keys]
+    out = [F.col(f"_spine{i}").alias(c) for i, c in enumerate(keys)] + [F.col(quote(c)) for c in rest]
+    on_spine = spine.join(df, same, "left").select(*out)
+    inside = F.coalesce(F.col(quote(date_col)).between(lo, hi), F.lit(False))
+    return on_spine.unionAll(df.where(~inside).select(*[F.col(quote(c)) for c in [*keys, *rest]]))

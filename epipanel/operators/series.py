@@ -34,11 +34,14 @@ def increments(
 ) -> DataFrame:
     """Day-over-day difference of a cumulative series.
 
-    Output: ``entity_cols..., date, increment``; the first day's increment
-    is its own value (the series is taken to start from 0).
+    Output: ``entity_cols..., date, increment``; the first value's increment
+    is the value itself (the series is taken to start from 0). A missing
+    value has no increment, and the next one counts from the last value
+    before the gap.
     """
     entity_cols = as_list(entity_cols)
-    prev = F.coalesce(_previous(value_col, entity_cols, date_col), F.lit(0))
+    before = Window.partitionBy(*entity_cols).orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
+    prev = F.coalesce(F.last(value_col, ignorenulls=True).over(before), F.lit(0))
     return panel.select(
         *entity_cols, F.col(date_col), (F.col(value_col) - prev).alias("increment")
     )

@@ -55,16 +55,31 @@ class _Frame:
     def positions(self, first: int = 0) -> Column:
         return F.sequence(F.lit(first), F.lit(self.n - 1))
 
-    def exploded(self, id_cols: list[str]) -> DataFrame:
+    def filled(self) -> Column:
+        """The cells with each empty one replaced by the last value before
+        it. A row without empty cells is passed through as it is."""
+        kind = f"array<{self.value_type}>"
+        start = F.array().cast(kind)
+        last = lambda done: F.element_at(done, -1)
+        carry = F.aggregate(
+            self.values,
+            start,
+            lambda done, x: F.concat(done, F.array(F.coalesce(x, F.when(F.size(done) > 0, last(done))))),
+        )
+        return F.when(F.exists(self.values, lambda x: x.isNull()), carry).otherwise(self.values)
+
+    def exploded(self, id_cols: list[str], previous: Column | None = None) -> DataFrame:
         """One row per date column: ``_pos``, ``_val`` (the cell) and
-        ``_prev`` (the previous column's cell, null for the first).
+        ``_prev`` (the previous column's cell, null for the first; taken
+        from the array ``previous`` instead of the cells if given).
 
         Built from codegen'd expressions only: the previous cells are the
         array shifted by one (``slice(concat(...))``) and both are exploded
         together with ``posexplode(arrays_zip(...))``.
         """
         ids = _ids(id_cols)
-        shifted = F.slice(F.concat(F.array(F.lit(None).cast(self.value_type)), F.col("_v")), 1, self.n)
+        source = F.col("_v") if previous is None else previous
+        shifted = F.slice(F.concat(F.array(F.lit(None).cast(self.value_type)), source), 1, self.n)
         paired = self.staged.select(*ids, F.col("_v"), shifted.alias("_p"))
         return paired.select(*ids, F.posexplode(F.arrays_zip("_v", "_p")).alias("_pos", "_z")).select(
             *ids, F.col("_pos"), F.col("_z._v").alias("_val"), F.col("_z._p").alias("_prev")
@@ -120,7 +135,7 @@ def wide_increments(wide: DataFrame, id_cols: str | Sequence[str], value_type: s
     id_cols = as_list(id_cols)
     fr = _Frame(wide, id_cols, value_type)
     inc = F.col("_val") - F.coalesce(F.col("_prev"), F.lit(0))
-    return fr.exploded(id_cols).select(
+    return fr.exploded(id_cols, fr.filled()).select(
         *_ids(id_cols), F.get(fr.days, F.col("_pos")).alias("date"), inc.alias("increment")
     )
 
@@ -133,9 +148,10 @@ def wide_increment_table(wide: DataFrame, id_cols: str | Sequence[str], value_ty
     # plain per-column arithmetic on the staged array (codegen'd; built in
     # one selectExpr call however many columns)
     incs = [f"_v[0] - 0 AS {quote(fr.names[0])}"] + [
-        f"_v[{k}] - coalesce(_v[{k - 1}], 0) AS {quote(name)}" for k, name in enumerate(fr.names) if k > 0
+        f"_v[{k}] - coalesce(_f[{k - 1}], 0) AS {quote(name)}" for k, name in enumerate(fr.names) if k > 0
     ]
-    return fr.staged.selectExpr(*[quote(c) for c in id_cols], *incs)
+    staged = fr.staged.select(*_ids(id_cols), F.col("_v"), fr.filled().alias("_f"))
+    return staged.selectExpr(*[quote(c) for c in id_cols], *incs)
 
 
 def wide_percent_change(wide: DataFrame, id_cols: str | Sequence[str], value_type: str = "bigint") -> DataFrame:
@@ -187,11 +203,13 @@ def wide_local_spikes(
     key_cols = as_list(key_cols)
     fr = _Frame(wide, id_cols, value_type)
     values = fr.values
+    staged = fr.staged
     if cumulative:
+        staged = staged.select(*_ids(id_cols), F.col("_v"), fr.filled().alias("_f"))
         values = F.transform(
-            fr.positions(), lambda i: F.get(fr.values, i) - F.coalesce(_previous_column(fr, i), F.lit(0))
+            fr.positions(), lambda i: F.get(fr.values, i) - F.coalesce(F.get("_f", i - 1), F.lit(0))
         )
-    with_peak = fr.staged.select(*_ids(key_cols), values.alias("_d")).select(
+    with_peak = staged.select(*_ids(key_cols), values.alias("_d")).select(
         *_ids(key_cols), F.col("_d"), F.array_max("_d").alias("_peak")
     )
     p = F.col("_peak")
@@ -223,9 +241,48 @@ def wide_growth_extreme_report(
     The wide file is scanned twice (statistics, then snapshots) and never
     shuffled; only the small histogram and per-date tables move.
     """
-    from epipanel.operators.growth import EXTREMES, extreme_snapshots, growth_daily_stats, growth_extremes
+    from epipanel.operators.growth import EXTREMES, growth_daily_stats, growth_extremes
 
     group_cols = as_list(group_cols)
     growth = wide_growth_factor(wide, id_cols, value_type)
     extremes = growth_extremes(growth_daily_stats(growth, group_cols), group_cols, which=which or EXTREMES)
-    return extreme_snapshots(growth, extremes, group_cols)
+    return wide_snapshots(wide, extremes, id_cols, group_cols, value_type)
+
+
+def wide_snapshots(
+    wide: DataFrame,
+    extremes: DataFrame,
+    id_cols: str | Sequence[str],
+    group_cols: str | Sequence[str],
+    value_type: str = "bigint",
+) -> DataFrame:
+    """:func:`epipanel.operators.growth.extreme_snapshots` of a wide table's
+    growth. Each wide row is joined with its group's extreme dates (a counted
+    broadcast) and only the cells of those dates and the days before are
+    read from its array; no other date is exploded, nothing is shuffled.
+    """
+    from epipanel.operators.growth import _extreme_dates, _same
+    from epipanel.plans.joins import checked_broadcast
+
+    id_cols, group_cols = as_list(id_cols), as_list(group_cols)
+    fr = _Frame(wide, id_cols, value_type)
+    small, names = _extreme_dates(extremes, group_cols, "date")
+    small = small.withColumn("_pos", F.array_position(fr.days, F.col("_on")).cast("int") - 1)
+    small = checked_broadcast(small.where("_pos >= 1"))
+    joined = fr.staged.join(small, _same([quote(c) for c in group_cols], names))
+    pos = F.col("_pos")
+    prev = F.when(F.get(fr.follows, pos), F.get("_v", pos - 1))
+    value = F.get("_v", pos)
+    zero = F.lit(0).cast(value_type)
+    rest = [c for c in id_cols if c not in group_cols]
+    return joined.select(
+        *_ids(group_cols),
+        "stat",
+        "stat_value",
+        *_ids(rest),
+        F.date_sub("_on", 1).alias("prev_date"),
+        F.coalesce(prev, zero).alias("prev_value"),
+        F.col("_on").alias("date"),
+        F.coalesce(value, zero).alias("value"),
+        growth_percent(value, prev).alias("delta"),
+    )

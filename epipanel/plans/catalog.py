@@ -15,6 +15,7 @@ from epipanel.operators import (
     accumulate,
     change_over_time,
     densify,
+    fill_identity,
     first_occurrence,
     growth_daily_stats,
     growth_extreme_report,
@@ -37,8 +38,10 @@ from epipanel.operators import (
     wide_increments,
     wide_local_spikes,
     wide_percent_change,
+    wide_percent_change_table,
     wide_to_long,
 )
+from epipanel.functions.dates import parse_mdy_name
 from epipanel.plans.joins import materialize
 from epipanel.sources import proxies
 from epipanel.sources.files import read_observations, read_snapshot, read_wide, write_snapshot
@@ -46,6 +49,7 @@ from epipanel.session import shared_scratch_path
 from epipanel.streaming import (
     observation_stream,
     publish,
+    read_published,
     running_first_occurrence,
     running_outcome_ratios,
     running_totals,
@@ -301,6 +305,65 @@ def q_wide_local_spikes_world(spark, sf):
     return wide_local_spikes(wide_increment_table(wide, keys), keys, keys)  # the original's two steps
 
 
+# ---- null groups and empty cells -------------------------------------------
+
+def q_gap_daily_increment(spark, sf):
+    """Increments over empty cells, in a panel with a null group."""
+    return increments(proxies.gap_panel(spark, sf), PANEL_ENTITY)
+
+
+def q_gap_percent_change(spark, sf):
+    return percent_change(proxies.gap_panel(spark, sf), PANEL_ENTITY)
+
+
+def q_gap_local_spikes(spark, sf):
+    return local_spikes(q_gap_daily_increment(spark, sf), PANEL_ENTITY)
+
+
+def q_gap_growth_extreme_snapshots(spark, sf):
+    return growth_extreme_report(proxies.gap_panel(spark, sf), PANEL_GROUP, ["location"])
+
+
+def _wide_gap_panel(spark, sf):
+    return long_to_wide(proxies.gap_panel(spark, sf), PANEL_ENTITY)
+
+
+def q_wide_gap_daily_increment(spark, sf):
+    return wide_increments(_wide_gap_panel(spark, sf), PANEL_ENTITY)
+
+
+def q_wide_gap_local_spikes(spark, sf):
+    return wide_local_spikes(_wide_gap_panel(spark, sf), PANEL_ENTITY, PANEL_ENTITY, cumulative=True)
+
+
+def q_wide_gap_growth_extreme_snapshots(spark, sf):
+    return wide_growth_extreme_report(_wide_gap_panel(spark, sf), PANEL_ENTITY, PANEL_GROUP)
+
+
+def q_densify_null_entity(spark, sf):
+    """One state without a name, and one day's records without a date."""
+    obs = proxies.observations(spark, sf).select(
+        F.nullif("state", F.lit("NATION_3")).alias("state"),
+        F.nullif("obs_date", F.lit(SHIFT_START).cast("date")).alias("obs_date"),
+        "confirmed",
+    )
+    return densify(obs, ["state"], "obs_date")
+
+
+def q_population_text(spark, sf):
+    return population_rollup(proxies.population_text(spark, sf), allowed=STATE_ALLOW)
+
+
+def q_fill_identity(spark, sf):
+    return fill_identity(proxies.gap_panel(spark, sf), "grp")
+
+
+def q_cleanse_states_table(spark, sf):
+    """An allow-list given as a table (the nations of one region)."""
+    allowed = proxies.geography(spark, sf).where(F.col("country") == STATE_COUNTRY).select("state")
+    return keep_entities(proxies.observations(spark, sf), "state", allowed)
+
+
 # ---- reshape and files -----------------------------------------------------
 
 def q_densify_observations(spark, sf):
@@ -316,6 +379,42 @@ def q_long_to_wide(spark, sf):
     )
 
 
+def _by_day(wide):
+    """Date columns named ``dYYYYMMDD`` instead of ``M/d/yy``."""
+    ids = len(PANEL_ENTITY)
+    days = [parse_mdy_name(c) for c in wide.columns[ids:]]
+    return wide.toDF(*PANEL_ENTITY, *[d.strftime("d%Y%m%d") for d in days])
+
+
+def q_wide_increment_table(spark, sf):
+    return _by_day(wide_increment_table(_wide_gap_panel(spark, sf), PANEL_ENTITY))
+
+
+def q_wide_percent_change_table(spark, sf):
+    return _by_day(wide_percent_change_table(_wide_gap_panel(spark, sf), PANEL_ENTITY))
+
+
+def q_wide_round_trip_1995(spark, sf):
+    """Region totals of dates outside this century: long -> wide ``M/d/yy``
+    CSV -> long."""
+    days = proxies.observations(spark, sf).where(F.year("obs_date") == 1995)
+    panel = days.groupBy("country", F.col("obs_date").alias("date")).agg(F.sum("confirmed").alias("value"))
+    path = shared_scratch_path(spark, "wide-1995")
+    write_snapshot(long_to_wide(panel, ["country"]), path)
+    return wide_to_long(read_wide(spark, path), ["country"]).where("value IS NOT NULL")
+
+
+def _single_file(header: bool) -> Query:
+    def run(spark, sf):
+        path = shared_scratch_path(spark, "single-file")
+        write_snapshot(q_accum_state(spark, sf), path, header=header, single_file=True)
+        schema = "state string, total_confirmed bigint, total_deaths bigint, total_recovered bigint"
+        return spark.read.schema(schema).option("header", header).option("enforceSchema", not header).csv(path)
+
+    run.__name__ = "q_single_file_header" if header else "q_single_file_no_header"
+    return run
+
+
 def q_wide_to_long(spark, sf):
     """Panel -> wide ``M/d/yy`` CSV file -> read back as text -> long panel."""
     wide = long_to_wide(proxies.user_panel(spark, sf), PANEL_ENTITY)
@@ -378,7 +477,7 @@ def _streamed(spark, sf, build):
     table = shared_scratch_path(spark, "stream-table")
     query = publish(build(observation_stream(spark, source, max_files_per_trigger=4)), table)
     query.awaitTermination()
-    return spark.read.parquet(table)
+    return read_published(spark, table)
 
 
 def q_streaming_accum_state(spark, sf):
@@ -448,7 +547,24 @@ QUERIES: dict[str, Query] = {
     "wide_percent_change": q_wide_percent_change,
     "wide_local_spikes_us": q_wide_local_spikes_us,
     "wide_local_spikes_world": q_wide_local_spikes_world,
+    # null groups and empty cells
+    "gap_daily_increment": q_gap_daily_increment,
+    "gap_percent_change": q_gap_percent_change,
+    "gap_local_spikes": q_gap_local_spikes,
+    "gap_growth_extreme_snapshots": q_gap_growth_extreme_snapshots,
+    "wide_gap_daily_increment": q_wide_gap_daily_increment,
+    "wide_gap_local_spikes": q_wide_gap_local_spikes,
+    "wide_gap_growth_extreme_snapshots": q_wide_gap_growth_extreme_snapshots,
+    "densify_null_entity": q_densify_null_entity,
+    "population_text": q_population_text,
+    "fill_identity": q_fill_identity,
+    "cleanse_states_table": q_cleanse_states_table,
     # reshape and files
+    "wide_increment_table": q_wide_increment_table,
+    "wide_percent_change_table": q_wide_percent_change_table,
+    "wide_round_trip_1995": q_wide_round_trip_1995,
+    "single_file_header": _single_file(True),
+    "single_file_no_header": _single_file(False),
     "densify_observations": q_densify_observations,
     "long_to_wide": q_long_to_wide,
     "wide_to_long": q_wide_to_long,

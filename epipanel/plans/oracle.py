@@ -14,6 +14,8 @@ uses decimal arithmetic. Parity rules:
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from epipanel.plans.catalog import (
     CHANGE_DAYS,
     CHANGE_START,
@@ -177,7 +179,37 @@ def extremes_sql(src: str, name: str = "extremes", which=tuple(_EXTREME_ORDER))
 SNAPSHOT_SELECT = """
 SELECT g.grp, e.stat, e.value AS stat_value, g.location, g.prev_date, g.prev_value,
        g.date, g.value, g.delta
-FROM growth g JOIN extremes e ON g.grp = e.grp AND g.date = e.date"""
+FROM growth g JOIN extremes e ON g.grp IS NOT DISTINCT FROM e.grp AND g.date = e.date"""
+
+# the panel with a null group and empty cells
+GAP_PANEL = """
+gpanel AS (
+  SELECT nullif(grp, 0) AS grp, location, date,
+         CASE WHEN (location * 7 + day(date)) % 11 <> 0 THEN value END AS value
+  FROM panel
+)"""
+GAP_STEPS = """
+gsteps AS (
+  SELECT grp, location, date,
+         value - COALESCE(last_value(value IGNORE NULLS) OVER (
+           PARTITION BY grp, location ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS increment
+  FROM gpanel
+)"""
+GAP_SPIKES = """
+SELECT grp, location,
+       COUNT(*) FILTER (WHERE peak > 0 AND CAST(increment AS DOUBLE) >= CAST(peak AS DOUBLE)) AS count_high_days,
+       max(increment) AS highest_daily_value
+FROM (SELECT *, max(increment) OVER (PARTITION BY grp, location) AS peak FROM gsteps) t
+GROUP BY grp, location"""
+
+# The days of the events table.
+DAYS = [_dt.date(2024, 1, 1) + _dt.timedelta(days=i) for i in range(30)]
+
+
+def _one_column_per_day(value: str, src: str) -> str:
+    """A wide table without a pivot, which a view could not hold."""
+    cells = ", ".join(f"max({value}) FILTER (WHERE date = DATE '{d}') AS d{d:%Y%m%d}" for d in DAYS)
+    return f"\nSELECT grp, location, {cells} FROM {src} GROUP BY grp, location"
 
 
 def _single(stat: str) -> str:
@@ -291,10 +323,10 @@ FROM acc a JOIN fc ON a.state = fc.state JOIN fd ON a.state = fd.state JOIN pr O
 
 def _pct(value: str, prev: str) -> str:
     q = f"CAST({value} AS DOUBLE) / NULLIF(CAST({prev} AS DOUBLE), 0) - 1"
-    zero = "CAST(0 AS DECIMAL(18,3))"
+    zero = "CAST(0 AS DECIMAL(38,3))"
     return (
         f"CASE WHEN COALESCE({prev}, 0) = 0 THEN {zero} "
-        f"ELSE COALESCE(TRY_CAST(CAST({q} AS VARCHAR) AS DECIMAL(18,3)), {zero}) END"
+        f"ELSE COALESCE(TRY_CAST(CAST({q} AS VARCHAR) AS DECIMAL(38,3)), {zero}) END"
     )
 
 
@@ -377,11 +409,47 @@ FROM (SELECT DISTINCT state FROM obs) s
 CROSS JOIN (SELECT min(obs_date) AS lo, max(obs_date) AS hi FROM obs) b
 CROSS JOIN range(0, (b.hi - b.lo) + 1) t(i)
 LEFT JOIN obs o ON o.state = s.state AND o.obs_date = CAST(b.lo + CAST(t.i AS INTEGER) AS DATE)""",
-    "long_to_wide": _with(PANEL) + """
-SELECT * FROM (
-  PIVOT (SELECT grp, location, 'd' || strftime(date, '%Y%m%d') AS day_name, value FROM panel)
-  ON day_name USING first(value) GROUP BY grp, location
-)""",
+    "long_to_wide": _with(PANEL) + _one_column_per_day("value", "panel"),
+    "gap_daily_increment": _with(PANEL, GAP_PANEL, GAP_STEPS) + "SELECT * FROM gsteps",
+    "gap_percent_change": _with(PANEL, GAP_PANEL) + f"""
+SELECT grp, location, date, {_pct('value', 'pv')} AS pct_change
+FROM (SELECT *, lag(value) OVER (PARTITION BY grp, location ORDER BY date) AS pv FROM gpanel) t""",
+    "gap_local_spikes": _with(PANEL, GAP_PANEL, GAP_STEPS) + GAP_SPIKES,
+    "gap_growth_extreme_snapshots": _with(
+        PANEL, GAP_PANEL, growth_sql("gpanel"), stats_sql("growth"), extremes_sql("stats")
+    )
+    + SNAPSHOT_SELECT,
+    "densify_null_entity": _with(OBS) + f"""
+, o AS (
+  SELECT nullif(state, 'NATION_3') AS state, nullif(obs_date, DATE '{SHIFT_START}') AS obs_date, confirmed FROM obs
+)
+SELECT s.state, CAST(b.lo + CAST(t.i AS INTEGER) AS DATE) AS obs_date, o.confirmed
+FROM (SELECT DISTINCT state FROM o) s
+CROSS JOIN (SELECT min(obs_date) AS lo, max(obs_date) AS hi FROM o) b
+CROSS JOIN range(0, (b.hi - b.lo) + 1) t(i)
+LEFT JOIN o ON o.state IS NOT DISTINCT FROM s.state AND o.obs_date = CAST(b.lo + CAST(t.i AS INTEGER) AS DATE)
+UNION ALL SELECT * FROM o WHERE obs_date IS NULL""",
+    "population_text": _with(POP) + f"""
+SELECT state, CAST(SUM(population) FILTER (numbered) AS BIGINT) AS population
+FROM (
+  SELECT g.state, CAST(floor(c.c_acctbal) AS BIGINT) AS population, c.c_custkey % 10 <> 0 AS numbered
+  FROM customer c JOIN geo_p g ON c.c_nationkey = g.nation_key
+) t WHERE state IN ({STATES}) GROUP BY state""",
+    "fill_identity": _with(PANEL, GAP_PANEL)
+    + "SELECT COALESCE(CAST(grp AS VARCHAR), ' ') AS grp, location, date, value FROM gpanel",
+    "cleanse_states_table": _with(OBS)
+    + f"SELECT * FROM obs WHERE state IN (SELECT state FROM geo WHERE country = '{STATE_COUNTRY}')",
+    "wide_increment_table": _with(PANEL, GAP_PANEL, GAP_STEPS) + _one_column_per_day("increment", "gsteps"),
+    "wide_percent_change_table": _with(PANEL, GAP_PANEL, f"""
+gpct AS (
+  SELECT grp, location, date, {_pct('value', 'pv')} AS pct_change
+  FROM (SELECT *, lag(value) OVER (PARTITION BY grp, location ORDER BY date) AS pv FROM gpanel) t
+)""") + _one_column_per_day("pct_change", "gpct"),
+    "wide_round_trip_1995": _with(OBS) + """
+SELECT country, obs_date AS date, CAST(SUM(confirmed) AS BIGINT) AS value
+FROM obs WHERE year(obs_date) = 1995 GROUP BY country, obs_date""",
+    "single_file_header": _with(OBS) + _accum("state", STATES),
+    "single_file_no_header": _with(OBS) + _accum("state", STATES),
     "wide_to_long": _with(PANEL) + "SELECT grp, location, date, value FROM panel",
     "csv_round_trip": _with(PANEL, growth_sql("panel"), stats_sql("growth"), extremes_sql("stats"))
     + SNAPSHOT_SELECT,
@@ -392,7 +460,11 @@ SELECT * FROM (
 # The wide-table queries must give exactly the long-panel answers.
 ORACLE.update(
     {
-        # the sketch is exact for groups of this size (30 / 300 places)
+        "wide_gap_daily_increment": ORACLE["gap_daily_increment"],
+        "wide_gap_local_spikes": ORACLE["gap_local_spikes"],
+        "wide_gap_growth_extreme_snapshots": ORACLE["gap_growth_extreme_snapshots"],
+        # the sketch is exact for groups of this size (30 / 300 places); its
+        # rank error at larger groups is tested on its own
         "growth_daily_stats_sketch": ORACLE["growth_daily_stats"],
         "wide_growth_factor": ORACLE["growth_factor"],
         "wide_growth_extremes": ORACLE["growth_extremes"],

@@ -36,8 +36,9 @@ from epipanel.operators import (
     wide_increment_table,
     wide_local_spikes,
     wide_percent_change_table,
+    wide_snapshots,
 )
-from epipanel.operators.growth import extreme_snapshots
+from epipanel.plans.joins import materialize
 from epipanel.sources.files import read_observations, read_wide, write_snapshot
 
 # Identity columns of the wide files, by name (never by position).
@@ -59,22 +60,28 @@ def case_report(
     confirmed_world_path: str,
     countries: Iterable[str] | DataFrame,
 ) -> dict[str, DataFrame]:
-    """All results, lazily, keyed by name."""
+    """All results, keyed by name.
+
+    The totals, the population and the growth extremes, all of one row per
+    entity or statistic, are computed and stored in the shared checkpoint
+    folder when this is called: several results are derived from each. The
+    others are lazy and read their input once when they are used.
+    """
     obs = read_observations(spark, observations_path)
     confirmed_us = read_wide(spark, confirmed_us_path)
     world = read_wide(spark, confirmed_world_path)
     us_ids = _ids_present(confirmed_us, US_IDS)
     world_ids = _ids_present(world, WORLD_IDS)
 
-    totals_country = accumulate(obs, "country", countries)
-    totals_state = accumulate(obs, "state", US_STATES)
+    totals_country = materialize(accumulate(obs, "country", countries))
+    totals_state = materialize(accumulate(obs, "state", US_STATES))
     deaths_us = read_wide(spark, deaths_us_path)
     population = population_rollup(
         deaths_us.select(F.col("Province_State").alias("state"), F.col("Population").alias("population"))
     )
 
     growth = wide_growth_factor(confirmed_us, us_ids)
-    extremes = growth_extremes(growth_daily_stats(growth, ["Province_State"]), ["Province_State"])
+    extremes = materialize(growth_extremes(growth_daily_stats(growth, ["Province_State"]), ["Province_State"]))
     increments_us = wide_increment_table(confirmed_us, us_ids)
 
     return {
@@ -92,12 +99,12 @@ def case_report(
         "spikes_us": wide_local_spikes(confirmed_us, us_ids, ["Combined_Key"], cumulative=True),
         "spikes_world": wide_local_spikes(world, world_ids, ["Province/State", "Country/Region"], cumulative=True),
         "growth_extremes_us": extremes,
-        "growth_snapshots_us": _snapshots(growth, extremes),
+        "growth_snapshots_us": _snapshots(confirmed_us, extremes, us_ids),
     }
 
 
-def _snapshots(growth: DataFrame, extremes: DataFrame) -> DataFrame:
-    snaps = extreme_snapshots(growth, extremes, ["Province_State"])
+def _snapshots(confirmed_us: DataFrame, extremes: DataFrame, us_ids: list[str]) -> DataFrame:
+    snaps = wide_snapshots(confirmed_us, extremes, us_ids, ["Province_State"])
     return snaps.select(
         F.col("Province_State").alias("state"),
         "stat",
@@ -119,11 +126,10 @@ def write_report(results: dict[str, DataFrame], out_dir: str, mode: str = "error
     written by many tasks (several sorted files), never funnelled into one.
     """
     for name, df in results.items():
-        parts: list[str] = []
+        parts, order = [], []
         if name == "growth_snapshots_us":
-            parts = ["state", "stat"]
-            df = df.sortWithinPartitions("state", "stat", F.col("prev_value").desc(), "location")
-        write_snapshot(df, f"{out_dir.rstrip('/')}/{name}", partition_cols=parts, mode=mode)
+            parts, order = ["state", "stat"], [F.col("prev_value").desc(), "location"]
+        write_snapshot(df, f"{out_dir.rstrip('/')}/{name}", partition_cols=parts, mode=mode, sort_cols=order)
 
 
 def _read_countries(spark: SparkSession, path: str) -> DataFrame:

@@ -57,13 +57,18 @@ def scale_conf(input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) ->
 
 
 def input_bytes(spark: SparkSession, paths) -> int:
-    """Total size of files under ``paths`` (Hadoop-FS metadata; no data read)."""
+    """Total size of files under ``paths``, globs included (Hadoop-FS
+    metadata; no data read)."""
     jvm = spark.sparkContext._jvm
     hconf = spark.sparkContext._jsc.hadoopConfiguration()
     total = 0
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
-        total += path.getFileSystem(hconf).getContentSummary(path).getLength()
+        fs = path.getFileSystem(hconf)
+        matches = fs.globStatus(path)
+        if not matches:
+            raise FileNotFoundError(p)
+        total += sum(fs.getContentSummary(m.getPath()).getLength() for m in matches)
     return total
 
 

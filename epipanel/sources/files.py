@@ -31,9 +31,15 @@ def read_observations(spark: SparkSession, path: str) -> DataFrame:
     """The daily observation file as a typed long table.
 
     Output: ``obs_date date, state string, country string, confirmed,
-    deaths, recovered bigint``. Counts written as ``5.0`` are accepted.
+    deaths, recovered bigint``. Counts written as ``5.0`` are accepted. A
+    file whose columns are in another order is rejected, not misread.
     """
-    raw = spark.read.schema(OBSERVATION_SCHEMA).option("header", True).csv(path)
+    raw = spark.read.schema(OBSERVATION_SCHEMA).option("header", True).option("enforceSchema", False).csv(path)
+    return typed_observations(raw)
+
+
+def typed_observations(raw: DataFrame) -> DataFrame:
+    """Observation rows as text, batch or stream, with their types."""
     return raw.select(
         parse_observation_date(F.col("ObservationDate")).alias("obs_date"),
         F.col("`Province/State`").alias("state"),
@@ -49,9 +55,12 @@ def read_wide(spark: SparkSession, path: str) -> DataFrame:
 
     No schema inference (it would scan the data twice); the header gives the
     names and :func:`epipanel.operators.reshape.wide_to_long` types the
-    values. Identity columns are chosen by name by the caller.
+    values. Identity columns are chosen by name by the caller. In a folder
+    one file's header gives the names, and every other file is checked
+    against it: a different order is rejected.
     """
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    names = spark.read.option("header", True).option("inferSchema", False).csv(path).schema
+    return spark.read.schema(names).option("header", True).option("enforceSchema", False).csv(path)
 
 
 def write_snapshot(
@@ -61,6 +70,7 @@ def write_snapshot(
     header: bool = True,
     mode: str = "errorifexists",
     single_file: bool = False,
+    sort_cols: Sequence = (),
 ) -> None:
     """Write a result as CSV, one directory per partition value.
 
@@ -69,10 +79,17 @@ def write_snapshot(
     default save mode refuses to overwrite, like the original.
     ``single_file`` funnels everything through one task: only for results
     known to be small.
+
+    Rows are rebalanced by the partition columns first, so that a folder is
+    written by few tasks (small ones share a task, a large one is split) and
+    not by every task that holds a row of it. ``sort_cols`` orders the rows
+    of each file.
     """
-    writer_df = df.coalesce(1) if single_file else df
-    writer = writer_df.write.mode(mode).option("header", header)
     cols = as_list(partition_cols)
+    writer_df = df.coalesce(1) if single_file else df.hint("rebalance", *cols) if cols else df
+    if sort_cols:
+        writer_df = writer_df.sortWithinPartitions(*cols, *sort_cols)
+    writer = writer_df.write.mode(mode).option("header", header)
     if cols:
         writer = writer.partitionBy(*cols)
     writer.csv(path)

@@ -72,18 +72,36 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def population_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`population` as text like ``12.0``; every tenth customer has no number."""
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    geo = geography(spark, sf_dir)
+    text = F.format_string("%d.0", F.floor("c_acctbal"))
+    return customer.join(geo, customer.c_nationkey == geo.nation_key).select(
+        "state", F.when(F.col("c_custkey") % 10 == 0, "n/a").otherwise(text).alias("population")
+    )
+
+
+def gap_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`user_panel` with a null group and with empty cells."""
+    panel = user_panel(spark, sf_dir)
+    empty = (F.col("location") * 7 + F.dayofmonth("date")) % 11 == 0
+    return panel.select(
+        F.nullif("grp", F.lit(0)).alias("grp"), "location", "date", F.when(~empty, F.col("value")).alias("value")
+    )
+
+
 def event_panel(spark: SparkSession, sf_dir: str, entities: dict[str, Column]) -> DataFrame:
     """Dense cumulative daily panel of event counts per entity.
 
     Events are pre-aggregated to (entity, day) counts with map-side
-    combining, so a hot entity is reduced before any shuffle; each entity
-    then carries at most one count per calendar day into a map, and its
-    dense day spine is generated with ``sequence`` (no cross join). The
-    running sum is a window over the entity, which is already the
-    partitioning of the per-entity aggregate (no further shuffle).
+    combining, so a hot entity is reduced before any shuffle. Each entity's
+    day spine is generated with ``sequence`` (no cross join) as rows that
+    count nothing, which are added to the counts; the running sum is a
+    window over the entity. Events without a time have no day and are left out.
     """
     names = list(entities)
-    events = read_table(spark, sf_dir, "events").select(
+    events = read_table(spark, sf_dir, "events").where("ts IS NOT NULL").select(
         *[c.alias(n) for n, c in entities.items()], F.to_date("ts").alias("date")
     )
     first_day = events.select(F.min("date")).scalar()
@@ -92,14 +110,10 @@ def event_panel(spark: SparkSession, sf_dir: str, entities: dict[str, Column]) -
         events.groupBy(*names, "date")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    per_entity = daily.groupBy(*names).agg(
-        F.map_from_entries(F.collect_list(F.struct("date", "n"))).alias("counts")
+    spine = daily.select(*names).distinct().select(
+        *names, F.explode(F.sequence(first_day, last_day)).alias("date"), F.lit(0).cast("bigint").alias("n")
     )
-    dense = per_entity.select(
-        *names,
-        F.explode(F.sequence(first_day, last_day)).alias("date"),
-        "counts",
-    ).select(*names, "date", F.coalesce(F.try_element_at("counts", F.col("date")), F.lit(0)).alias("n"))
+    dense = daily.unionByName(spine).groupBy(*names, "date").agg(F.sum("n").alias("n"))
     running = Window.partitionBy(*names).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     return dense.select(*names, "date", F.sum("n").over(running).alias("value"))
 

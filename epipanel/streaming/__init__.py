@@ -3,6 +3,7 @@
 from epipanel.streaming.feed import (
     observation_stream,
     publish,
+    read_published,
     running_first_occurrence,
     running_outcome_ratios,
     running_totals,
@@ -11,6 +12,7 @@ from epipanel.streaming.feed import (
 __all__ = [
     "observation_stream",
     "publish",
+    "read_published",
     "running_first_occurrence",
     "running_outcome_ratios",
     "running_totals",

@@ -3,7 +3,7 @@
 from conftest import d, rows
 
 from epipanel.session import shared_scratch_path
-from epipanel.streaming import observation_stream, publish, running_first_occurrence, running_totals
+from epipanel.streaming import observation_stream, publish, read_published, running_first_occurrence, running_totals
 
 HEADER = "SNo,ObservationDate,Province/State,Country/Region,Last Update,Confirmed,Deaths,Recovered"
 
@@ -28,14 +28,14 @@ def test_totals_and_first_dates_follow_new_files(spark):
         publish(running_first_occurrence(stream, "deaths", "country"), firsts, ckpt_firsts).awaitTermination()
 
     run()
-    assert sorted(rows(spark.read.parquet(table), "country", "total_confirmed")) == [("Japan", 2), ("US", 1)]
-    assert spark.read.parquet(firsts).count() == 0  # no deaths yet
+    assert sorted(rows(read_published(spark, table), "country", "total_confirmed")) == [("Japan", 2), ("US", 1)]
+    assert read_published(spark, firsts).count() == 0  # no deaths yet
 
     drop_file(spark, source, "day2", ["3,01/23/2020,Washington,US,x,4.0,1.0,0.0", "4,01/23/2020,Atlantis,Atlantis,x,9,9,9"])
     run()
-    assert sorted(rows(spark.read.parquet(table), "country", "total_confirmed", "total_deaths")) == [
+    assert sorted(rows(read_published(spark, table), "country", "total_confirmed", "total_deaths")) == [
         ("Japan", 2, 0),
         ("US", 5, 1),
     ]
-    got = sorted(rows(spark.read.parquet(firsts), "country", "first_deaths_date", "deaths"))
+    got = sorted(rows(read_published(spark, firsts), "country", "first_deaths_date", "deaths"))
     assert got == [("Atlantis", d("2020-01-23"), 9), ("US", d("2020-01-23"), 1)]
