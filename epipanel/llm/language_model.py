@@ -44,8 +44,8 @@ from epipanel.llm.groups import grouped
 from epipanel.llm.words import groups, words_of
 from epipanel.session import write_scratch
 
-BLOCK_TOKENS = 1 << 21
-SHARD_TOKENS = 1 << 22
+BLOCK_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 21
 HOT = 1 << 16
 MU = 200.0
 FOLLOWER_BITS = 40  # of a follower's hash; contexts of a shard have the other 24 bits
