@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epipanel.llm.common import col, narrow, table
-from epipanel.llm.words import groups, span_hashes, words_of
+from epipanel.llm.words import ROWS_AT_ONCE, groups, span_hashes, words_of
 from epipanel.session import write_scratch
 
 MIN_SENTENCES, MIN_WORDS, ENOUGH_WORDS = 3, 20, 50
@@ -79,7 +79,7 @@ def sentence_runs(texts: list[bytes], min_sentences: int, min_words: int, enough
 def _runs(min_sentences: int, min_words: int, enough_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, group in groups(batch.column("body").to_pylist()):
+            for first, group in groups(batch.column("body")):
                 rows = batch.slice(first, len(group))
                 arrays = sentence_runs(group, min_sentences, min_words, enough_words)
                 yield pa.RecordBatch.from_arrays([rows.column("ident"), rows.column("text_key"), *arrays], names=_NAMES)
@@ -96,7 +96,8 @@ def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stretches of sentences covered by runs that are not the first."""
     names = [c.split()[0] for c in _REMOVED.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
-    for batch in batches:
+    # a document has hundreds of runs: few documents at a time as Python objects
+    for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
         out: list[tuple] = []
         for row in batch.to_pylist():
             elsewhere = {hit["run"]: hit["first"] for hit in row["hits"] or ()}
