@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epipanel.llm.common import col, narrow, table
+from epipanel.llm.words import few_rows
 
 TRIE_BYTES = 96 * 1024 * 1024  # text bytes of one trie before it spills
 ROWS_PER_BATCH = 2_000
@@ -168,7 +169,7 @@ def _fold(merge: bool, budget: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owners = SpillingOwners(budget)
-        for batch in batches:
+        for batch in few_rows(batches):
             cells = batch.to_pydict()
             ones = [1] * batch.num_rows
             counts = zip(cells["ident_rows"], cells["n_rows"]) if merge else zip(ones, ones)

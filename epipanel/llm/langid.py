@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epipanel.llm.common import col, crc_bucket, narrow, table
+from epipanel.llm.words import few_rows
 
 DICT_BYTES = 64 * 1024
 LEAD_BYTES = 4 * 1024
@@ -105,7 +106,7 @@ def predict_languages(
             coders.append(zstandard.ZstdCompressor(level=level, dict_data=content, write_content_size=False))
             leads.append(dictionaries[lang][:LEAD_BYTES])
             spent.append(len(coders[-1].compress(leads[-1])))
-        for batch in batches:
+        for batch in few_rows(batches):
             pred, score, margin, rejected = [], [], [], []
             for text in batch.column("__lang_bytes").to_pylist():
                 if text is None or not coders:

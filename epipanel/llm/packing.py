@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from epipanel.llm.common import narrow, table
+from epipanel.llm.words import few_rows
 from epipanel.session import write_scratch
 
 CAPACITY = 1024
@@ -76,7 +77,7 @@ class Encoder:
 def _pieces(tokenizer_path: str, ranks_path: str | None, pattern: str | None, end_id: int, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer_path, ranks_path, pattern)
-        for batch in batches:
+        for batch in few_rows(batches):
             rows: list[tuple] = []
             size = 0
             for ident, text in zip(batch.column("ident").to_pylist(), batch.column("text").to_pylist()):

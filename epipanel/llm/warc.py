@@ -48,6 +48,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from epipanel.llm.common import narrow, table
+from epipanel.llm.words import few_rows
 from epipanel.session import shared_scratch_path
 
 SCHEMA = (
@@ -307,7 +308,7 @@ class WarcWriter(DataSourceArrowWriter):
         done: list[str] = []
         out, size = None, 0
         try:
-            for batch in iterator:
+            for batch in few_rows(iterator):
                 for row in batch.to_pylist():
                     if out is None:
                         done.append(f"part-{uuid.uuid4().hex}.warc.gz")

@@ -101,6 +101,13 @@ def words_of(texts: list[bytes], between: np.ndarray = _SPACE) -> Words:
     return Words(data, starts, ends, hashes, text_starts[:-1], bounds)
 
 
+def few_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so few rows that their texts may become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def groups(texts: pa.Array | list, limit: int = GROUP_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """(number of the first text, texts) of about ``limit`` bytes each, null
     counting as empty. A column is turned into Python objects a few rows at a time."""
