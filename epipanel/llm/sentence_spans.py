@@ -25,7 +25,7 @@ from epipanel.llm.common import col, narrow, table
 from epipanel.llm.words import ROWS_AT_ONCE, groups, span_hashes, words_of
 from epipanel.session import write_scratch
 
-MIN_SENTENCES, MIN_WORDS, ENOUGH_WORDS = 3, 20, 50
+MIN_SENTENCES, MIN_WORDS, ENOUGH_WORDS = 2, 20, 50
 
 _RUNS = (
     "ident bigint, text_key bigint, run_hash array<bigint>, run_first array<int>, run_last array<int>, "

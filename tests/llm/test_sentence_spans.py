@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from epipanel.llm.sentence_spans import remove_repeated_spans, repeated_spans
+from epipanel.llm.sentence_spans import ENOUGH_WORDS, MIN_SENTENCES, MIN_WORDS, remove_repeated_spans, repeated_spans
 
 
 def sentences(text):
@@ -28,7 +28,7 @@ def runs(text):
     for i in range(len(sents)):
         for j in range(i + 1, len(sents) + 1):
             n = sum(map(len, sents[i:j]))
-            if (j - i >= 3 and n >= 20) or n >= 50:
+            if (j - i >= MIN_SENTENCES and n >= MIN_WORDS) or n >= ENOUGH_WORDS:
                 out.append((i, j, tuple(tuple(low(*w) for w in s) for s in sents[i:j])))
                 break
     return sents, out
