@@ -1,4 +1,4 @@
-import itertools
+"""Fixtures of this folder (not a conftest: the folder above has one)."""
 
 import pytest
 
@@ -13,7 +13,3 @@ def docs(spark):
         return df.repartition(partitions)
 
     return build
-
-
-def shuffled_pairs(items):
-    return itertools.combinations(items, 2)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from epipanel.llm import decontaminate
+from llm_fixtures import docs  # noqa: F401
 from epipanel.llm.decontaminate import common_subsequence, drop_contaminated, find_contamination, fit_index, _masks
 
 SF_DIR = "/root/testdata/sf0.01"

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs  # noqa: F401
 from epipanel.llm.exact_dedup import RadixTrie, SpillingOwners, drop_exact_duplicates, exact_owners
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from epipanel.llm import langid
+from llm_fixtures import docs  # noqa: F401
 from epipanel.llm.langid import learn_dictionaries, predict_languages
 
 SF_DIR = "/root/testdata/sf0.01"

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from epipanel.llm import language_model as lm
+from llm_fixtures import docs  # noqa: F401
 from epipanel.llm.language_model import Trie, pack, score_texts, unpack
 
 SF_DIR = "/root/testdata/sf0.01"

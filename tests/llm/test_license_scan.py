@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs  # noqa: F401
 from epipanel.llm.license_scan import MIN_SHARE, N_BASE, TEMPLATES, licence_word_weights, licence_words, postings, scan_licences
 
 ROWS = [

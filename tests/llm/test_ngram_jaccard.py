@@ -7,6 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from epipanel.llm.groups import connected_components
+from llm_fixtures import docs  # noqa: F401
 from epipanel.llm.ngram_jaccard import HASHES, STEP, drop_near_duplicates, minhash, near_duplicates, needed_matches
 
 

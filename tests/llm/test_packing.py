@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from epipanel.llm import packing
+from llm_fixtures import docs  # noqa: F401
 from epipanel.llm.packing import Encoder, best_fit, pack_documents, pack_public
 
 SF_DIR = "/root/testdata/sf0.01"

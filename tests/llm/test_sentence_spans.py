@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs  # noqa: F401
 from epipanel.llm.sentence_spans import ENOUGH_WORDS, MIN_SENTENCES, MIN_WORDS, remove_repeated_spans, repeated_spans
 
 
