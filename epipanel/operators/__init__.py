@@ -35,6 +35,8 @@ from epipanel.operators.series import (
     local_spikes,
     percent_change,
     shift_observed_date,
+    spike_days,
+    spike_lengths,
 )
 
 __all__ = [
@@ -62,6 +64,8 @@ __all__ = [
     "population_rollup",
     "relationship",
     "shift_observed_date",
+    "spike_days",
+    "spike_lengths",
     "wide_growth_extreme_report",
     "wide_growth_factor",
     "wide_increment_table",

@@ -106,6 +106,49 @@ def local_spikes(
     )
 
 
+def spike_days(
+    series: DataFrame,
+    entity_cols: str | Sequence[str],
+    value_col: str = "increment",
+    threshold: float = 1.0,
+    date_col: str = "date",
+) -> DataFrame:
+    """The high days that :func:`local_spikes` counts, one row each:
+    ``entity_cols..., date, value, share`` with ``share`` the value's part
+    of the entity's highest value (1.0 on the highest days)."""
+    entity_cols = as_list(entity_cols)
+    value = F.col(value_col)
+    peak = F.max(value_col).over(Window.partitionBy(*entity_cols))
+    with_peak = series.select(*entity_cols, F.col(date_col).alias("date"), value.alias("value"), peak.alias("_peak"))
+    peak, value = F.col("_peak").cast("double"), F.col("value").cast("double")
+    return with_peak.where((peak > 0) & (value >= F.lit(float(threshold)) * peak)).select(
+        *entity_cols, "date", "value", F.try_divide(value, peak).alias("share")
+    )
+
+
+def spike_lengths(
+    series: DataFrame,
+    entity_cols: str | Sequence[str],
+    value_col: str = "increment",
+    threshold: float = 0.5,
+    date_col: str = "date",
+) -> DataFrame:
+    """Runs of consecutive high days: ``entity_cols..., first_day, last_day,
+    days, total`` (the sum of the run's values). A day without a row, an
+    empty cell and a day below the threshold all end a run."""
+    entity_cols = as_list(entity_cols)
+    high = spike_days(series, entity_cols, value_col, threshold, date_col)
+    place = F.row_number().over(Window.partitionBy(*entity_cols).orderBy("date"))
+    # consecutive days minus their place among the high days are one date
+    run = high.select(*entity_cols, "date", "value", F.date_sub("date", place).alias("_run"))
+    return run.groupBy(*entity_cols, "_run").agg(
+        F.min("date").alias("first_day"),
+        F.max("date").alias("last_day"),
+        F.count("*").alias("days"),
+        F.sum("value").alias("total"),
+    ).drop("_run")
+
+
 def as_date(d) -> _dt.date:
     """A date parameter given as ``date``, ISO text or ``M/d/yy`` text."""
     if isinstance(d, _dt.datetime):

@@ -32,6 +32,8 @@ from epipanel.operators import (
     population_rollup,
     relationship,
     shift_observed_date,
+    spike_days,
+    spike_lengths,
     wide_growth_extreme_report,
     wide_growth_factor,
     wide_increment_table,
@@ -147,6 +149,16 @@ def q_local_spikes_threshold_095(spark, sf):
     return local_spikes(step, ["combined_key"], threshold=0.95)
 
 
+def q_spike_days(spark, sf):
+    """The dates that the spike count stands for, in a panel with empty cells."""
+    return spike_days(q_gap_daily_increment(spark, sf), PANEL_ENTITY)
+
+
+def q_spike_lengths(spark, sf):
+    """Runs of days at half the highest increment or more."""
+    return spike_lengths(q_gap_daily_increment(spark, sf), PANEL_ENTITY)
+
+
 def q_change_over_time(spark, sf):
     return change_over_time(proxies.user_panel(spark, sf), PANEL_ENTITY, CHANGE_START, CHANGE_DAYS)
 
@@ -517,6 +529,8 @@ QUERIES: dict[str, Query] = {
     "local_spikes_us": q_local_spikes_us,
     "local_spikes_world": q_local_spikes_world,
     "local_spikes_threshold_095": q_local_spikes_threshold_095,
+    "spike_days": q_spike_days,
+    "spike_lengths": q_spike_lengths,
     "change_over_time": q_change_over_time,
     "shift_observed_date": q_shift_observed_date,
     # observations

@@ -202,6 +202,18 @@ SELECT grp, location,
 FROM (SELECT *, max(increment) OVER (PARTITION BY grp, location) AS peak FROM gsteps) t
 GROUP BY grp, location"""
 
+GAP_HIGH = """
+ghigh AS (
+  SELECT grp, location, date, increment, CAST(increment AS DOUBLE) / CAST(peak AS DOUBLE) AS share
+  FROM (SELECT *, max(increment) OVER (PARTITION BY grp, location) AS peak FROM gsteps) t WHERE peak > 0
+)"""
+SPIKE_LENGTHS = """
+SELECT grp, location, min(date) AS first_day, max(date) AS last_day, COUNT(*) AS days, CAST(SUM(increment) AS BIGINT) AS total
+FROM (
+  SELECT *, date - CAST(row_number() OVER (PARTITION BY grp, location ORDER BY date) AS INTEGER) AS run
+  FROM ghigh WHERE share >= 0.5
+) t GROUP BY grp, location, run"""
+
 # The days of the events table.
 DAYS = [_dt.date(2024, 1, 1) + _dt.timedelta(days=i) for i in range(30)]
 
@@ -415,6 +427,9 @@ LEFT JOIN obs o ON o.state = s.state AND o.obs_date = CAST(b.lo + CAST(t.i AS IN
 SELECT grp, location, date, {_pct('value', 'pv')} AS pct_change
 FROM (SELECT *, lag(value) OVER (PARTITION BY grp, location ORDER BY date) AS pv FROM gpanel) t""",
     "gap_local_spikes": _with(PANEL, GAP_PANEL, GAP_STEPS) + GAP_SPIKES,
+    "spike_days": _with(PANEL, GAP_PANEL, GAP_STEPS, GAP_HIGH)
+    + "SELECT grp, location, date, increment AS value, share FROM ghigh WHERE share >= 1",
+    "spike_lengths": _with(PANEL, GAP_PANEL, GAP_STEPS, GAP_HIGH) + SPIKE_LENGTHS,
     "gap_growth_extreme_snapshots": _with(
         PANEL, GAP_PANEL, growth_sql("gpanel"), stats_sql("growth"), extremes_sql("stats")
     )

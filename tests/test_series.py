@@ -96,3 +96,17 @@ def test_percent_change_rounds_half_up(spark):
     # 1/8 - 1 = -0.875 exactly; 9/8 - 1 = 0.125 -> 0.125; 2.0005 style values
     pct = percent_change(series(spark, {"x": [8, 9, 8]}), ["loc"]).orderBy("date")
     assert [r.pct_change for r in pct.collect()] == [Decimal("0.000"), Decimal("0.125"), Decimal("-0.111")]
+
+
+def test_spike_days_and_lengths(spark):
+    from epipanel.operators import spike_days, spike_lengths
+
+    values = [1, 10, 8, None, 9, 2, 10]
+    data = [("x", d(f"2020-01-0{i + 1}"), v) for i, v in enumerate(values)] + [("none", d("2020-01-01"), 0), (None, d("2020-01-09"), 3)]
+    frame = spark.createDataFrame(data, "e string, date date, increment bigint")
+    days = sorted(map(str, rows(spike_days(frame, "e"), "e", "date", "value", "share")))
+    assert days == sorted(map(str, [("x", d("2020-01-02"), 10, 1.0), ("x", d("2020-01-07"), 10, 1.0), (None, d("2020-01-09"), 3, 1.0)]))
+    runs = rows(spike_lengths(frame, "e", threshold=0.75).where("e = 'x'").orderBy("first_day"), "first_day", "last_day", "days", "total")
+    assert runs == [
+        (d("2020-01-02"), d("2020-01-03"), 2, 18), (d("2020-01-05"), d("2020-01-05"), 1, 9), (d("2020-01-07"), d("2020-01-07"), 1, 10)
+    ]
