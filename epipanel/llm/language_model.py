@@ -22,7 +22,8 @@ distinct words, then its distinct bigrams, to shards by hash and gets one
 number back for each; how often texts share a word or a bigram therefore
 does not matter. A shard is a trie of its own, built and asked in one task. Contexts
 that make up over 1 / 65536 of the training tokens, of which there can be
-65536 at most, are dealt over all shards by their followers.
+65536 at most, are dealt over several shards by their followers, in proportion
+to their count.
 """
 
 from __future__ import annotations
@@ -45,7 +46,8 @@ from epipanel.llm.words import groups, words_of
 from epipanel.session import write_scratch
 
 BLOCK_TOKENS = 1 << 20
-SHARD_TOKENS = 1 << 21
+SHARD_TOKENS = 1 << 20
+SHARDS_PER_TASK = 2  # evens out what hashing the shards to tasks does not
 HOT = 1 << 16
 MU = 200.0
 FOLLOWER_BITS = 40  # of a follower's hash; contexts of a shard have the other 24 bits
@@ -188,10 +190,13 @@ def _total_words(hot_count: float):
 class Bigrams:
     """The distinct bigrams of a block, and the shard of each.
 
-    A bigram goes to the shard of its context's hash; that of a hot context,
-    or of the start, to the shard of its follower's hash, turned by the context's."""
+    A bigram goes to the shard of its context's hash; that of a hot context
+    to one of the ``spread`` shards from ``turn`` on, by its follower's hash.
+    The last entries of ``turn`` and ``spread`` are those of the start of a text."""
 
-    def __init__(self, tokens: np.ndarray, lens: list[int], size: int, bounds: np.ndarray, hot: np.ndarray, turn: np.ndarray) -> None:
+    def __init__(
+        self, tokens: np.ndarray, lens: list[int], size: int, bounds: np.ndarray, hot: np.ndarray, turn: np.ndarray, spread: np.ndarray
+    ) -> None:
         self.size, shards = size, len(bounds) - 1  # size: words of the block; the start is context number size
         previous = np.empty_like(tokens)
         previous[1:] = tokens[:-1]
@@ -199,10 +204,10 @@ class Bigrams:
         distinct, self.place = np.unique(previous * (size + 1) + tokens, return_inverse=True)
         context, follower = distinct // (size + 1), distinct % (size + 1)
         home = np.repeat(np.arange(shards), np.diff(bounds))
-        turned = np.full(size + 1, -1, dtype=np.int64)
-        turned[hot] = turn
-        turned[size] = 0
-        shard = np.where(turned[context] >= 0, (home[follower] + turned[context]) % shards, home[np.minimum(context, size - 1)])
+        first, over = np.append(home, 0), np.ones(size + 1, dtype=np.int64)
+        hot = np.append(hot, size)
+        first[hot], over[hot] = turn, spread
+        shard = (first[context] + home[follower] * over[context] // shards) % shards
         self.order = np.argsort(shard, kind="stable")
         self.context, self.follower = context[self.order], follower[self.order]
         self.bounds = np.searchsorted(shard[self.order], np.arange(shards + 1))
@@ -215,22 +220,27 @@ class Bigrams:
                 yield s, slice(a, b), self.context[a:b][first], np.diff([*first, b - a])
 
 
-def _send_bigrams(shards: int, hot_words: np.ndarray):
+def _send_bigrams(shards: int, hot_words: np.ndarray, hot_share: np.ndarray):
+    """``hot_share``: the part of the training tokens that follow each hot word."""
+    spreads = np.clip(np.ceil(4 * shards * hot_share), 1, shards).astype(np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = shard_edges(shards)
         for row in _rows(batches):
             vocab = unpack(row["vocab"])
             tokens = unpack(row["tokens"], row["n_tokens"]).astype(np.int64)
             bounds = np.append(np.searchsorted(vocab, edges), len(vocab))
-            hot = np.flatnonzero(np.isin(vocab, hot_words, assume_unique=True))
-            turn = (vocab[hot] % np.uint64(shards)).astype(np.int64)
-            bigrams = Bigrams(tokens, row["lens"], len(vocab), bounds, hot, turn)
+            known = _lookup(hot_words, vocab)
+            hot = np.flatnonzero(known >= 0)
+            spread = spreads[np.append(known[hot], _lookup(hot_words, np.array([START])))]
+            turn = np.append((vocab[hot] % np.uint64(shards)).astype(np.int64), 0)
+            bigrams = Bigrams(tokens, row["lens"], len(vocab), bounds, hot, turn, spread)
             counts = np.bincount(bigrams.place, weights=_in_training(row), minlength=len(bigrams.order))[bigrams.order]
             hashes = np.append(vocab, START)
             for s, part, contexts, followers in bigrams.slices():
                 follower = vocab[bigrams.follower[part]] >> np.uint64(64 - FOLLOWER_BITS)
                 yield _part(s, 0, row["block"], pack(hashes[contexts]), pack(followers), pack(follower), pack(counts[part]))
-            layout = (pack(bounds), pack(hot), pack(turn), pack(np.array([len(bounds), len(hot)])))
+            layout = (pack(bounds), pack(hot), pack(np.concatenate((turn, spread))), pack(np.array([len(bounds), len(hot)])))
             yield _part(row["block"] % shards, 1, row["block"], *layout)
 
     return run
@@ -343,8 +353,8 @@ def _score(n: int, v: int):
             p1 = (counts + 1) / (n + v + 1)
             layout = next(p for p in row["answers"] if p["kind"])
             n_bounds, n_hot = unpack(layout["d"], 2).tolist()
-            bounds, hot, turn = (unpack(layout[c], k).astype(np.int64) for c, k in (("a", n_bounds), ("b", n_hot), ("c", n_hot)))
-            bigrams = Bigrams(tokens, row["lens"], len(counts), bounds, hot, turn)
+            bounds, hot, dealt = (unpack(layout[c], k).astype(np.int64) for c, k in (("a", n_bounds), ("b", n_hot), ("c", 2 * n_hot + 2)))
+            bigrams = Bigrams(tokens, row["lens"], len(counts), bounds, hot, *np.split(dealt, 2))
             answers = {p["shard"]: p for p in row["answers"] if not p["kind"]}
             logp = np.empty(len(bigrams.order))
             for s, part, _, followers in bigrams.slices():
@@ -394,7 +404,8 @@ def score_texts(
     n, shards = int(sizes[0]), max(1, -(-int(sizes[1]) // shard_tokens))
 
     sent = blocks.select("block", "lens", "train", "n_tokens", "vocab", "tokens")
-    by_shard = lambda parts: parts.repartition(shards, "shard").sortWithinPartitions("shard")
+    tasks = -(-shards // SHARDS_PER_TASK)
+    by_shard = lambda parts: parts.repartition(tasks, "shard").sortWithinPartitions("shard")
     words = write_scratch(by_shard(sent.mapInArrow(_send_words(shards), _PARTS)).mapInArrow(_total_words(n / HOT), _PARTS), "word-totals")
     v, hot, hot_totals = 0, [], []
     for r in words.where("kind = 1").select("a", "b", "c").collect():
@@ -407,7 +418,7 @@ def score_texts(
     order = np.argsort(hot)
     hot, hot_totals = hot[order], hot_totals[order]
 
-    answers = by_shard(sent.mapInArrow(_send_bigrams(shards, hot), _PARTS)).mapInArrow(_answer_bigrams(hot, hot_totals, mu), _PARTS)
+    answers = by_shard(sent.mapInArrow(_send_bigrams(shards, hot, hot_totals / max(n, 1)), _PARTS)).mapInArrow(_answer_bigrams(hot, hot_totals, mu), _PARTS)
     gather = lambda parts, name: parts.groupBy("block").agg(F.collect_list(F.struct("shard", "kind", "a", "b", "c", "d")).alias(name))
     joined = (
         blocks.select("block", "idents", "lens", "train", "n_tokens", "tokens")
