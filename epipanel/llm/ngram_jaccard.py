@@ -44,7 +44,7 @@ BANDS, ROWS = 24, 4
 HASHES = BANDS * ROWS
 STEP = 16
 TOLERANCE = 1e-6
-BLOCK = 512
+BLOCK = 256
 
 _rng = np.random.default_rng(20240229)
 _MULTIPLY = (_rng.integers(0, 2**32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
