@@ -73,7 +73,8 @@ def _firsts(rows: np.ndarray) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Passages that hold each column; at ``TERMS`` all passages, at ``TERMS + 1`` all documents."""
+    """Passages that hold each column; at ``TERMS`` all passages, at
+    ``TERMS + 1`` the documents that are not empty."""
     counts = np.zeros(TERMS + 2, dtype=np.int64)
     for batch in batches:
         for _, group in groups(batch.column("body")):
@@ -82,7 +83,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = np.bincount(rows[_firsts(rows)], minlength=TERMS + 1)
             counts[:TERMS] += found[:TERMS]
             counts[TERMS] += len(rows)
-            counts[TERMS + 1] += len(group)
+            counts[TERMS + 1] += sum(len(text) > 0 for text in group)
     some = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=["term", "n"])
 
@@ -147,7 +148,7 @@ def fit_index(bodies: DataFrame, seed: int = 11) -> np.ndarray | None:
     idf = np.zeros(TERMS + 1)
     idf[:TERMS] = np.log((counts[TERMS] + 1) / (counts[:TERMS] + 1))
     share = min(1.0, FIT_DOCUMENTS / counts[TERMS + 1])
-    sample = bodies.where(F.rand(seed) < share).repartition(FIT_TASKS)
+    sample = bodies.where((F.octet_length("body") > 0) & (F.rand(seed) < share)).repartition(FIT_TASKS)
     parts = sample.mapInArrow(_sketch(idf, seed), "block int, part binary").repartition(FIT_TASKS, "block")
     omega = _omega(seed)[:TERMS].astype(np.float64)
     sketch = np.zeros_like(omega)
