@@ -52,18 +52,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     smallest node that can be reached.
 
     Alternating large-star and small-star steps: each is a grouped minimum
-    (combined before the shuffle, so a node with any number of
-    edges is no bottleneck) and a join that Spark may split where it is skewed.
-    Each round is checkpointed; rounds end when nothing changes.
+    (combined before the shuffle) and a join with it. The minima are stored
+    before the join, so either side of it has a shuffle of its own and Spark may
+    split the rows of a node with very many edges. Rounds end when nothing changes.
     """
     forward = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     current = materialize(forward)
     state = _state(current)
     while True:
         both = current.unionAll(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        smallest = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
+        least = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m")))
+        joined = both.where("b > a").join(least, F.col("a") == F.col("u"))
+        large = materialize(joined.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        smallest = materialize(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u"))
         kept = large.join(smallest, F.col("a") == F.col("u")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = kept.unionAll(smallest.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
         current = materialize(small)
