@@ -77,21 +77,21 @@ class Encoder:
 def _pieces(tokenizer_path: str, ranks_path: str | None, pattern: str | None, end_id: int, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer_path, ranks_path, pattern)
+        rows: list[tuple] = []
+        size = 0
         for batch in few_rows(batches):
-            rows: list[tuple] = []
-            size = 0
             for ident, text in zip(batch.column("ident").to_pylist(), batch.column("text").to_pylist()):
                 ids = np.append(encoder.ids(text), np.array([end_id], dtype="<u4"))
                 cut = len(ids) % capacity or capacity
                 for piece, (a, b) in enumerate(zip([0, *range(cut, len(ids), capacity)], range(cut, len(ids) + 1, capacity))):
                     part = ids[a:b]
                     rows.append((ident, piece, a, b - a, zlib.crc32(part.tobytes()), part.astype(np.int32) if with_ids else None))
-                    size += b - a if with_ids else 1
+                    size += b - a + 100 if with_ids else 100
                     if size >= 1_000_000:
                         yield _piece_batch(rows, with_ids)
                         rows, size = [], 0
-            if rows:
-                yield _piece_batch(rows, with_ids)
+        if rows:
+            yield _piece_batch(rows, with_ids)
 
     return run
 
