@@ -26,8 +26,8 @@ from epipanel.llm.common import col, crc_bucket, narrow, table
 from epipanel.llm.words import few_rows
 
 DICT_BYTES = 64 * 1024
-LEAD_BYTES = 4 * 1024
-LEVEL = 9
+LEAD_BYTES = 5000
+LEVEL = 12
 MIN_MARGIN = 1  # bytes by which the best language must beat the second
 MAX_LANGUAGES = 512  # dictionaries are sent to every task: 512 x 64 KiB at most
 UNKNOWN = "und"
