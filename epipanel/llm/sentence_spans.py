@@ -1,14 +1,18 @@
 """Substring deduplication by sliding sentence spans (operator 5).
 
 A sentence ends with a word that ends in ``.``, ``!`` or ``?``, at a line
-break, or with the text. From every sentence on, the shortest run of
-consecutive sentences is hashed that has at least ``min_sentences`` sentences
-and ``min_words`` words, or at least ``enough_words`` words. Runs are joined
-globally by hash; the first of equal runs is that of the smallest document id,
-then the earliest in the text. Sentences covered by any other run are removed.
-
-Where a run ends depends only on the sentences from its start on, so a passage
-gives the same runs in every document. A hash that many documents share is
+break, or with the text. A run of consecutive sentences counts if it has at
+least ``min_sentences`` sentences and ``min_words`` words, or at least
+``enough_words`` words; hashed are the shortest from every sentence on and the
+shortest up to every sentence. Runs are joined globally by hash; the first of
+equal runs is that of the smallest document id, then the earliest in the text.
+Sentences covered by any other run are removed.
+
+A run depends only on its own sentences, so a passage gives the same runs in
+every document. The shortest runs cover what all runs would: in a repeated run
+from i to j, the shortest from i covers its sentences up to its end, and each
+sentence after that ends a shortest run that starts at i or later.
+A hash that many documents share is
 counted before the shuffle, and the join back may be split where it is skewed.
 """
 
@@ -58,8 +62,14 @@ def sentence_runs(texts: list[bytes], min_sentences: int, min_words: int, enough
     reach = lambda k: np.searchsorted(total, first_word + k)  # noqa: E731  sentences before k words are there
     end = np.minimum(np.maximum(at + min_sentences, reach(min_words)), reach(enough_words))
     text_end = np.repeat(bounds[1:], np.diff(bounds))
-    whole = end <= text_end
-    runs, run_end = at[whole], end[whole]
+    since = lambda k: np.searchsorted(total, total[1:] - k, side="right") - 1  # noqa: E731  last start of k words
+    begin = np.maximum(np.minimum(at + 1 - min_sentences, since(min_words)), since(enough_words))
+    # a run that is the shortest from its start as well is listed once
+    back = np.flatnonzero((begin >= np.repeat(bounds[:-1], np.diff(bounds))) & (end[begin] != at + 1))
+    whole = np.flatnonzero(end <= text_end)
+    runs, run_end = np.concatenate((whole, begin[back])), np.concatenate((end[whole], back + 1))
+    order = np.lexsort((run_end, runs))
+    runs, run_end = runs[order], run_end[order]
     run_hash = span_hashes(hashes, runs, run_end).view(np.int64)
     run_bounds = np.searchsorted(runs, bounds)
     origin = np.repeat(bounds[:-1], np.diff(run_bounds))
