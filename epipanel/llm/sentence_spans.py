@@ -1,7 +1,11 @@
 """Substring deduplication by sliding sentence spans (operator 5).
 
-A sentence ends with a word that ends in ``.``, ``!`` or ``?``, at a line
-break, or with the text. A run of consecutive sentences counts if it has at
+A sentence ends with a word that ends in a full stop, question or exclamation
+mark of any script (``_ENDS``; quotes and brackets may close after it), at a line
+break, or with the text. One of more than ``enough_words`` words is cut into
+pieces, which count as sentences do: after each word whose hash, taken with the
+next word's, is the smallest of the ``AROUND`` before and after it. So a passage
+is cut alike whatever stands around it. A run of consecutive sentences counts if it has at
 least ``min_sentences`` sentences and ``min_words`` words, or at least
 ``enough_words`` words; hashed are the shortest from every sentence on and the
 shortest up to every sentence. Runs are joined globally by hash; the first of
@@ -26,14 +30,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epipanel.llm.common import col, narrow, table
-from epipanel.llm.words import ROWS_AT_ONCE, groups, span_hashes, words_of
+from epipanel.llm.words import ROWS_AT_ONCE, Words, groups, span_hashes, words_of
 from epipanel.session import write_scratch
 
 MIN_SENTENCES, MIN_WORDS, ENOUGH_WORDS = 2, 20, 50
+AROUND = 3  # words before and after a cut that its place depends on: pieces of seven words on average
+
+
+def _codes(chars: str) -> np.ndarray:
+    return np.array([int.from_bytes(c.encode(), "big") for c in chars])
+
+
+_ENDS = _codes(".!?\u2026\u203c\u203d\u2047\u2048\u2049\u037e\u0589\u061f\u06d4\u0700\u0701\u0702\u0964\u0965\u0f0d\u0f0e\u104a\u104b\u1362\u1367\u1368\u166e\u17d4\u17d5\u1803\u1809\u3002\ufe52\ufe56\ufe57\uff01\uff0e\uff1f\uff61")
+_CLOSERS = _codes("\"')]}*_`>\u00ab\u00bb\u2018\u2019\u201c\u201d\u201e\u2039\u203a\u300d\u300f\u3009\u300b\u3011\u3015\uff02\uff07\uff09\uff3d\uff5d\uff63")
 
 _RUNS = (
     "ident bigint, text_key bigint, run_hash array<bigint>, run_first array<int>, run_last array<int>, "
-    "sentence_start array<int>, sentence_end array<int>, sentence_words array<int>"
+    "sentence_start array<int>, sentence_end array<int>, sentence_words array<int>, sentence_no array<int>"
 )
 _NAMES = [c.split()[0] for c in _RUNS.split(", ")]
 
@@ -42,9 +55,44 @@ def _lists(offsets: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Arr
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.astype(kind.to_pandas_dtype()), kind))
 
 
+def _ends_sentence(words: Words) -> np.ndarray:
+    """Whether the last character of each word, but for closing ones, ends a sentence."""
+    data, end = words.data, words.ends.copy()
+    out = np.zeros(len(end), dtype=bool)
+    todo = np.arange(len(end))
+    while len(todo):
+        last, room = end[todo], end[todo] - words.starts[todo]
+        a, b, c = (np.where(room >= k, data[np.maximum(last - k, 0)], 0).astype(np.int64) for k in (1, 2, 3))
+        size = np.where(a < 128, 1, np.where(b >= 192, 2, 3))
+        code = np.where(size == 1, a, np.where(size == 2, b << 8 | a, c << 16 | b << 8 | a))
+        out[todo] = np.isin(code, _ENDS)
+        closes = np.isin(code, _CLOSERS) & (room > size)
+        end[todo] -= size
+        todo = todo[closes]
+    return out
+
+
+def _cuts(words: Words, last_word: np.ndarray, longest: int) -> np.ndarray:
+    """The words after which a sentence of more than ``longest`` words is cut."""
+    size = np.diff(last_word, prepend=-1)
+    long = np.flatnonzero(size > longest)
+    places = np.concatenate([np.arange(last_word[k] + 1 - size[k], last_word[k]) for k in long] or [last_word[:0]])
+    of = np.repeat(long, size[long] - 1)
+    value = span_hashes(words.hashes, places, places + 2)
+    least = np.ones(len(places), dtype=bool)
+    for d in range(1, AROUND + 1):
+        same = of[d:] == of[:-d]
+        least[d:] &= same & (value[d:] < value[:-d])
+        least[:d] = False
+        least[:-d] &= same & (value[:-d] < value[d:])
+        least[-d:] = False
+    return places[least]
+
+
 def sentence_runs(texts: list[bytes], min_sentences: int, min_words: int, enough_words: int) -> list[pa.Array]:
-    """Per text the hashes, first and last sentences of its runs, and the
-    places (in characters) and word counts of its sentences."""
+    """Per text the hashes, first and last sentences (or pieces) of its runs, the
+    places (in characters) and word counts of its sentences, and which of them
+    are pieces of one: those have the same number."""
     words = words_of(texts)
     data, n = words.data, len(words.starts)
     ends_text = np.zeros(n, dtype=bool)
@@ -53,7 +101,9 @@ def sentence_runs(texts: list[bytes], min_sentences: int, min_words: int, enough
     breaks = np.zeros(n, dtype=bool)
     if n:
         breaks[:-1] = lines[words.starts[1:] - 1] > lines[words.ends[:-1] - 1]
-    last_word = np.flatnonzero(ends_text | breaks | np.isin(data[words.ends - 1], (33, 46, 63)))
+    whole_last = np.flatnonzero(ends_text | breaks | _ends_sentence(words))
+    last_word = np.sort(np.concatenate((whole_last, _cuts(words, whole_last, enough_words))))
+    number = np.searchsorted(whole_last, last_word)
     first_word = np.concatenate(([0], last_word[:-1] + 1)).astype(np.int64)[: len(last_word)]
     bounds = np.searchsorted(first_word, words.bounds)
     hashes = span_hashes(words.hashes, first_word, last_word + 1)
@@ -83,6 +133,7 @@ def sentence_runs(texts: list[bytes], min_sentences: int, min_words: int, enough
         _lists(bounds, chars[words.starts[first_word]] - text_char, i32),
         _lists(bounds, chars[words.ends[last_word]] - text_char, i32),
         _lists(bounds, last_word + 1 - first_word, i32),
+        _lists(bounds, number - np.repeat(number[bounds[:-1][np.diff(bounds) > 0]], np.diff(bounds)[np.diff(bounds) > 0]), i32),
     ]
 
 
@@ -131,7 +182,8 @@ def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     known = [o for o in owner[i:j] if o is not None]
                     out.append((
                         row["ident"], row["text_key"], min(known) if known else None, start,
-                        row["sentence_end"][j - 1] - start, j - i, sum(row["sentence_words"][i:j]),
+                        row["sentence_end"][j - 1] - start, row["sentence_no"][j - 1] - row["sentence_no"][i] + 1,
+                        sum(row["sentence_words"][i:j]),
                     ))
                 i = j + 1
         columns = list(zip(*out)) or [()] * len(names)
