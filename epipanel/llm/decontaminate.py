@@ -12,7 +12,8 @@
 3. Windows of about an item's length, eight words apart, of every document are
    folded in (V'x / sigma) and compared with the benchmark items by cosine.
 4. Windows at ``MIN_COSINE`` or more are verified on whole words, by the longest
-   common subsequence of item and window: ``SAME`` of the item's words in order
+   common subsequence of the item and pieces somewhat longer than it, from an
+   item's length before the window to one after it: ``SAME`` of the item's words in order
    are contamination; from ``PARAPHRASE`` on it is one if the answer, the item's
    last sentence, is there as well (``ANSWER`` of its words in order).
 
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import os
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +42,7 @@ RANK, EXTRA = 96, 16
 FIT_DOCUMENTS, FIT_TASKS = 10_000, 8
 SKETCH_ROWS = 512  # columns of A in a block of the sketch
 STRIDE = 8
-SIZES = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256)  # window lengths, in strides
+SIZES = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256)  # window lengths, in strides; goes on like this
 BLOCK_ITEMS = 4096
 MIN_COSINE = 0.55
 SAME, PARAPHRASE, ANSWER = 0.8, 0.65, 0.8
@@ -55,11 +57,10 @@ def _terms(words: Words) -> np.ndarray:
     return (words.hashes >> np.uint64(64 - TERMS.bit_length() + 1)).astype(np.int64)
 
 
-def _rows_of(words: Words, terms: np.ndarray, width: int, gap: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Each text's terms in rows of ``width``, filled with ``TERMS``, and ``gap``
-    empty rows after each text; the first row of each text."""
+def _rows_of(words: Words, terms: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's terms in rows of ``width``, filled with ``TERMS``; the first row of each text."""
     n = np.diff(words.bounds)
-    first = np.concatenate(([0], np.cumsum(-(-n // width) + gap)))
+    first = np.concatenate(([0], np.cumsum(-(-n // width))))
     rows = np.full(int(first[-1]) * width, TERMS, dtype=np.int64)
     rows[np.arange(len(terms)) + np.repeat(first[:-1] * width - words.bounds[:-1], n)] = terms
     return rows.reshape(-1, width), first
@@ -166,6 +167,14 @@ def fit_index(bodies: DataFrame, seed: int = 11) -> np.ndarray | None:
     return out
 
 
+def _size(n: int) -> int:
+    """The window length nearest to ``n`` words, in strides."""
+    sizes = list(SIZES)
+    while sizes[-1] * STRIDE < n:
+        sizes.append(2 * sizes[-2])
+    return min(sizes, key=lambda s: abs(np.log(s * STRIDE / n)))
+
+
 class Items:
     """A block of benchmark items: their words, answers and latent vectors."""
 
@@ -181,7 +190,7 @@ class Items:
             self.ids.append(ident)
             self.words.append(words.hashes.tolist())
             self.answers.append(_words([last]).hashes.tolist() or self.words[-1])
-            self.sizes.append(min(SIZES, key=lambda s: abs(np.log(s * STRIDE / n))))
+            self.sizes.append(_size(n))
             folded.append(vectors[_terms(words)].sum(axis=0))
         self.vectors = _unit(np.array(folded, dtype=np.float32).reshape(-1, vectors.shape[1]))
 
@@ -208,17 +217,23 @@ def common_subsequence(masks: dict[int, int], size: int, words: list[int]) -> in
     return size - row.bit_count()
 
 
-def _wider(sums: dict[int, np.ndarray], size: int) -> np.ndarray:
-    """Sums of ``size`` rows from each row on, made of two smaller ones and kept in ``sums``."""
+def _wider(sums: dict[int, np.ndarray], size: int, last: np.ndarray) -> np.ndarray:
+    """Sums of ``size`` rows from each row on, made of two smaller ones and kept
+    in ``sums``; those of a text end with its last row (``last`` of each row)."""
     if size not in sums:
         half = 1 << (size - 1).bit_length() - 1
-        a, b = _wider(sums, half), _wider(sums, size - half)
+        a, b = _wider(sums, half, last), _wider(sums, size - half, last)
         sums[size] = a.copy()
-        sums[size][: len(a) - half] += b[half:]
+        rows = np.arange(len(a))
+        for at in range(0, len(a), 4096):
+            more = rows[at : at + 4096][rows[at : at + 4096] + half <= last[at : at + 4096]]
+            sums[size][more] += b[more + half]
     return sums[size]
 
 
-def _candidates(stride_rows: np.ndarray, vectors: np.ndarray, items: Items, min_cosine: float) -> Iterator[tuple[int, int, float]]:
+def _candidates(
+    stride_rows: np.ndarray, first: np.ndarray, vectors: np.ndarray, items: Items, min_cosine: float
+) -> Iterator[tuple[int, int, float]]:
     """(first row, item, cosine): of each run of neighbouring windows that
     reach the cosine, the best."""
     rank = vectors.shape[1]
@@ -230,23 +245,40 @@ def _candidates(stride_rows: np.ndarray, vectors: np.ndarray, items: Items, min_
             part += vectors[rows[:, j]]
         sums[at : at + 1024] = part
     wider: dict[int, np.ndarray] = {1: sums}
-    within = stride_rows[:, 0] != TERMS  # a window does not start between two texts
+    last = np.repeat(first[1:] - 1, np.diff(first))
+    starts = np.zeros(len(stride_rows) + 1, dtype=bool)
+    starts[first] = True  # a run of windows does not go on into the next text
     sizes = np.array(items.sizes)
     for size in np.unique(sizes):
         mine = np.flatnonzero(sizes == size)
-        sums_here = _wider(wider, int(size))
+        sums_here = _wider(wider, int(size), last)
         norm = np.sqrt(np.einsum("ij,ij->i", sums_here, sums_here))
         score = items.vectors[mine] @ sums_here.T
-        bar = np.where(within, np.maximum(norm, 1e-6) * np.float32(min_cosine), np.float32(np.inf))
+        bar = np.maximum(norm, 1e-6) * np.float32(min_cosine)
         for k in np.flatnonzero((score >= bar).any(axis=1)):
             hits = np.flatnonzero(score[k] >= bar)
             cosine = score[k][hits] / norm[hits]
-            runs = np.flatnonzero(np.diff(hits, prepend=-2) > 1)
+            runs = np.flatnonzero((np.diff(hits, prepend=-2) > 1) | starts[hits])
             for a, b in zip(runs, [*runs[1:], len(hits)]):
                 best = a + int(cosine[a:b].argmax())
                 yield int(hits[best]), int(mine[k]), float(cosine[best])
 
 
+def _pieces(n: int, masks: dict[int, int], words: list[int]) -> Iterator[tuple[int, int, int]]:
+    """(start, end, common subsequence) of pieces of ``words`` for an item of ``n``
+    words: each stretch of up to 9/8 of its length is within one. Pieces with
+    fewer of its words than ``PARAPHRASE`` demands are left out."""
+    step, length = STRIDE + n // 8, n + n // 4 + 2 * STRIDE
+    places = [i for i, w in enumerate(words) if w in masks]
+    seen = (-1, -1)
+    for start in range(0, max(0, len(words) - length) + step, step):
+        inside = (bisect_left(places, start), bisect_left(places, start + length))
+        if inside != seen and inside[1] - inside[0] >= PARAPHRASE * n:
+            here = [words[i] for i in places[inside[0] : inside[1]]]
+            yield start, min(start + length, len(words)), common_subsequence(masks, n, here)
+        seen = inside
+
+
 _FOUND = (
     "doc_id bigint, text_key bigint, item_id bigint, start_word int, n_words int, cosine double, lcs_share double, answer_share double"
 )
@@ -256,7 +288,6 @@ def _search(vectors: np.ndarray, rows: list[tuple], min_cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(rows, vectors)
         masks, answer_masks = [_masks(w) for w in items.words], [_masks(w) for w in items.answers]
-        gap = max(items.sizes, default=1)
         names = [c.split()[0] for c in _FOUND.split(", ")]
         kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.float64()] * 3
         for batch in batches:
@@ -264,24 +295,26 @@ def _search(vectors: np.ndarray, rows: list[tuple], min_cosine: float):
             idents, keys = batch.column("ident").to_pylist(), batch.column("text_key").to_pylist()
             for at, group in groups(batch.column("body")) if items.ids else ():
                 words = _words(group)
-                stride_rows, first = _rows_of(words, _terms(words), STRIDE, gap)
+                stride_rows, first = _rows_of(words, _terms(words), STRIDE)
                 best: dict[tuple[int, int], tuple] = {}
-                for row, item, cosine in _candidates(stride_rows, vectors, items, min_cosine):
+                for row, item, cosine in _candidates(stride_rows, first, vectors, items, min_cosine):
                     text = int(np.searchsorted(first, row, side="right")) - 1
-                    start = words.bounds[text] + max(0, (row - int(first[text]) - 1) * STRIDE)
-                    end = min(words.bounds[text + 1], words.bounds[text] + (row - int(first[text]) + items.sizes[item] + 1) * STRIDE)
+                    size, begin = len(items.words[item]), int(words.bounds[text])
+                    at_word = begin + (row - int(first[text])) * STRIDE
+                    start = max(begin, at_word - size)
+                    end = min(int(words.bounds[text + 1]), at_word + items.sizes[item] * STRIDE + size)
                     here = words.hashes[start:end].tolist()
-                    size = len(items.words[item])
-                    share = common_subsequence(masks[item], size, here) / size
-                    if share < PARAPHRASE:
-                        continue
-                    answer = len(items.answers[item])
-                    answer_share = common_subsequence(answer_masks[item], answer, here) / answer
-                    if share < SAME and answer_share < ANSWER:
-                        continue
-                    found = (share, cosine, int(start - words.bounds[text]), int(end - start), answer_share)
-                    if found > best.get((text, item), (0,)):
-                        best[text, item] = found
+                    for a, b, common in _pieces(size, masks[item], here):
+                        share = common / size
+                        if share < PARAPHRASE:
+                            continue
+                        answer = len(items.answers[item])
+                        answer_share = common_subsequence(answer_masks[item], answer, here[a:b]) / answer
+                        if share < SAME and answer_share < ANSWER:
+                            continue
+                        found = (share, cosine, start + a - begin, b - a, answer_share)
+                        if found > best.get((text, item), (0,)):
+                            best[text, item] = found
                 for (text, item), (share, cosine, start, n, answer_share) in best.items():
                     out.append((idents[at + text], keys[at + text], items.ids[item], start, n, cosine, share, answer_share))
             columns = list(zip(*out)) or [()] * len(names)

@@ -1,0 +1,37 @@
+"""Decontamination of long, short and neighbouring items."""
+
+import random
+
+import pytest
+
+from llm_fixtures import docs  # noqa: F401
+from epipanel.llm.decontaminate import find_contamination
+
+VOCABULARY = [f"w{k}" for k in range(900)]
+
+
+def words(rng, n):
+    return rng.choices(VOCABULARY, k=n)
+
+
+def pairs(frame):
+    return sorted((r["doc_id"], r["item_id"]) for r in frame.collect())
+
+
+def others(rng, n=60):
+    return [(1000 + i, " ".join(words(rng, 80))) for i in range(n)]
+
+
+@pytest.mark.parametrize("size", [156, 627, 1254, 4000])
+def test_long_items_are_held_against_as_many_words(spark, docs, size):
+    rng = random.Random(size)
+    item = words(rng, size)
+    near = list(item)
+    for k in rng.sample(range(size - 10), size * 15 // 100 - 10):
+        near[k] = f"x{k}"
+    near[-10:] = [f"y{k}" for k in range(10)]  # the answer is missing
+    rows = [(1, " ".join([*words(rng, 50), *near, *words(rng, 50)])), (2, " ".join(words(rng, size)))]
+    if size > 2580:
+        rows.append((3, " ".join([*words(rng, 33), *item, *words(rng, 21)])))
+    bench = spark.createDataFrame([(7, " ".join(item[:-10]) + ". " + " ".join(item[-10:]))], "item_id bigint, text string")
+    assert pairs(find_contamination(docs([*rows, *others(rng)]), bench)) == [(i, 7) for i, _ in rows if i != 2]
