@@ -16,6 +16,10 @@
    item's length before the window to one after it: ``SAME`` of the item's words in order
    are contamination; from ``PARAPHRASE`` on it is one if the answer, the item's
    last sentence, is there as well (``ANSWER`` of its words in order).
+5. Beside that, exact runs of item words are looked up in all documents: whole
+   items from their first words, and items shorter than the smallest window
+   from every ``SEED`` words, verified as in 4. Items of fewer than
+   ``MIN_ITEM_WORDS`` words are looked up only whole.
 
 The benchmark is the query set: it is read in blocks of about ``BLOCK_ITEMS``
 items, each block against all documents. Nothing is shuffled but column counts and sketches.
@@ -34,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epipanel.llm.common import col, narrow, table
-from epipanel.llm.words import PUNCTUATION, Words, groups, words_of
+from epipanel.llm.words import PUNCTUATION, Words, groups, run_hashes, words_of
 
 TERMS = 1 << 15
 PASSAGE = 32
@@ -46,7 +50,8 @@ SIZES = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256)  # window len
 BLOCK_ITEMS = 4096
 MIN_COSINE = 0.55
 SAME, PARAPHRASE, ANSWER = 0.8, 0.65, 0.8
-MIN_ITEM_WORDS = 8  # a shorter item is a common phrase, not evidence
+MIN_ITEM_WORDS = 8  # a shorter item is found only verbatim
+SEED = 3  # of fewer than 16 words, SAME in order, three stand together unless words come between
 
 
 def _words(texts: list[bytes]) -> Words:
@@ -180,18 +185,30 @@ class Items:
 
     def __init__(self, rows: list[tuple], vectors: np.ndarray) -> None:
         self.ids, self.words, self.answers, self.sizes, folded = [], [], [], [], []
-        for ident, text in rows:
-            body = (text or "").encode()
-            words = _words([body])
-            n = len(words.hashes)
+        read = [(ident, body, _words([body])) for ident, body in ((i, (text or "").encode()) for i, text in rows)]
+        short = lambda row: len(row[2].hashes) < MIN_ITEM_WORDS
+        starts: dict[int, dict[int, list[int]]] = {}
+        seeds: dict[int, list[tuple[int, int]]] = {}
+        for ident, body, words in sorted((r for r in read if len(r[2].hashes)), key=short):  # short ones have no vectors
+            n, item = len(words.hashes), len(self.ids)
+            anchor = run_hashes(words.hashes, min(n, MIN_ITEM_WORDS))
+            starts.setdefault(min(n, MIN_ITEM_WORDS), {}).setdefault(int(anchor[0]), []).append(item)
             if n < MIN_ITEM_WORDS:
+                self.ids.append(ident)
+                self.words.append(words.hashes.tolist())
+                self.answers.append(self.words[-1])
                 continue
+            if n < SIZES[0] * STRIDE:
+                for at, seed in enumerate(run_hashes(words.hashes, SEED).tolist()):
+                    seeds.setdefault(seed, []).append((item, at))
             last = re.split(rb"[.!?\n]+", body.rstrip(b" \t\r\n.!?"))[-1]
             self.ids.append(ident)
             self.words.append(words.hashes.tolist())
             self.answers.append(_words([last]).hashes.tolist() or self.words[-1])
             self.sizes.append(_size(n))
             folded.append(vectors[_terms(words)].sum(axis=0))
+        self.starts = {k: (np.array(sorted(which), dtype=np.uint64), which) for k, which in starts.items()}
+        self.seeds = np.array(sorted(seeds), dtype=np.uint64), seeds
         self.vectors = _unit(np.array(folded, dtype=np.float32).reshape(-1, vectors.shape[1]))
 
 
@@ -264,6 +281,46 @@ def _candidates(
                 yield int(hits[best]), int(mine[k]), float(cosine[best])
 
 
+def _runs(words: Words, length: int, keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(text, first word, hash) of the runs of ``length`` words within a text whose hash is in ``keys``, which are sorted."""
+    runs = run_hashes(words.hashes, length)
+    if not len(keys) or not len(runs):
+        return
+    at = np.minimum(np.searchsorted(keys, runs), len(keys) - 1)
+    places = np.flatnonzero(keys[at] == runs)
+    texts = np.searchsorted(words.bounds, places, side="right") - 1
+    for place, text in zip(places.tolist(), texts.tolist()):
+        if place + length <= words.bounds[text + 1]:
+            yield text, place, int(runs[place])
+
+
+def _verbatim(words: Words, items: Items) -> Iterator[tuple[int, int, int]]:
+    """(text, item, first word) of the first whole copy of each item in each text."""
+    seen: set[tuple[int, int]] = set()
+    for length, (keys, which) in items.starts.items():
+        for text, place, run in _runs(words, length, keys):
+            for item in which[run]:
+                end = place + len(items.words[item])
+                if (text, item) in seen or end > words.bounds[text + 1] or words.hashes[place:end].tolist() != items.words[item]:
+                    continue
+                seen.add((text, item))
+                yield text, item, place
+
+
+def _seeded(words: Words, items: Items) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, start, end) of the places where an item of fewer words than
+    the smallest window may stand, a stride wider on both sides."""
+    keys, which = items.seeds
+    seen: set[tuple[int, int, int]] = set()
+    for text, place, run in _runs(words, SEED, keys):
+        for item, at in which[run]:
+            if (text, item, place - at) in seen:
+                continue
+            seen.add((text, item, place - at))
+            begin, end = int(words.bounds[text]), int(words.bounds[text + 1])
+            yield text, item, max(begin, place - at - STRIDE), min(end, place - at + len(items.words[item]) + STRIDE)
+
+
 def _pieces(n: int, masks: dict[int, int], words: list[int]) -> Iterator[tuple[int, int, int]]:
     """(start, end, common subsequence) of pieces of ``words`` for an item of ``n``
     words: each stretch of up to 9/8 of its length is within one. Pieces with
@@ -295,8 +352,22 @@ def _search(vectors: np.ndarray, rows: list[tuple], min_cosine: float):
             idents, keys = batch.column("ident").to_pylist(), batch.column("text_key").to_pylist()
             for at, group in groups(batch.column("body")) if items.ids else ():
                 words = _words(group)
-                stride_rows, first = _rows_of(words, _terms(words), STRIDE)
+                terms = _terms(words)
+                stride_rows, first = _rows_of(words, terms, STRIDE)
                 best: dict[tuple[int, int], tuple] = {}
+                for text, item, place in _verbatim(words, items):
+                    best[text, item] = (1.0, 1.0, place - int(words.bounds[text]), len(items.words[item]), 1.0)
+                for text, item, start, end in _seeded(words, items):
+                    here, size = words.hashes[start:end].tolist(), len(items.words[item])
+                    if sum(w in masks[item] for w in here) < PARAPHRASE * size:
+                        continue
+                    share = common_subsequence(masks[item], size, here) / size
+                    answer = len(items.answers[item])
+                    answer_share = common_subsequence(answer_masks[item], answer, here) / answer
+                    if share >= SAME or (share >= PARAPHRASE and answer_share >= ANSWER):
+                        window = _unit(vectors[terms[start:end]].sum(axis=0, keepdims=True))[0]
+                        found = (share, float(window @ items.vectors[item]), start - int(words.bounds[text]), end - start, answer_share)
+                        best[text, item] = max(best.get((text, item), (0,)), found)
                 for row, item, cosine in _candidates(stride_rows, first, vectors, items, min_cosine):
                     text = int(np.searchsorted(first, row, side="right")) - 1
                     size, begin = len(items.words[item]), int(words.bounds[text])
@@ -331,7 +402,7 @@ def find_contamination(
     start_word, n_words, cosine, lcs_share, answer_share`` (best window).
 
     * null and empty texts contain nothing; null ids stay null; each repeated row is reported;
-    * null items, and items of fewer than eight words, are not searched for;
+    * null items and items without words are not searched for, items of fewer than eight words only verbatim;
     * empty documents or an empty benchmark give no rows; other columns are ignored;
     * ``text_key`` is ``xxhash64`` of the text, to tell rows of one id apart.
 

@@ -35,3 +35,21 @@ def test_long_items_are_held_against_as_many_words(spark, docs, size):
         rows.append((3, " ".join([*words(rng, 33), *item, *words(rng, 21)])))
     bench = spark.createDataFrame([(7, " ".join(item[:-10]) + ". " + " ".join(item[-10:]))], "item_id bigint, text string")
     assert pairs(find_contamination(docs([*rows, *others(rng)]), bench)) == [(i, 7) for i, _ in rows if i != 2]
+
+
+def test_short_items(spark, docs):
+    """Verbatim copies of 1 to 15 words, and near copies from eight words on, in texts about something else."""
+    rng = random.Random(4)
+    items = [(n * 100 + k, [f"{c}{n}z{k}" if i % 3 else VOCABULARY[i + k] for i, c in enumerate("abcdefghijklmno"[:n])]) for n in range(2, 16) for k in range(5)]
+    rows, want = [], []
+    for at, (item, body) in enumerate(items):
+        lead, rest = words(rng, 21 + at % 8), words(rng, 100)
+        rows.append((at, " ".join([*lead, *body, *rest])))
+        want.append((at, item))
+        if len(body) >= 8:
+            near = [*body[:4], "other", *body[5:]]
+            rows.append((500 + at, " ".join([*lead, *near, *rest])))
+            want.append((500 + at, item))
+    bench = spark.createDataFrame([(i, " ".join(b)) for i, b in items] + [(9, ""), (8, "only")], "item_id bigint, text string")
+    rows.append((400, "The only! word"))
+    assert pairs(find_contamination(docs([*rows, *others(rng)]), bench)) == sorted([*want, (400, 8)])
