@@ -11,9 +11,9 @@
    the columns, weights and the search cover every document.
 3. Windows of about an item's length, eight words apart, of every document are
    folded in (V'x / sigma) and compared with the benchmark items by cosine.
-4. Windows at ``MIN_COSINE`` or more are verified on whole words, by the longest
-   common subsequence of the item and pieces somewhat longer than it, from an
-   item's length before the window to one after it: ``SAME`` of the item's words in order
+4. Runs of windows at ``MIN_COSINE`` or more are verified on whole words, by the
+   longest common subsequence of the item and pieces somewhat longer than it, from
+   an item's length before the first window to one after the last: ``SAME`` of the item's words in order
    are contamination; from ``PARAPHRASE`` on it is one if the answer, the item's
    last sentence, is there as well (``ANSWER`` of its words in order).
 5. Beside that, exact runs of item words are looked up in all documents: whole
@@ -250,9 +250,9 @@ def _wider(sums: dict[int, np.ndarray], size: int, last: np.ndarray) -> np.ndarr
 
 def _candidates(
     stride_rows: np.ndarray, first: np.ndarray, vectors: np.ndarray, items: Items, min_cosine: float
-) -> Iterator[tuple[int, int, float]]:
-    """(first row, item, cosine): of each run of neighbouring windows that
-    reach the cosine, the best."""
+) -> Iterator[tuple[int, int, int, float]]:
+    """(first row of the first window, of the last, item, best cosine) of each
+    run of neighbouring windows that reach the cosine."""
     rank = vectors.shape[1]
     sums = np.empty((len(stride_rows), rank), dtype=np.float32)
     for at in range(0, len(stride_rows), 1024):
@@ -277,8 +277,7 @@ def _candidates(
             cosine = score[k][hits] / norm[hits]
             runs = np.flatnonzero((np.diff(hits, prepend=-2) > 1) | starts[hits])
             for a, b in zip(runs, [*runs[1:], len(hits)]):
-                best = a + int(cosine[a:b].argmax())
-                yield int(hits[best]), int(mine[k]), float(cosine[best])
+                yield int(hits[a]), int(hits[b - 1]), int(mine[k]), float(cosine[a:b].max())
 
 
 def _runs(words: Words, length: int, keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -368,12 +367,13 @@ def _search(vectors: np.ndarray, rows: list[tuple], min_cosine: float):
                         window = _unit(vectors[terms[start:end]].sum(axis=0, keepdims=True))[0]
                         found = (share, float(window @ items.vectors[item]), start - int(words.bounds[text]), end - start, answer_share)
                         best[text, item] = max(best.get((text, item), (0,)), found)
-                for row, item, cosine in _candidates(stride_rows, first, vectors, items, min_cosine):
+                for row, last_row, item, cosine in _candidates(stride_rows, first, vectors, items, min_cosine):
                     text = int(np.searchsorted(first, row, side="right")) - 1
                     size, begin = len(items.words[item]), int(words.bounds[text])
                     at_word = begin + (row - int(first[text])) * STRIDE
                     start = max(begin, at_word - size)
-                    end = min(int(words.bounds[text + 1]), at_word + items.sizes[item] * STRIDE + size)
+                    end = at_word + (last_row - row + items.sizes[item]) * STRIDE + size
+                    end = min(int(words.bounds[text + 1]), end)
                     here = words.hashes[start:end].tolist()
                     for a, b, common in _pieces(size, masks[item], here):
                         share = common / size

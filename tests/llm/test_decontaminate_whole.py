@@ -53,3 +53,17 @@ def test_short_items(spark, docs):
     bench = spark.createDataFrame([(i, " ".join(b)) for i, b in items] + [(9, ""), (8, "only")], "item_id bigint, text string")
     rows.append((400, "The only! word"))
     assert pairs(find_contamination(docs([*rows, *others(rng)]), bench)) == sorted([*want, (400, 8)])
+
+
+def test_every_window_of_a_run_is_verified(spark, docs):
+    """A paraphrase with its answer, beside stretches of the item's words in another order."""
+    rng = random.Random(6)
+    item = [f"v{k}" for k in range(40)]
+    near = list(item)
+    for k in range(0, 30, 3):
+        near[k] = f"x{k}"
+    other = sorted(item, key=lambda w: rng.random())
+    rows = [(1, " ".join([*words(rng, 24), *other * 8, *near, *words(rng, 30)])), (2, " ".join([*words(rng, 24), *other * 6]))]
+    bench = spark.createDataFrame([(7, " ".join(item[:32]) + ". " + " ".join(item[32:]))], "item_id bigint, text string")
+    found = find_contamination(docs([*rows, *others(rng)]), bench).collect()
+    assert [r["doc_id"] for r in found] == [1] and 0.75 <= found[0]["lcs_share"] < 0.8
