@@ -14,7 +14,11 @@ size is bounded. Two kinds of bound are used in the package:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epipanel.session import ensure_checkpoint_dir
@@ -44,3 +48,9 @@ def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     if small.count() <= max_rows:
         return F.broadcast(small)
     return small
+
+
+def null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Column by column equal, nulls being equal; true for no columns."""
+    ident = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    return reduce(and_, [ident(a).eqNullSafe(ident(b)) for a, b in zip(left, right)], F.lit(True))
