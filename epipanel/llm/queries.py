@@ -6,12 +6,15 @@ from epipanel.llm import (
     chat_format,
     decontaminate,
     exact_dedup,
+    importance,
     langid,
     language_model,
     license_scan,
     ngram_jaccard,
     packing,
     sentence_spans,
+    spelling,
+    token_counts,
     warc,
 )
 
@@ -28,6 +31,9 @@ def queries() -> dict:
         "op8_best_fit_packing": packing.query,
         "op9_ngram_jaccard": ngram_jaccard.query,
         "op10_exact_dedup": exact_dedup.query,
+        "op11_importance_resampling": importance.query,
+        "op12_token_counts": token_counts.query,
+        "op13_spelling_variants": spelling.query,
     }
 
 
@@ -38,4 +44,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_chat_format": chat_format.ORACLE_SQL,
         "op9_ngram_jaccard": ngram_jaccard.ORACLE_SQL,
         "op10_exact_dedup": exact_dedup.ORACLE_SQL,
+        "op11_importance_resampling": importance.ORACLE_SQL,
+        "op13_spelling_variants": spelling.ORACLE_SQL,
     }

@@ -31,7 +31,6 @@ def runs(text):
             n = sum(map(len, sents[i:j]))
             if (j - i >= MIN_SENTENCES and n >= MIN_WORDS) or n >= ENOUGH_WORDS:
                 out.append((i, j, tuple(tuple(low(*w) for w in s) for s in sents[i:j])))
-                break
     return sents, out
 
 
