@@ -16,8 +16,9 @@ import numpy as np
 import xxhash
 
 LONGEST = 3  # words of an n-gram
-WORDS_AT_ONCE = 1 << 17  # first words of the n-grams that are interned together
+WORDS_AT_ONCE = 1 << 15  # first words of the n-grams that are interned together
 BY_ITSELF = 4096  # bytes: longer n-grams are hashed one by one
+SHIFTED = 64  # bytes: the crc32 of an n-gram is put together from those of words up to this length
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -113,21 +114,54 @@ def same_bytes(text: Bytes, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> n
     return out
 
 
+def _crc_tables() -> tuple[np.ndarray, np.ndarray]:
+    """The crc32 remainder of each byte; and of each byte of a crc, by its place, ``n`` zero bytes later."""
+    step = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        step = (step >> np.uint32(1)) ^ np.where(step & np.uint32(1), np.uint32(0xEDB88320), np.uint32(0))
+    shifts = np.zeros((SHIFTED + 1, 4, 256), dtype=np.uint32)
+    for j in range(4):
+        shifts[0, j] = np.arange(256, dtype=np.uint32) << np.uint32(8 * j)
+    for n in range(SHIFTED):
+        shifts[n + 1] = step[shifts[n] & np.uint32(255)] ^ (shifts[n] >> np.uint32(8))
+    return step, shifts.reshape(-1)
+
+
+_STEP, _SHIFTS = _crc_tables()
+_ONES = np.uint32(0xFFFFFFFF)
+
+
+def crc_joined(left: np.ndarray, right: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """crc32 of ``a + b" " + b`` from those of a and b, b having ``size`` (at most ``SHIFTED``) bytes."""
+    c = left ^ _ONES
+    c = (_STEP[(c ^ np.uint32(32)) & np.uint32(255)] ^ (c >> np.uint32(8))) ^ _ONES
+    at = size * 1024
+    out = right.copy()
+    for j in range(4):
+        out ^= _SHIFTS[at + (256 * j + ((c >> np.uint32(8 * j)) & np.uint32(255)).astype(np.int64))]
+    return out
+
+
+def crc_each(text: Bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    body = memoryview(text.data)
+    return np.array([zlib.crc32(body[a:b]) for a, b in zip(start.tolist(), (start + size).tolist())], dtype=np.uint32)
+
+
 class NgramTable:
     """Open addressing with linear probing: a slot holds a distinct n-gram's
-    hash, first place, bucket and number of occurrences."""
+    hash, first place, bucket and number of occurrences. ``crcs`` gives the crc32
+    of the slots' n-grams, by the slots and their holders, where these can be had cheaper than from the bytes."""
 
-    def __init__(self, text: Bytes, start: np.ndarray, size: np.ndarray, buckets: int) -> None:
+    def __init__(self, text: Bytes, start: np.ndarray, size: np.ndarray, buckets: int, crcs=None) -> None:
         n_slots = 1 << max(4, int(2 * len(start) - 1).bit_length())
         self.key = np.zeros(n_slots, dtype=np.uint64)
         self.holder = np.full(n_slots, -1, dtype=np.int64)  # an occurrence of the slot's n-gram; -1: free
         self.slots = self._intern(text, start, size)  # of each occurrence
         self.used = np.flatnonzero(self.holder >= 0)
         self.bucket = np.zeros(n_slots, dtype=np.int32)
-        body = memoryview(text.data.tobytes())
-        first, bytes_ = start[self.holder[self.used]], size[self.holder[self.used]]
-        crcs = [zlib.crc32(body[a:b]) for a, b in zip(first.tolist(), (first + bytes_).tolist())]
-        self.bucket[self.used] = np.array(crcs, dtype=np.int64) % buckets
+        held = self.holder[self.used]
+        crc = crc_each(text, start[held], size[held]) if crcs is None else crcs(self.slots, self.used, held)
+        self.bucket[self.used] = crc % np.uint32(buckets)
         self.count = np.bincount(self.slots, minlength=n_slots)
 
     def _intern(self, text: Bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -182,6 +216,28 @@ def ngram_tables(texts: list[bytes], buckets: int) -> Iterator[tuple[np.ndarray,
     for low in range(0, max(1, len(starts)), WORDS_AT_ONCE):
         at = np.arange(low, min(low + WORDS_AT_ONCE, len(starts)))
         grams = [at[at + n <= text_end[at]] for n in range(1, LONGEST + 1)]
-        begin = np.concatenate([first[g] for g in grams])
-        end = np.concatenate([last[g + n] for n, g in enumerate(grams)])
-        yield n_words, NgramTable(text, begin, end - begin, buckets), np.concatenate([owner[g] for g in grams])
+        word = np.concatenate(grams)
+        length = np.repeat(np.arange(LONGEST), [len(g) for g in grams])  # words after the first
+        begin, size = first[word], last[word + length] - first[word]
+
+        def crcs(slots: np.ndarray, used: np.ndarray, held: np.ndarray) -> np.ndarray:
+            """Of single words from their bytes, of others from the crc32 of their words."""
+            out = np.zeros(len(used), dtype=np.uint32)
+            single = length[held] == 0
+            out[single] = crc_each(text, begin[held[single]], size[held[single]])
+            beyond = np.arange(low + len(at), min(low + len(at) + LONGEST - 1, len(starts)))
+            of_slot = np.zeros(int(used[-1]) + 1 if len(used) else 0, dtype=np.uint32)
+            of_slot[used] = out
+            of_word = np.concatenate((of_slot[slots[: len(at)]], crc_each(text, first[beyond], last[beyond] - first[beyond])))
+            out[~single] = of_word[word[held[~single]] - low]
+            todo = np.flatnonzero(~single)
+            for n in range(1, LONGEST):
+                todo = todo[length[held[todo]] >= n]
+                added = word[held[todo]] + n
+                out[todo] = crc_joined(out[todo], of_word[added - low], np.minimum(last[added] - first[added], SHIFTED))
+                long = todo[last[added] - first[added] > SHIFTED]
+                # up to and with the long word
+                out[long] = crc_each(text, begin[held[long]], last[word[held[long]] + n] - begin[held[long]])
+            return out
+
+        yield n_words, NgramTable(text, begin, size, buckets, crcs), owner[word]

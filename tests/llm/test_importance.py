@@ -54,6 +54,8 @@ def corpus(seed=4, n=260):
     text = lambda k: "".join(rng.choice(vocabulary) + rng.choice(between) for _ in range(k))
     rows = [(i, text(rng.randint(0, 60))) for i in range(n)]
     rows += [(900, None), (901, ""), (902, " .,; "), (903, "word"), (904, "z" * 9000 + " " + "y" * 5000 + " end"), (None, text(30))]
+    long = ["u" * 63, "v" * 64, "w" * 65, "é" * 33, "x" * 200]
+    rows += [(907, " ".join(rng.choices([*long, "a", "bc"], k=60)))]
     rows += [(905, "same words again " * 9)] * 2 + [(906, text(3000))]
     return rows, [text(25) for _ in range(6)] + [None, ""]
 
