@@ -2,10 +2,11 @@ r"""Spelling variants by a relational trie frontier (operator 13).
 
 The words' trie is a table of edges: a node is the hash of the letters that
 lead to it, an edge carries the next letters. States ``(word, position, node,
-edits)`` walk down it level by level, each level one join of the states with its
-edges: an edge that matches the word's next letters keeps the number of edits, one that
-differs by a letter (inserted, deleted or replaced) makes it one. States
-that have used their edit and end where another word ends are its neighbours.
+edits)`` walk down it level by level. Without an edit a word stands at its own
+nodes: at each level it is joined with all edges there, and those that
+differ by a letter (inserted, deleted or replaced) take it on with one edit. From then on only the
+edge with the word's next letters leads on, a join by node and letters. Where
+another word ends with it, that is a neighbour.
 
 * A pair one edit apart shares its first or its last half. So there are two
   tries, of the words and of the reversed words, and a state starts at the node of
@@ -28,7 +29,7 @@ from epipanel.llm.common import LOWER, UPPER, narrow, table
 from epipanel.llm.crc_sql import crc_of, crc_table
 from epipanel.session import shared_scratch_path, write_scratch
 
-BETWEEN_RUNS = "[^A-Za-zÀ-ÿ]+"
+BETWEEN_RUNS = "[^a-zÀ-ÿ]+"  # A-Z are lower-cased before; a class of three ranges takes twenty times as long
 TYPO_EVERY = 97
 MIN_LETTERS = 5
 MIN_COUNT = 3
@@ -53,14 +54,11 @@ def corpus_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     no runs, a null id counts as the text ``null``; repeated rows count each time.
     Occurrences are counted before the shuffle, so a word of any frequency is one row a task.
     """
-    runs = narrow(docs, ident=id_col, text=text_col).select(
-        F.coalesce(F.col("ident").cast("string"), F.lit("null")).alias("ident"),
-        F.explode(F.split(F.coalesce("text", F.lit("")), BETWEEN_RUNS)).alias("run"),
-    )
-    runs = runs.where(F.length("run") >= min_letters)
-    # lower() is right, and much faster, for runs of A-Z alone
-    ascii_only = F.octet_length("run") == F.length("run")
-    runs = runs.select("ident", F.when(ascii_only, F.lower("run")).otherwise(F.translate("run", UPPER, LOWER)).alias("run"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # lower() is right, and faster, for ASCII texts
+    lowered = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    texts = narrow(docs, ident=id_col, text=text_col).select(F.coalesce(F.col("ident").cast("string"), F.lit("null")).alias("ident"), lowered.alias("text"))
+    runs = texts.select("ident", F.explode(F.split("text", BETWEEN_RUNS)).alias("run")).where(F.length("run") >= min_letters)
     h = F.crc32(F.concat("ident", F.lit(":"), "run").cast("binary"))
     cut = (F.col("h") % F.length("run")).cast("int")
     shorter = F.concat(F.substring("run", F.lit(1), cut), F.substring(F.col("run"), cut + 2, F.length("run")))
@@ -110,52 +108,77 @@ def near_words(words: DataFrame) -> DataFrame:
     edges.write.partitionBy("level").parquet(edges_path)
     edges = spark.read.schema(edges.schema).parquet(edges_path)
 
-    starts = write_scratch(
-        spelt.select("*", half(F.col("size")).alias("depth")).select("word", "back", F.col("depth").alias("position"), node(F.col("depth")).alias("node"), F.lit(0).alias("edits")),
-        "trie-starts",
-    )
-    state = "word string, back boolean, position int, node bigint, edits int"
+    state = "word string, back boolean, position int, node bigint"
     frontier = spark.createDataFrame([], state)
     matches = []
     for level, (depth, below) in enumerate(zip(depths[:-1], depths[1:])):
-        here = frontier.unionAll(starts.where(F.col("position") == depth))
-        walked = write_scratch(_step(here, edges.where(F.col("level") == level), below), f"trie-{level}")
+        here = edges.where(F.col("level") == level)
+        unedited = spelt.where((half(F.col("size")) <= depth) & (F.col("size") >= depth)).select("word", "back", "s", "size", node(F.lit(depth)).alias("node"))
+        walked = write_scratch(_edit(unedited, here, depth, below).unionByName(_follow(frontier, here, depth, below)), f"trie-{level}")
         matches.append(walked.where("near IS NOT NULL").select("word", "near", "near_n"))
         frontier = walked.where("near IS NULL").select(*[c.split()[0] for c in state.split(", ")])
-    found = spark.createDataFrame([], "word string, near string, near_n bigint")
-    for part in matches:
+    found = matches[0]
+    for part in matches[1:]:
         found = found.unionAll(part)
     # both tries may give a pair, and hashes only suggest one
     return found.dropDuplicates(["word", "near"]).where(F.levenshtein("word", "near", 1) == 1)
 
 
-def _step(states: DataFrame, edges: DataFrame, below: int) -> DataFrame:
-    """The states one level further down, or with the neighbour where a word ends."""
+def _walked(rows: DataFrame, position: Column) -> DataFrame:
+    """States after an edge, and neighbours (with ``near``)."""
+    return rows.select("word", "back", position.cast("int").alias("position"), F.col("child").alias("node"), "near", "near_n")
+
+
+def _needed(below: int) -> Column:
+    """Whether below the edge there is a word of the length, and with the next letter, that
+    a state at ``position`` of ``s`` with its edit used still needs."""
+    length_ = F.getbit("sizes", F.expr(f"cast(pmod({below} + size - position, 64) as int)")) == 1
+    letter = F.getbit("nexts", F.expr("cast(ascii(substring(s, position + 1, 1)) % 64 as int)")) == 1
+    return (F.col("position") < F.col("size")) & length_ & letter
+
+
+def _edit(states: DataFrame, edges: DataFrame, depth: int, below: int) -> DataFrame:
+    """Words without an edit, at ``depth`` letters, over all edges that differ by one."""
+    width = below - depth
+    letter = lambda k: F.substring(F.col("s"), depth + 1 + k, 1)
+    bit = lambda k: (F.ascii(letter(k)) % 64).cast("int").alias(f"bit{k}")
+    mod = lambda k: F.pmod(F.col("size") + k, F.lit(64)).cast("int")
+    if width == 1:
+        states = states.select(
+            "word", "back", "s", "size", "node", *[letter(k).alias(f"c{k}") for k in (0, 1)], *[bit(k) for k in (0, 1, 2)], mod(0).alias("same"), mod(1).alias("more"), mod(-1).alias("less")
+        )
+        pairs = states.join(edges, "node")
+        label, size = F.col("label"), F.col("size")
+        has = lambda mask, number: F.getbit(mask, F.col(number)) == 1
+        replaced = (label != F.col("c0")) & has("sizes", "same") & (size > depth + 1) & has("nexts", "bit1")
+        inserted = has("sizes", "more") & (size > depth) & has("nexts", "bit0")
+        deleted = (label == F.col("c1")) & has("sizes", "less") & (size > depth + 2) & has("nexts", "bit2")
+        ended = (size == depth) | ((size == depth + 1) & (label != F.col("c0"))) | ((size == depth + 2) & label.isin(F.col("c0"), F.col("c1")))
+        pairs = pairs.where(F.when(F.col("near").isNotNull(), ended).otherwise(replaced | inserted | deleted))
+        ways = F.array_compact(F.array(F.when(replaced, depth + 1), F.when(inserted, depth), F.when(deleted, depth + 2)))
+        ways = F.when(F.col("near").isNotNull(), F.array(F.lit(depth))).otherwise(ways)
+        return _walked(pairs.select("*", F.explode(ways).alias("position")), F.col("position"))
+    pairs = states.join(edges, "node")
+    ahead = lambda n: F.substring(F.col("s"), depth + 1, n)
+    rest = F.substring(F.col("s"), F.lit(depth + 1), F.col("size"))
+    ended = (F.abs(F.length(rest) - F.length("label")) <= 1) & (F.levenshtein(rest, F.col("label"), 1) == 1)
+    ways = [F.when((F.col("size") >= below + k) & (F.levenshtein(ahead(width + k), F.col("label"), 1) == 1), below + k) for k in (-1, 0, 1)]
+    ways = F.when(F.col("near").isNotNull(), F.when(ended, F.array(F.lit(depth)))).otherwise(F.array_compact(F.array(*ways)))
+    taken = pairs.select("*", F.explode(ways).alias("position"))
+    return _walked(taken.where(F.col("near").isNotNull() | _needed(below)), F.col("position"))
+
+
+def _follow(states: DataFrame, edges: DataFrame, depth: int, below: int) -> DataFrame:
+    """States that have used their edit, over the one edge with their next letters."""
     s = F.when(F.col("back"), F.reverse("word")).otherwise(F.col("word"))
-    pairs = states.join(edges, "node").select("word", "back", "position", "edits", "label", "child", "sizes", "nexts", "near", "near_n", s.alias("s"))
-    position, label, edits = F.col("position"), F.col("label"), F.col("edits")
-    size, width = F.length("s"), F.length("label")
-    rest = F.substring(F.col("s"), position + 1, size)
-    ahead = lambda more: F.substring(F.col("s"), position + 1, width + more)
-    ends = F.when(edits == 1, rest == label).otherwise(
-        F.abs(F.length(rest) - width).between(0, 1) & (F.levenshtein(rest, label, 1) == 1)
+    states = states.select("word", "back", F.col("position").alias("from"), "node", s.alias("s"))
+    states = states.select(
+        "word", "back", "from", "node", "s", F.length("s").alias("size"), F.substring(F.col("s"), F.col("from") + 1, F.lit(below - depth)).alias("label")
     )
-    option = lambda ok, to, n: F.when(ok, F.struct(to.alias("position"), n.cast("int").alias("edits")))
-    one = F.lit(1)
-    edited = [
-        option((edits == 0) & (position + width + more <= size) & (F.levenshtein(ahead(more), label, 1) == 1), position + width + more, one)
-        for more in (-1, 0, 1)
-    ]
-    on = option((position + width <= size) & (ahead(0) == label), position + width, edits)
-    ended = F.when(ends, F.array(F.struct(position.alias("position"), edits.alias("edits"))))
-    pairs = pairs.select("word", "back", "s", "child", "sizes", "nexts", "near", "near_n", F.when(F.col("near").isNotNull(), ended).otherwise(F.array_compact(F.array(on, *edited))).alias("options"))
-    out = pairs.select("*", F.inline("options")).drop("options")
-    # what a state that has used its edit still needs below the edge
-    need = F.expr(f"cast(pmod({below} + length(s) - position, 64) as int)")
-    letter = F.expr("cast(ascii(substring(s, position + 1, 1)) % 64 as int)")
-    has = lambda mask, bit: F.getbit(F.col(mask), bit) == 1
-    alive = (F.col("edits") == 0) | ((F.col("position") < F.length("s")) & has("sizes", need) & has("nexts", letter))
-    return out.where(F.col("near").isNotNull() | alive).select("word", "back", "position", F.col("child").alias("node"), "edits", "near", "near_n")
+    states = states.withColumn("ends", F.col("size") - F.col("from") <= below - depth)
+    edges = edges.withColumn("ends", F.col("near").isNotNull())
+    pairs = states.join(edges, ["node", "label", "ends"]).withColumn("position", F.col("from") + (below - depth))
+    return _walked(pairs.where(F.col("near").isNotNull() | _needed(below)), F.col("position"))
 
 
 def spelling_groups(words: DataFrame, factor: int = FACTOR) -> DataFrame:
