@@ -43,14 +43,16 @@ def growth_percent(today, yesterday) -> Column:
 
 def fractional_change(today, yesterday) -> Column:
     """``today / yesterday - 1`` rounded HALF_UP to 3 places; 0.000 when
-    ``yesterday`` is 0 or missing (also the first day of a series)."""
+    ``yesterday`` is 0 or missing (also the first day of a series). An empty
+    cell today has no change: null."""
     t = as_col(today).cast("double")
     y = as_col(yesterday).cast("double")
     raw = F.try_divide(t, y) - F.lit(1.0)
     zero = F.lit(0).cast(PCT_CHANGE_TYPE)
-    return F.when(F.coalesce(y, F.lit(0.0)) == 0, zero).otherwise(
+    change = F.when(F.coalesce(y, F.lit(0.0)) == 0, zero).otherwise(
         F.coalesce(raw.try_cast(PCT_CHANGE_TYPE), zero)
     )
+    return F.when(t.isNotNull(), change)
 
 
 def to_count(c) -> Column:

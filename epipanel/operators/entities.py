@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from epipanel.functions.allow_lists import INLIST_MAX, US_STATES
 from epipanel.functions.columns import as_list
+from epipanel.plans.joins import BROADCAST_MAX_BYTES, VALUE_BYTES
 
 
 def keep_entities(df: DataFrame, col: str, allowed: Iterable[str] | DataFrame = US_STATES) -> DataFrame:
@@ -17,8 +18,8 @@ def keep_entities(df: DataFrame, col: str, allowed: Iterable[str] | DataFrame =
     * A Python list up to ``INLIST_MAX`` names becomes an ``IN`` filter
       (``InSet``), which Catalyst pushes into the Parquet scan — no join.
     * A longer list, or a one-column DataFrame, becomes a left-semi join.
-      The list's length is known on the driver, so it is broadcast; a
-      DataFrame allow-list is left to the optimiser (AQE broadcasts it at
+      The list's bytes are known on the driver: within ``BROADCAST_MAX_BYTES``
+      it is broadcast, beyond Spark chooses the join; a DataFrame allow-list is left to the optimiser (AQE broadcasts it at
       runtime when it is small, otherwise it is a shuffle semi-join).
     """
     if isinstance(allowed, DataFrame):
@@ -29,7 +30,8 @@ def keep_entities(df: DataFrame, col: str, allowed: Iterable[str] | DataFrame =
         return df.where(F.col(col).isin(names))
     spark = df.sparkSession
     table = spark.createDataFrame([(n,) for n in names], f"`{col}` string")
-    return df.join(F.broadcast(table), col, "left_semi")
+    size = sum(len(n.encode()) + VALUE_BYTES for n in names)
+    return df.join(F.broadcast(table) if size <= BROADCAST_MAX_BYTES else table, col, "left_semi")
 
 
 def fill_identity(df: DataFrame, cols: str | Sequence[str], value: str = " ") -> DataFrame:

@@ -116,7 +116,8 @@ def long_to_wide(
     ``dates`` fixes the output schema; when omitted Spark's own pivot finds
     the distinct dates (bounded by the calendar, and Spark refuses more than
     ``spark.sql.pivotMaxValues``); rows without a date have no column to go
-    to and are left out. Columns are named ``name_of(date)``
+    to and are left out. Where an entity's date is repeated the largest value
+    counts, so a task run again gives the same. Columns are named ``name_of(date)``
     (``M/d/yy`` by default). One shuffle on the identity columns; each
     entity holds at most one row per date.
     """
@@ -124,7 +125,7 @@ def long_to_wide(
     grouped = df.where(F.col(date_col).isNotNull()).groupBy(*id_cols)
     pivoted = (
         grouped.pivot(date_col, list(dates)) if dates is not None else grouped.pivot(date_col)
-    ).agg(F.first(value_col))
+    ).agg(F.max(value_col))
     renamed = [name_of(_dt.date.fromisoformat(c)) for c in pivoted.columns[len(id_cols):]]
     return pivoted.toDF(*id_cols, *renamed)
 

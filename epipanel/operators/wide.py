@@ -52,21 +52,22 @@ class _Frame:
             [False, *[cur - prev == _ONE_DAY for (_, prev), (_, cur) in zip(dates, dates[1:])]]
         )
 
-    def positions(self, first: int = 0) -> Column:
-        return F.sequence(F.lit(first), F.lit(self.n - 1))
-
     def filled(self) -> Column:
-        """The cells with each empty one replaced by the last value before
-        it. A row without empty cells is passed through as it is."""
-        kind = f"array<{self.value_type}>"
-        start = F.array().cast(kind)
-        last = lambda done: F.element_at(done, -1)
-        carry = F.aggregate(
-            self.values,
-            start,
-            lambda done, x: F.concat(done, F.array(F.coalesce(x, F.when(F.size(done) > 0, last(done))))),
-        )
-        return F.when(F.exists(self.values, lambda x: x.isNull()), carry).otherwise(self.values)
+        """The cells with each empty one replaced by the last value before it
+        (null before the first): every value repeated up to the next one's
+        place. Linear in the number of columns, and only ever read as a whole
+        array, never from inside a lambda."""
+        at = F.transform(self.values, lambda x, i: F.when(x.isNotNull(), F.struct(i.alias("i"), x.alias("x"))))
+        held = F.array_compact(at)
+        places = F.transform(held, lambda h: h["i"])
+        nexts = F.slice(F.concat(F.slice(places, 2, self.n), F.array(F.lit(self.n))), 1, F.size(held))
+        runs = F.zip_with(held, nexts, lambda h, until: F.array_repeat(h["x"], until - h["i"]))
+        empty = F.array_repeat(F.lit(None).cast(self.value_type), F.coalesce(F.get(places, F.lit(0)), F.lit(self.n)))
+        return F.concat(empty, F.flatten(runs))
+
+    def shifted(self, source: Column) -> Column:
+        """``source`` moved one column on: null first, the last cell left out."""
+        return F.slice(F.concat(F.array(F.lit(None).cast(self.value_type)), source), 1, self.n)
 
     def exploded(self, id_cols: list[str], previous: Column | None = None) -> DataFrame:
         """One row per date column: ``_pos``, ``_val`` (the cell) and
@@ -79,8 +80,7 @@ class _Frame:
         """
         ids = _ids(id_cols)
         source = F.col("_v") if previous is None else previous
-        shifted = F.slice(F.concat(F.array(F.lit(None).cast(self.value_type)), source), 1, self.n)
-        paired = self.staged.select(*ids, F.col("_v"), shifted.alias("_p"))
+        paired = self.staged.select(*ids, F.col("_v"), self.shifted(source).alias("_p"))
         return paired.select(*ids, F.posexplode(F.arrays_zip("_v", "_p")).alias("_pos", "_z")).select(
             *ids, F.col("_pos"), F.col("_z._v").alias("_val"), F.col("_z._p").alias("_prev")
         )
@@ -124,11 +124,6 @@ def wide_growth_factor(wide: DataFrame, id_cols: str | Sequence[str], value_type
     )
 
 
-def _previous_column(fr: _Frame, i) -> Column:
-    """The previous column's cell (null before the first column)."""
-    return F.get(fr.values, i - 1)
-
-
 def wide_increments(wide: DataFrame, id_cols: str | Sequence[str], value_type: str = "bigint") -> DataFrame:
     """:func:`epipanel.operators.series.increments` of a wide table, as long
     rows ``id_cols..., date, increment``."""
@@ -173,9 +168,7 @@ def wide_percent_change_table(
     the original's percent-change generator."""
     id_cols = as_list(id_cols)
     fr = _Frame(wide, id_cols, value_type)
-    changes = F.transform(
-        fr.positions(), lambda i: fractional_change(F.get(fr.values, i), _previous_column(fr, i))
-    )
+    changes = F.zip_with(fr.values, fr.shifted(fr.values), fractional_change)
     staged = fr.staged.select(*_ids(id_cols), changes.alias("_chg"))
     return _spread(staged, id_cols, "_chg", fr.names)
 
@@ -205,10 +198,11 @@ def wide_local_spikes(
     values = fr.values
     staged = fr.staged
     if cumulative:
-        staged = staged.select(*_ids(id_cols), F.col("_v"), fr.filled().alias("_f"))
-        values = F.transform(
-            fr.positions(), lambda i: F.get(fr.values, i) - F.coalesce(F.get("_f", i - 1), F.lit(0))
-        )
+        # an empty cell has no increment and the next one counts from the last
+        # value before it: the differences of the cells that are not empty
+        held = F.array_compact(fr.values)
+        before = F.slice(F.concat(F.array(F.lit(0).cast(value_type)), held), 1, F.size(held))
+        values = F.zip_with(held, before, lambda x, y: x - y)
     with_peak = staged.select(*_ids(key_cols), values.alias("_d")).select(
         *_ids(key_cols), F.col("_d"), F.array_max("_d").alias("_peak")
     )

@@ -406,12 +406,12 @@ def q_wide_percent_change_table(spark, sf):
     return _by_day(wide_percent_change_table(_wide_gap_panel(spark, sf), PANEL_ENTITY))
 
 
-def q_wide_round_trip_1995(spark, sf):
-    """Region totals of dates outside this century: long -> wide ``M/d/yy``
-    CSV -> long."""
-    days = proxies.observations(spark, sf).where(F.year("obs_date") == 1995)
+def q_wide_round_trip(spark, sf):
+    """Region totals of all dates, those of the last century included: long ->
+    wide ``M/d/yy`` CSV of some 2,400 columns -> long."""
+    days = proxies.observations(spark, sf)
     panel = days.groupBy("country", F.col("obs_date").alias("date")).agg(F.sum("confirmed").alias("value"))
-    path = shared_scratch_path(spark, "wide-1995")
+    path = shared_scratch_path(spark, "wide-csv-all")
     write_snapshot(long_to_wide(panel, ["country"]), path)
     return wide_to_long(read_wide(spark, path), ["country"]).where("value IS NOT NULL")
 
@@ -576,7 +576,7 @@ QUERIES: dict[str, Query] = {
     # reshape and files
     "wide_increment_table": q_wide_increment_table,
     "wide_percent_change_table": q_wide_percent_change_table,
-    "wide_round_trip_1995": q_wide_round_trip_1995,
+    "wide_round_trip": q_wide_round_trip,
     "single_file_header": _single_file(True),
     "single_file_no_header": _single_file(False),
     "densify_observations": q_densify_observations,

@@ -23,9 +23,12 @@ from pyspark.sql import functions as F
 
 from epipanel.session import ensure_checkpoint_dir
 
-# Row limit for checked broadcasts. The sides broadcast by the package are
-# narrow (a handful of columns), so this keeps a broadcast well under 100 MB.
+# Limits of checked broadcasts: rows, and bytes of the rows' values. Rows alone
+# would say nothing about a table with long texts.
 BROADCAST_MAX_ROWS = 500_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# Bytes counted for each value beside its text: what a row format needs for it.
+VALUE_BYTES = 16
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -42,12 +45,28 @@ def materialize(df: DataFrame) -> DataFrame:
     return saved.select(*[F.col("`" + c.replace("`", "``") + "`").alias(c) for c in saved.columns])
 
 
-def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Materialise ``small``, count it, and mark it for broadcast if it fits."""
+def checked_broadcast(
+    small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> DataFrame:
+    """Materialise ``small``, count its rows and bytes, and mark it for
+    broadcast if both are within the limits."""
     small = materialize(small)
-    if small.count() <= max_rows:
-        return F.broadcast(small)
-    return small
+    rows, size = small.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(small)), F.lit(0))).first()
+    return F.broadcast(small) if rows <= max_rows and size <= max_bytes else small
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row of ``df`` takes: ``VALUE_BYTES`` a column and
+    the bytes of its texts; nested columns by their JSON text."""
+    parts = [F.lit(VALUE_BYTES * max(1, len(df.columns)))]
+    for field in df.schema.fields:
+        c = F.col("`" + field.name.replace("`", "``") + "`")
+        kind = field.dataType.typeName()
+        if kind in ("string", "binary", "varchar", "char"):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif kind in ("array", "map", "struct", "variant"):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
+    return reduce(lambda a, b: a + b, parts)
 
 
 def null_safe(left: Sequence[str], right: Sequence[str]) -> Column:

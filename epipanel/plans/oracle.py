@@ -337,7 +337,7 @@ def _pct(value: str, prev: str) -> str:
     q = f"CAST({value} AS DOUBLE) / NULLIF(CAST({prev} AS DOUBLE), 0) - 1"
     zero = "CAST(0 AS DECIMAL(38,3))"
     return (
-        f"CASE WHEN COALESCE({prev}, 0) = 0 THEN {zero} "
+        f"CASE WHEN {value} IS NULL THEN NULL WHEN COALESCE({prev}, 0) = 0 THEN {zero} "
         f"ELSE COALESCE(TRY_CAST(CAST({q} AS VARCHAR) AS DECIMAL(38,3)), {zero}) END"
     )
 
@@ -460,9 +460,9 @@ gpct AS (
   SELECT grp, location, date, {_pct('value', 'pv')} AS pct_change
   FROM (SELECT *, lag(value) OVER (PARTITION BY grp, location ORDER BY date) AS pv FROM gpanel) t
 )""") + _one_column_per_day("pct_change", "gpct"),
-    "wide_round_trip_1995": _with(OBS) + """
+    "wide_round_trip": _with(OBS) + """
 SELECT country, obs_date AS date, CAST(SUM(confirmed) AS BIGINT) AS value
-FROM obs WHERE year(obs_date) = 1995 GROUP BY country, obs_date""",
+FROM obs GROUP BY country, obs_date""",
     "single_file_header": _with(OBS) + _accum("state", STATES),
     "single_file_no_header": _with(OBS) + _accum("state", STATES),
     "wide_to_long": _with(PANEL) + "SELECT grp, location, date, value FROM panel",

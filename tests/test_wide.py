@@ -84,8 +84,8 @@ def test_percent_change_table_keeps_schema(spark):
     t = wide_percent_change_table(w, IDS)
     assert t.columns == w.columns
     got = rows(t.where("Admin2 = 'Maricopa'"), "1/1/20", "1/2/20", "1/4/20", "1/5/20", "1/6/20")
-    # 0, 2, 3, (empty), 1: the empty cell and what follows it read as 0.000
-    assert [str(x) for x in got[0]] == ["0.000", "0.000", "0.500", "0.000", "0.000"]
+    # 0, 2, 3, (empty), 1: no change in the empty cell, 0.000 after it
+    assert [str(x) for x in got[0]] == ["0.000", "0.000", "0.500", "None", "0.000"]
     long = percent_change(wide_to_long(w, IDS), IDS)
     same_vals = sorted(rows(long.where("Admin2 = 'Pima'").orderBy("date"), "pct_change"))
     assert sorted((x,) for x in rows(t.where("Admin2 = 'Pima'"), *w.columns[2:])[0]) == same_vals
@@ -100,3 +100,47 @@ def test_wide_extreme_report_equals_long(spark):
     same(wide_snaps, long_snaps)
     only_max = wide_growth_extreme_report(w, IDS, ["Province_State"], which=("max",))
     assert {r.stat for r in only_max.collect()} == {"max"}
+
+
+def test_leading_and_trailing_empty_cells(spark):
+    names = [f"1/{k}/20" for k in range(1, 8)]
+    cells = [(None, None, "5", None, "4", None, None), (None,) * 7, ("3",) + (None,) * 6, (None,) * 6 + ("9",)]
+    w = spark.createDataFrame([(f"p{i}", "s", *c) for i, c in enumerate(cells)], "Admin2 string, Province_State string, " + ", ".join(f"`{n}` string" for n in names))
+    long = wide_to_long(w, IDS)
+    same(wide_increments(w, IDS), increments(long, IDS))
+    same(wide_percent_change(w, IDS), percent_change(long, IDS))
+    expected = local_spikes(increments(long, IDS), IDS)
+    assert rows(wide_local_spikes(w, IDS, IDS, cumulative=True), *expected.columns) == rows(expected, *expected.columns)
+
+
+def test_wide_work_is_linear_over_empty_cells(spark):
+    """500 columns: with an empty cell in every row about as fast as without, and
+    the filled series is never computed inside a lambda."""
+    import datetime as dt
+    import time
+
+    from pyspark.sql import functions as F
+
+    n, places = 500, 400
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(n)]
+    names = [f"{d.month}/{d.day}/{d.year % 100}" for d in days]
+
+    def table(empty):
+        cells = [f"cast({'null' if empty and i % 7 == 3 else f'id * {i}'} as bigint) AS `{c}`" for i, c in enumerate(names)]
+        return spark.range(places).selectExpr("cast(id as string) AS Admin2", "'s' AS Province_State", *cells)
+
+    def seconds(df):
+        start = time.perf_counter()
+        df.write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    for build in (lambda w: wide_local_spikes(w, IDS, IDS, cumulative=True), lambda w: wide_increments(w, IDS)):
+        seconds(build(table(False)))  # compiled
+        plain, gaps = seconds(build(table(False))), seconds(build(table(True)))
+        assert gaps < 1.5 * plain + 2.0
+    plan = wide_local_spikes(table(True), IDS, IDS, cumulative=True)._jdf.queryExecution().optimizedPlan().toString()
+    inside = [part.split("))")[0] for part in plan.split("lambdafunction(")[1:]]
+    assert not any("array_repeat" in part or "flatten" in part or "aggregate" in part for part in inside)
+    total = wide_increments(table(True), IDS).agg(F.sum("increment")).first()[0]
+    last = max(i for i in range(n) if i % 7 != 3)
+    assert total == sum(k * last for k in range(places))
