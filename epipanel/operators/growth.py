@@ -164,6 +164,13 @@ def growth_daily_stats(
     if median != "exact":
         raise ValueError("median must be 'exact' or 'sketch'")
     hist = growth.groupBy(*keys, delta_col).agg(F.count(F.lit(1)).alias("_n"))
+    return stats_from_histogram(hist, keys, delta_col)
+
+
+def stats_from_histogram(hist: DataFrame, keys: Sequence[str], delta_col: str = "delta") -> DataFrame:
+    """The statistics of :func:`growth_daily_stats` for every combination of
+    ``keys``, from ``keys..., delta, _n`` (how many places have that delta)."""
+    keys, delta = list(keys), F.col(delta_col)
     bucket = F.floor((delta * 100).cast("bigint") / MEDIAN_BUCKET)
     buckets = hist.groupBy(*keys, bucket.alias("_bucket")).agg(
         F.sum("_n").alias("_n"),
