@@ -592,4 +592,6 @@ QUERIES: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    from epipanel.plans import comparisons
+
+    return {**QUERIES, **comparisons.QUERIES}

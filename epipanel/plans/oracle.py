@@ -497,4 +497,6 @@ ORACLE.update(
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    from epipanel.plans import comparisons
+
+    return {**ORACLE, **comparisons.ORACLE}
