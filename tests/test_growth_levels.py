@@ -1,0 +1,145 @@
+"""Mergeable statistics, levels, classes and ranks."""
+
+import random
+import statistics
+from decimal import Decimal
+
+import pytest
+from conftest import d
+from pyspark.sql import functions as F
+
+from epipanel.operators.growth import growth_daily_stats
+from epipanel.operators.growth_levels import (
+    compare_spike_lengths,
+    growth_by_class,
+    growth_level_stats,
+    growth_moments,
+    growth_statistics,
+    merge_moments,
+    population_classes,
+)
+from epipanel.operators.ranges import percent_rank, running_total
+
+
+def growth(spark, seed=1, n=300):
+    rng = random.Random(seed)
+    data = []
+    for i in range(n):
+        state = rng.choice(["s1", "s2", "s3", None])
+        country = {"s1": "a", "s2": "a", "s3": "b", None: None}[state]
+        data.append((country, state, i, d(f"1/{rng.randint(1, 3)}/20"), Decimal(rng.choice([0, 0, 0, 50, 3333, -1250, 99999999, rng.randint(-9000, 90000)])) / 100))
+    return spark.createDataFrame(data, "country string, state string, location int, date date, delta decimal(8,2)"), data
+
+
+def test_statistics_of_moments(spark):
+    df, data = growth(spark)
+    got = {r["date"]: r for r in growth_statistics(growth_moments(df)).collect()}
+    for day in {x[3] for x in data}:
+        values = sorted(float(x[4]) for x in data if x[3] == day)
+        r = got[day]
+        assert r["n"] == len(values) and r["least"] == values[0] and r["most"] == values[-1]
+        assert abs(r["mean"] - statistics.fmean(values)) < 1e-5
+        assert abs(r["deviation"] - statistics.pstdev(values)) < 1e-3
+        mu, sd = statistics.fmean(values), statistics.pstdev(values)
+        assert abs(r["skewness"] - statistics.fmean([((v - mu) / sd) ** 3 for v in values])) < 1e-3
+        assert [r[f"q{q}"] for q in (10, 50, 90)] == [values[-(-len(values) * q // 100) - 1] for q in (10, 50, 90)]
+
+
+def test_stored_moments_merge(spark):
+    df, _ = growth(spark)
+    stored = growth_moments(df, ["country", "state"])
+    cols = ["date", "n", "mean", "deviation", "skewness", "least", "most", "q50"]
+    merged = growth_statistics(merge_moments(stored, "date")).select(*cols)
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, growth_statistics(growth_moments(df)).select(*cols).collect()))
+    whole = growth_statistics(merge_moments(stored)).first()
+    assert whole["n"] == 300
+
+
+def test_moments_of_nothing_and_of_one(spark):
+    df, _ = growth(spark)
+    assert growth_moments(df.limit(0)).collect() == []
+    nulls = df.withColumn("delta", F.lit(None).cast("decimal(8,2)"))
+    assert growth_moments(nulls).collect() == []
+    one = growth_statistics(growth_moments(df.limit(1))).first()
+    assert one["deviation"] == 0.0 and one["skewness"] is None
+
+
+def test_rank_error_of_merged_sketches_at_a_million_rows(spark):
+    n = 1_000_000
+    # deltas 0.00 to 9999.99, each a hundred times over, in forty stored parts
+    df = spark.range(n).select((F.col("id") % 40).alias("grp"), F.lit(d("1/1/20")).alias("date"), ((F.col("id") * 7919 % n) / 100).cast("decimal(8,2)").alias("delta"))
+    merged = growth_statistics(merge_moments(growth_moments(df, "grp")), (0.01, 0.25, 0.5, 0.75, 0.99)).first()
+    for q in (0.01, 0.25, 0.5, 0.75, 0.99):
+        rank = merged[f"q{round(q * 100)}"] * 100 / n
+        assert abs(rank - q) < 0.01
+    assert merged["n"] == n and abs(merged["mean"] - (n - 1) / 200) < 1e-6
+
+
+def test_every_level_equals_its_own_statistics(spark):
+    df, _ = growth(spark, 2)
+    got = growth_level_stats(df, ["country", "state"])
+    stat = ["median_delta", "avg_delta", "max_delta", "min_delta", "n_entities"]
+    for level, keys in (("all", []), ("country", ["country"]), ("state", ["country", "state"])):
+        want = growth_daily_stats(df, keys).select(*keys, "date", *stat)
+        mine = got.where(F.col("level") == level).select(*keys, "date", *stat)
+        assert sorted(map(tuple, mine.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert growth_level_stats(df.limit(0), ["country"]).collect() == []
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "SinglePartition" not in plan
+
+
+def test_classes_hold_equal_shares(spark):
+    rng = random.Random(3)
+    data = [(i, rng.randint(0, 20), rng.choice([0, 1, 5, 1000, None, -3])) for i in range(200)] + [(900, None, 50)]
+    df = spark.createDataFrame(data, "p int, density int, people bigint")
+    got = {r["p"]: r["class"] for r in population_classes(df, "density", "people").collect()}
+    size = lambda x: max(0, x[2] or 0)
+    total = sum(size(x) for x in data if x[1] is not None)
+    for p, density, _ in data:
+        below = sum(size(x) for x in data if density is not None and x[1] is not None and x[1] < density)
+        assert got[p] == (None if density is None else ["rural", "mixed", "urban"][(below >= total / 3) + (below >= 2 * total / 3)])
+    assert population_classes(df.limit(0), "density", "people").collect() == []
+    with pytest.raises(ValueError):
+        population_classes(df, "density", "people", cuts=(0.5,))
+
+
+def test_growth_by_class_keeps_places_without_one(spark):
+    df, data = growth(spark, 4)
+    classes = spark.createDataFrame([(i, "urban" if i % 2 else "rural") for i in range(250)], "location int, class string")
+    got = growth_by_class(df, classes, "location").collect()
+    assert {r["class"] for r in got} == {"urban", "rural", None}
+    assert sum(r["n_entities"] for r in got) == len(data)
+
+
+def test_running_totals_over_ranges(spark):
+    rng = random.Random(5)
+    data = [(rng.choice([1, 1, 1, 2, 7, None]), rng.choice([0, 3, 10**17, None]), i) for i in range(400)]
+    df = spark.createDataFrame(data, "k int, w bigint, before_ int").withColumn("_part", F.lit("mine"))
+    out = running_total(df, [F.col("k")], F.col("w"), partitions=5).collect()
+    assert len(out) == 400 and {r["_part"] for r in out} == {"mine"}
+    seen = 0
+    for r in sorted(out, key=lambda r: (r["before"], r["w"] or 0)):
+        assert r["before"] == seen
+        seen += r["w"] or 0
+    keys = [r["k"] or 0 for r in sorted(out, key=lambda r: (r["before"], r["w"] or 0)) if r["w"]]
+    assert keys == sorted(keys)
+    counted = sorted(r["before"] for r in running_total(df, [F.col("k").desc()], partitions=3).collect())
+    assert counted == list(range(400))
+    assert running_total(df.limit(0), [F.col("k")]).collect() == []
+
+
+def test_percent_ranks(spark):
+    data = [("a", x) for x in (5, 5, 1, 9, 9, 9, None)] + [("b", 4), (None, 2), (None, 3)]
+    df = spark.createDataFrame(data, "g string, v int")
+    got = sorted(((r["g"], r["v"], r["pct_rank"], r["n_ranked"]) for r in percent_rank(df, "v", "g").collect()), key=str)
+    assert got == sorted(
+        [("a", 5, 0.2, 6)] * 2 + [("a", 1, 0.0, 6)] + [("a", 9, 0.6, 6)] * 3 + [("a", None, None, None), ("b", 4, 0.0, 1), (None, 2, 0.0, 2), (None, 3, 1.0, 2)], key=str
+    )
+    assert percent_rank(df.limit(0), "v").collect() == []
+
+
+def test_spike_lengths_compared(spark):
+    runs = [("p", "x", 3), ("p", "y", 5), ("p", "y", 1), ("q", "z", 2)]
+    df = spark.createDataFrame(runs, "grp string, place string, days bigint")
+    got = sorted((r["place"], r["days"], r["pct_rank"], r["entity_longest"]) for r in compare_spike_lengths(df, "place", "grp").collect())
+    assert got == [("x", 3, 0.5, 3), ("y", 1, 0.0, 5), ("y", 5, 1.0, 5), ("z", 2, 0.0, 2)]
