@@ -1,8 +1,10 @@
 r"""Words of many texts at once, as numpy arrays.
 
 A word is a run of ``[^\x20\x09-\x0D]`` of the UTF-8 text with A-Z lower-cased.
-Its hash is a polynomial over its bytes modulo 2^64, finished by a mixing
-step; prefix sums give the hashes of all words of a batch without a Python loop over words.
+Its hash is a pair of polynomials over its bytes modulo two primes of 31 bits, finished by
+a mixing step; prefix sums give the hashes of all words of a batch without a Python loop
+over words. (Modulo a power of two, regular patterns of two letters or words have equal
+hashes whatever the base.) Hashes of runs of words are built from word hashes in the same way.
 """
 
 from __future__ import annotations
@@ -17,8 +19,7 @@ GROUP_BYTES = 1024 * 1024  # texts looked at together: some 50 bytes of arrays p
 ROWS_AT_ONCE = 64
 SEGMENT = 1 << 18  # bytes hashed together, unless one word is longer
 
-_BASE = 0x9E3779B97F4A7C15  # odd, so that powers have inverses modulo 2^64
-_MASK = (1 << 64) - 1
+_MODULI = ((2147483647, 1_540_483_477), (2147483629, 668_265_263))  # primes, and a base for each
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -28,29 +29,46 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def _powers(base: int, n: int, prime: int) -> np.ndarray:
     out = np.ones(n, dtype=np.uint64)
-    filled, step = 1, base & _MASK
+    filled, step = 1, base % prime
     while filled < n:
         take = min(filled, n - filled)
-        out[filled : filled + take] = out[:take] * np.uint64(step)
+        out[filled : filled + take] = out[:take] * np.uint64(step) % np.uint64(prime)
         filled += take
-        step = step * step & _MASK
+        step = step * step % prime
     return out
 
 
 class PowerTable:
-    """Powers of an odd base and their inverses, grown on demand."""
+    """Powers of a base modulo a prime and their inverses, grown on demand."""
 
-    def __init__(self, base: int = _BASE) -> None:
-        self.base, self.inverse_base = base, pow(base, -1, 1 << 64)
+    def __init__(self, prime: int, base: int) -> None:
+        self.prime, self.base, self.inverse_base = prime, base, pow(base, -1, prime)
+        self.modulus = np.uint64(prime)
         self.powers = self.inverses = np.ones(0, dtype=np.uint64)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.powers) < n:
-            self.powers, self.inverses = _powers(self.base, n), _powers(self.inverse_base, n)
+            self.powers, self.inverses = _powers(self.base, n, self.prime), _powers(self.inverse_base, n, self.prime)
         return self.powers[:n], self.inverses[:n]
 
+    def spans(self, terms: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The polynomial of each run ``terms[first:last]``. The terms are so small that
+        their products with powers add up below 2^64."""
+        powers, inverses = self.upto(len(terms) + 1)
+        sums = np.empty(len(terms) + 1, dtype=np.uint64)
+        sums[0] = 0
+        np.cumsum(terms * powers[: len(terms)], out=sums[1:])
+        return (sums[last] - sums[first]) % self.modulus * inverses[first] % self.modulus
+
+    def long_spans(self, terms: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The same for terms of any size and up to 2^32 of them."""
+        powers, inverses = self.upto(len(terms) + 1)
+        sums = np.zeros(len(terms) + 1, dtype=np.uint64)
+        np.cumsum(terms % self.modulus * powers[: len(terms)] % self.modulus, out=sums[1:])
+        return (sums[last] - sums[first]) % self.modulus * inverses[first] % self.modulus
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """The finalisation of splitmix64."""
@@ -59,15 +77,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_TABLE = PowerTable()
+_TABLES = [PowerTable(prime, base) for prime, base in _MODULI]
+_SHORT = 1 << 24  # terms of a byte each whose products add up below 2^64
+
+
+def _finish(parts: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+    high, low = parts
+    return mix((high << np.uint64(32) | low) + mix(sizes.astype(np.uint64)))
 
 
 def _hash_segment(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    powers, inverses = _TABLE.upto(len(data))
-    sums = np.empty(len(data) + 1, dtype=np.uint64)
-    sums[0] = 0
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64))
+    terms = data.astype(np.uint64) + np.uint64(1)
+    parts = [(t.spans if len(terms) <= _SHORT else t.long_spans)(terms, starts, ends) for t in _TABLES]
+    return _finish(parts, ends - starts)
 
 
 @dataclass
@@ -131,19 +153,21 @@ def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     n = len(hashes) - length + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    powers, _ = _TABLE.upto(length + 1)
-    out = np.zeros(n, dtype=np.uint64)
-    for j in range(length):
-        out += hashes[j : j + n] * powers[j + 1]
-    return mix(out)
+    parts = []
+    for t in _TABLES:
+        powers, _ = t.upto(length)
+        reduced = hashes % t.modulus
+        out = np.zeros(n, dtype=np.uint64)
+        for j in range(length):
+            out += reduced[j : j + n] * powers[j] % t.modulus
+        parts.append(out % t.modulus)
+    return _finish(parts, np.full(n, length))
 
 
 def span_hashes(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """The hash of each run ``hashes[first:last]``, of any length."""
-    powers, inverses = _TABLE.upto(len(hashes) + 1)
-    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
-    np.cumsum(hashes * powers[: len(hashes)], out=sums[1:])
-    return mix((sums[last] - sums[first]) * inverses[first] + (last - first).astype(np.uint64))
+    """The hash of each run ``hashes[first:last]``, of any length; runs of one length
+    have the hashes that ``run_hashes`` gives them."""
+    return _finish([t.long_spans(hashes, first, last) for t in _TABLES], np.asarray(last) - np.asarray(first))
 
 
 def shingle_sets(words: Words, length: int = 5) -> list[np.ndarray]:

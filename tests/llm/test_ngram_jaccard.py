@@ -117,3 +117,9 @@ def test_connected_components(spark):
             x, y = find(a), find(b)
             parent[max(x, y)] = min(x, y)
     assert out == {x: find(x) for x in parent}
+
+
+def test_regular_patterns_are_not_near_duplicates(docs):
+    pattern = lambda a, b: "".join(b if bin(i).count("1") % 2 else a for i in range(1024))
+    rows = near_duplicates(docs([(1, pattern("a", "b")), (2, pattern("b", "a"))])).collect()
+    assert {(r["doc_id"], r["class_id"], r["n_links"]) for r in rows} == {(1, 1, 0), (2, 2, 0)}

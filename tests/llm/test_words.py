@@ -60,3 +60,33 @@ def test_groups_keep_every_text():
     assert [t for _, g in W.groups(texts, 10) for t in g] == [t or b"" for t in texts]
     assert [i for i, _ in W.groups(texts, 10)] == [0, 2, 3]
     assert list(W.groups([])) == []
+
+
+def thue_morse(a, b, n):
+    """The pattern a b b a b a a b..., of ``n`` elements: equal to its complement in any
+    polynomial hash modulo a power of two."""
+    return [b if bin(i).count("1") % 2 else a for i in range(n)]
+
+
+def test_regular_patterns_have_hashes_of_their_own():
+    for n in (1024, 4096):
+        one, other = "".join(thue_morse("a", "b", n)), "".join(thue_morse("b", "a", n))
+        found = W.words_of([f"{one} {other}".encode()])
+        assert found.hashes[0] != found.hashes[1]
+        words = W.words_of([" ".join(thue_morse("left", "right", n)).encode(), " ".join(thue_morse("right", "left", n)).encode()])
+        first, last = words.bounds[:-1], words.bounds[1:]
+        spans = W.span_hashes(words.hashes, first, last)
+        assert spans[0] != spans[1]
+        for i in (0, 1):
+            assert W.run_hashes(words.hashes[first[i] : last[i]], n)[0] == spans[i]
+
+
+def test_long_and_short_sums_agree():
+    rng = np.random.default_rng(1)
+    data = rng.integers(0, 256, 5000, dtype=np.uint8).astype(np.uint64)
+    first = rng.integers(0, 5000, 300)
+    last = first + rng.integers(0, 5000 - first + 1)
+    for table in W._TABLES:
+        assert (table.spans(data, first, last) == table.long_spans(data, first, last)).all()
+        one = data[first[0] : last[0]].tolist()
+        assert int(table.spans(data, first, last)[0]) == sum(x * pow(table.base, i, table.prime) for i, x in enumerate(one)) % table.prime
