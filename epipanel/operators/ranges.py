@@ -29,7 +29,7 @@ def running_total(
     ``df`` is written to the shared checkpoint folder when this is called, and
     once more by ranges. The driver sees one number a partition.
     """
-    own = {n: _unused(df, n) for n in ("_w", "_tie", "_part", "_base")}
+    own = {n: unused_name(df, n) for n in ("_w", "_tie", "_part", "_base")}
     w, tie, part, base = own.values()
     amount = F.lit(1).cast("bigint") if weight is None else F.coalesce(weight.cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
     stored = write_scratch(df.select("*", amount.alias(w), F.monotonically_increasing_id().alias(tie)), "to-rank")
@@ -69,8 +69,8 @@ def percent_rank(
     groups = as_list(group_cols)
     keys = [F.col("`" + g.replace("`", "``") + "`") for g in groups]
     value = F.col("`" + value_col.replace("`", "``") + "`")
-    names = [_unused(df, f"_g{i}") for i in range(len(groups))]
-    v = _unused(df, "_value")
+    names = [unused_name(df, f"_g{i}") for i in range(len(groups))]
+    v = unused_name(df, "_value")
     counted = df.where(value.isNotNull()).groupBy(*[k.alias(n) for k, n in zip(keys, names)], value.alias(v)).agg(
         F.count(F.lit(1)).alias("_n")
     )
@@ -91,7 +91,7 @@ def percent_rank(
     return df.drop("pct_rank", "n_ranked").join(shares, same, "left").drop(*names, v)
 
 
-def _unused(df: DataFrame, name: str) -> str:
+def unused_name(df: DataFrame, name: str) -> str:
     """``name`` with as many underscores before it as no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}
     while name.lower() in taken:
