@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from epipanel.operators.ranges import unused_name
 from epipanel.session import table_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -25,6 +26,11 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[col(name).alias(alias) for alias, name in columns.items()])
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that no column of ``df`` has."""
+    return [unused_name(df, name) for name in names]
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epipanel.llm.common import col, narrow, table
+from epipanel.llm.common import col, fresh, narrow, table
 from epipanel.llm.words import PUNCTUATION, Words, groups, run_hashes, words_of
 
 TERMS = 1 << 15
@@ -426,11 +426,17 @@ def find_contamination(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that contain a benchmark item."""
+    """``docs`` without the documents that contain a benchmark item.
+
+    Null and empty texts stay, as do rows whose id another, contaminated text has;
+    repeated rows go together; null ids are matched like others. An empty benchmark
+    drops nothing, an empty table gives no rows; all columns are kept, whatever their names.
+    """
+    drop_id, drop_key = fresh(docs, "drop_id", "drop_key")
     found = find_contamination(docs, benchmark, id_col, text_col)
-    dropped = found.select(F.col("doc_id").alias("__drop_id"), F.col("text_key").alias("__drop_key")).distinct()
-    same = col(id_col).cast("bigint").eqNullSafe(F.col("__drop_id")) & (
-        F.xxhash64(F.coalesce(col(text_col), F.lit(""))) == F.col("__drop_key")
+    dropped = found.select(F.col("doc_id").alias(drop_id), F.col("text_key").alias(drop_key)).distinct()
+    same = col(id_col).cast("bigint").eqNullSafe(F.col(drop_id)) & (
+        F.xxhash64(F.coalesce(col(text_col), F.lit(""))) == F.col(drop_key)
     )
     return docs.join(dropped, same, "left_anti")
 

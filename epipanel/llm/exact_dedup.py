@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epipanel.llm.common import col, narrow, table
+from epipanel.llm.common import col, fresh, narrow, table
 from epipanel.llm.words import few_rows
 
 TRIE_BYTES = 96 * 1024 * 1024  # text bytes of one trie before it spills
@@ -246,13 +246,14 @@ def exact_owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were. Of rows that
     repeat both the owner's id and its text one stays."""
+    sha, keep_id, keep_sha, many = fresh(docs, "sha", "keep_id", "keep_sha", "many")
     owners = exact_owners(docs, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("__keep_id"), F.unhex("text_sha256").alias("__keep_sha"), (F.col("copies") > 1).alias("__many")
+        F.col("doc_id").alias(keep_id), F.unhex("text_sha256").alias(keep_sha), (F.col("copies") > 1).alias(many)
     )
-    keyed = docs.withColumn("__sha", F.unhex(F.sha2(normalised(col(text_col)), 256)))
-    joined = keyed.join(owners, (F.col("__sha") == F.col("__keep_sha")) & col(id_col).eqNullSafe(F.col("__keep_id")))
-    single = joined.where(~F.col("__many"))
-    several = joined.where("__many").dropDuplicates(["__keep_id", "__keep_sha"])
+    keyed = docs.withColumn(sha, F.unhex(F.sha2(normalised(col(text_col)), 256)))
+    joined = keyed.join(owners, (F.col(sha) == F.col(keep_sha)) & col(id_col).eqNullSafe(F.col(keep_id)))
+    single = joined.where(~F.col(many))
+    several = joined.where(F.col(many)).dropDuplicates([keep_id, keep_sha])
     return single.unionAll(several).select(*[col(c) for c in docs.columns])
 
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epipanel.llm.common import col, narrow, table
+from epipanel.llm.common import col, fresh, narrow, table
 from epipanel.llm.groups import connected_components, fixed_bytes, grouped
 from epipanel.llm.words import groups, shingle_sets, words_of
 from epipanel.session import write_scratch
@@ -267,7 +267,9 @@ def near_duplicates(
 
     keys = [F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), F.substring("sig", b * ROWS * 4 + 1, ROWS * 4)).alias("bucket")) for b in range(BANDS)]
     banded = classes.select("node", F.explode(F.array(*keys)).alias("k")).select("node", "k.band", "k.bucket")
-    busy = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    # stored, so that either side of the join has a shuffle of its own and Spark may
+    # split the rows of a bucket that very many classes share
+    busy = write_scratch(banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "busy")
     parts = F.ceil(F.col("size") / block).cast("int")
     members = banded.join(busy, "bucket").withColumn("parts", parts)
     members = members.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
@@ -311,12 +313,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one document of each class: that with the smallest id.
     Rows that repeat its id and text are the same document and stay. In a
     class of null ids only, all stay."""
+    drop_id, drop_key = fresh(docs, "drop_id", "drop_key")
     found = near_duplicates(docs, id_col, text_col)
     dropped = found.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("doc_id").alias("__drop_id"), F.col("text_key").alias("__drop_key")
+        F.col("doc_id").alias(drop_id), F.col("text_key").alias(drop_key)
     ).distinct()
-    same = col(id_col).cast("bigint").eqNullSafe(F.col("__drop_id")) & (
-        F.xxhash64(F.coalesce(col(text_col), F.lit(""))) == F.col("__drop_key")
+    same = col(id_col).cast("bigint").eqNullSafe(F.col(drop_id)) & (
+        F.xxhash64(F.coalesce(col(text_col), F.lit(""))) == F.col(drop_key)
     )
     return docs.join(dropped, same, "left_anti")
 

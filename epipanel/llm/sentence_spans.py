@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epipanel.llm.common import col, narrow, table
+from epipanel.llm.common import col, fresh, narrow, table
 from epipanel.llm.words import ROWS_AT_ONCE, Words, groups, span_hashes, words_of
 from epipanel.session import write_scratch
 
@@ -210,40 +210,45 @@ def repeated_spans(
     )
     runs = write_scratch(rows.mapInArrow(_runs(min_sentences, min_words, enough_words), _RUNS), "sentence-runs")
     # a run's hash once per row; repeats within the row are found in the row
-    listed = runs.select("ident", F.explode(F.array_distinct("run_hash")).alias("run"))
+    listed = runs.select("ident", "text_key", F.explode(F.array_distinct("run_hash")).alias("run"))
     shared = listed.groupBy("run").agg(F.min("ident").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # stored, so that either side of the join has a shuffle of its own and Spark may
+    # split the rows of a run that very many documents share
+    shared = write_scratch(shared, "shared-runs")
     hits = listed.join(shared, "run").where(~F.col("ident").eqNullSafe(F.col("first")))
-    hits = hits.groupBy("ident").agg(F.collect_list(F.struct("run", "first")).alias("hits")).withColumnRenamed("ident", "of")
+    # by row, not by id: all rows without an id would be one group
+    hits = hits.groupBy(F.col("ident").alias("of"), F.col("text_key").alias("of_key")).agg(F.collect_set(F.struct("run", "first")).alias("hits"))
     repeats = F.size("run_hash") > F.size(F.array_distinct("run_hash"))
-    joined = runs.join(hits, F.col("ident").eqNullSafe(F.col("of")), "left").where(F.col("hits").isNotNull() | repeats)
-    return joined.drop("of").mapInArrow(_cover, _REMOVED)
+    mine = F.col("ident").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("of_key"))
+    joined = runs.join(hits, mine, "left").where(F.col("hits").isNotNull() | repeats)
+    return joined.drop("of", "of_key").mapInArrow(_cover, _REMOVED)
 
 
 def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the repeated stretches and the white space after each.
     A null text stays null; all rows and other columns are kept."""
-    cuts = repeated_spans(docs, id_col, text_col).groupBy("doc_id", "text_key").agg(
-        F.array_distinct(F.sort_array(F.collect_list(F.struct("start", "length")))).alias("__cuts")
+    own, cut_id, cut_key = fresh(docs, "cuts", "cut_id", "cut_key")
+    cuts = repeated_spans(docs, id_col, text_col).groupBy(F.col("doc_id").alias(cut_id), F.col("text_key").alias(cut_key)).agg(
+        F.sort_array(F.collect_set(F.struct("start", "length"))).alias(own)
     )
-    cuts = cuts.select(F.col("doc_id").alias("__cut_id"), F.col("text_key").alias("__cut_key"), "__cuts")
     text = col(text_col)
-    mine = col(id_col).cast("bigint").eqNullSafe(F.col("__cut_id")) & (
-        F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__cut_key")
+    mine = col(id_col).cast("bigint").eqNullSafe(F.col(cut_id)) & (
+        F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(cut_key)
     )
     joined = docs.join(cuts, mine, "left")
     # what stands between the cuts: from the end of one to the start of the next
     end = lambda c: c["start"] + c["length"]
     kept = F.transform(
-        "__cuts",
+        own,
         lambda c, i: F.concat(
             F.when(i == 0, F.substr(text, F.lit(1), c["start"])).otherwise(""),
             F.ltrim(
-                F.substr(text, end(c) + 1, F.coalesce(F.get("__cuts", i + 1)["start"], F.length(text)) - end(c)),
+                F.substr(text, end(c) + 1, F.coalesce(F.get(own, i + 1)["start"], F.length(text)) - end(c)),
                 F.lit(" \t\n\x0b\x0c\r"),
             ),
         ),
     )
-    cleaned = F.when(F.col("__cuts").isNull(), text).otherwise(F.array_join(kept, ""))
+    cleaned = F.when(F.col(own).isNull(), text).otherwise(F.array_join(kept, ""))
     return joined.select(*[cleaned.alias(c) if c == text_col else col(c) for c in docs.columns])
 
 

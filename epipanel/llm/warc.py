@@ -49,7 +49,7 @@ from pyspark.sql.types import StructType
 
 from epipanel.llm.common import narrow, table
 from epipanel.llm.words import few_rows
-from epipanel.session import shared_scratch_path
+from epipanel.session import shared_scratch_path, write_scratch
 
 SCHEMA = (
     "record_type string, record_id string, target_uri string, refers_to string, date string, "
@@ -385,7 +385,7 @@ def page_records(pages: DataFrame, min_revisit_bytes: int = 0, date: str = "1970
     one with the smallest id is a response, the others are revisits of it that
     leave the payload out. Null html is the empty payload. A page without id
     revisits a page with one; where all ids of a payload are null all are
-    responses, as are rows that repeat the smallest id.
+    responses, as are rows that repeat the smallest id. An empty table has no records.
     """
     rows = narrow(pages, page_id="page_id", url="url", html="html").select(
         F.col("page_id").cast("string").alias("id"), "page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")
@@ -393,6 +393,9 @@ def page_records(pages: DataFrame, min_revisit_bytes: int = 0, date: str = "1970
     # digests are columns of their own: base32 refers to its argument many times
     keyed = rows.withColumn("key", F.unhex(F.sha2("payload", 256))).withColumn("sha1", F.sha1("payload"))
     first = keyed.groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # stored: a small table is then broadcast by its size, and the rows of a payload
+    # that very many pages share may be split in the join with a large one
+    first = write_scratch(first, "shared-payloads")
     joined = keyed.join(first, "key", "left")
     size = F.octet_length("payload")
     revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id")) & (size >= min_revisit_bytes)
