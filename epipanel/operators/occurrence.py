@@ -205,7 +205,14 @@ def outcome_ratios(
         first("confirmed"),
         first("deaths"),
         *[F.sum(m).alias(f"total_{m}") for m in MEASURES],
-    ).where(F.col("_first_confirmed").isNotNull() & F.col("_first_deaths").isNotNull())
+    )
+    return _with_ratios(per_entity, entity, population)
+
+
+def _with_ratios(per_entity: DataFrame, entity: str, population: DataFrame | None) -> DataFrame:
+    """The output of :func:`relationship` from ``entity, _first_confirmed,
+    _first_deaths`` (structs with ``d`` and ``m``) and the totals."""
+    per_entity = per_entity.where(F.col("_first_confirmed").isNotNull() & F.col("_first_deaths").isNotNull())
     cols = [
         F.col("_first_confirmed.d").alias("first_confirmed_date"),
         F.col("_first_confirmed.m").alias("confirmed"),
@@ -220,3 +227,49 @@ def outcome_ratios(
         cols.append(ratio("total_deaths", "_population").alias("mortality_ratio"))
     cols.append(ratio("total_recovered", "total_confirmed").alias("case_recovery_ratio"))
     return per_entity.select(*cols)
+
+
+def place_summary(obs: DataFrame, keys: Sequence[str] = ("country", "state"), date_col: str = "obs_date") -> DataFrame:
+    """One row per place: its totals, and its first dates with a count, from one
+    reading of the observations: ``keys..., total_<measure>...,
+    _first_confirmed, _first_deaths`` (structs ``d, m``; null where there is none).
+
+    Totals and ratios of states, countries or other parts of ``keys`` follow from it
+    (:func:`totals_of_summary`, :func:`ratios_of_summary`), with the very results of
+    :func:`accumulate` and :func:`outcome_ratios` on the observations.
+    """
+
+    def first(measure: str):
+        key = F.struct(F.col(date_col).alias("d"), F.col(measure).alias("m"))
+        return F.min(F.when(positive(F.col(measure)) & F.col(date_col).isNotNull(), key)).alias(f"_first_{measure}")
+
+    return obs.groupBy(*as_list(keys)).agg(
+        first("confirmed"), first("deaths"), *[F.sum(m).alias(f"total_{m}") for m in MEASURES]
+    )
+
+
+def totals_of_summary(summary: DataFrame, entity: str, allowed: Iterable[str] | DataFrame | None = None) -> DataFrame:
+    """:func:`accumulate` from a :func:`place_summary`."""
+    rows = summary if allowed is None else keep_entities(summary, entity, allowed)
+    return rows.groupBy(entity).agg(*[F.sum(f"total_{m}").alias(f"total_{m}") for m in MEASURES])
+
+
+def ratios_of_summary(
+    summary: DataFrame, entity: str, allowed: Iterable[str] | DataFrame, tie_break: Sequence[str] = (), first_where=None,
+    population: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`outcome_ratios` from a :func:`place_summary`; ``tie_break`` and
+    ``first_where`` refer to its keys."""
+    rows = keep_entities(summary, entity, allowed)
+    ties = [c for c in as_list(tie_break) if c != entity]
+
+    def first(measure: str):
+        of = f"_first_{measure}"
+        key = F.struct(F.col(f"{of}.d").alias("d"), *[F.col(c).alias(f"t{i}") for i, c in enumerate(ties)], F.col(f"{of}.m").alias("m"))
+        counts = F.col(of).isNotNull()
+        return F.min(F.when(counts if first_where is None else counts & first_where, key)).alias(of)
+
+    per_entity = rows.groupBy(entity).agg(
+        first("confirmed"), first("deaths"), *[F.sum(f"total_{m}").alias(f"total_{m}") for m in MEASURES]
+    )
+    return _with_ratios(per_entity, entity, population)

@@ -98,6 +98,15 @@ def _spread(staged: DataFrame, id_cols: list[str], array_col: str, names: list[s
     )
 
 
+def typed_wide(wide: DataFrame, id_cols: str | Sequence[str], value_type: str = "bigint") -> DataFrame:
+    """The wide table with its date columns typed and in date order; what is no
+    number is null. Stored once, several analyses can then read columns
+    instead of parsing text again."""
+    id_cols = as_list(id_cols)
+    fr = _Frame(wide, id_cols, value_type)
+    return _spread(fr.staged, id_cols, "_v", fr.names)
+
+
 def wide_growth_factor(wide: DataFrame, id_cols: str | Sequence[str], value_type: str = "bigint") -> DataFrame:
     """:func:`epipanel.operators.growth.growth_factor` of a wide table.
 

@@ -12,7 +12,12 @@ result is a DataFrame; ``write_report`` stores them as CSV folders, the
 growth snapshots partitioned ``state=<state>/stat=<statistic>``.
 
 The wide time-series files are analysed row-locally (``operators.wide``):
-no result of this job shuffles the time series themselves.
+no result of the original's shuffles the time series themselves. Every file is
+read once: observations are reduced to one row per place, wide files are stored
+with typed columns, and all results derive from these.
+
+``--compare`` adds :func:`comparison_report`: places against their neighbours,
+around holidays, by season, and growth by level and class of places.
 """
 
 from __future__ import annotations
@@ -25,21 +30,39 @@ from pyspark.sql import functions as F
 
 from epipanel.functions.allow_lists import US_STATES
 from epipanel.operators import (
-    accumulate,
     growth_daily_stats,
+    growth_factor,
     growth_extremes,
     least_infected,
     most_infected,
-    outcome_ratios,
     population_rollup,
+    spike_days,
+    spike_lengths,
     wide_growth_factor,
     wide_increment_table,
+    wide_increments,
     wide_local_spikes,
     wide_percent_change_table,
     wide_snapshots,
+    wide_to_long,
+)
+from epipanel.operators.growth_levels import (
+    compare_spike_lengths,
+    growth_by_class,
+    growth_level_stats,
+    growth_moments,
+    growth_statistics,
+    population_classes,
 )
+from epipanel.operators.holidays import holiday_calendar, holiday_spike_rates
+from epipanel.operators.neighbours import compare_with_neighbours, lagged_correlation, nearest_places
+from epipanel.operators.occurrence import place_summary, ratios_of_summary, totals_of_summary
+from epipanel.operators.seasons import season_spike_rates, seasonal_residuals
+from epipanel.operators.wide import typed_wide
 from epipanel.plans.joins import materialize
+from epipanel.session import write_scratch
 from epipanel.sources.files import read_observations, read_wide, write_snapshot
+from epipanel.sources.uniform import load_uniform
 
 # Identity columns of the wide files, by name (never by position).
 US_IDS = ("UID", "iso2", "iso3", "code3", "FIPS", "Admin2", "Province_State",
@@ -62,19 +85,20 @@ def case_report(
 ) -> dict[str, DataFrame]:
     """All results, keyed by name.
 
-    The totals, the population and the growth extremes, all of one row per
-    entity or statistic, are computed and stored in the shared checkpoint
-    folder when this is called: several results are derived from each. The
-    others are lazy and read their input once when they are used.
+    The places' totals and first dates, the typed wide US file and the growth
+    extremes are computed and stored in the shared checkpoint folder when this
+    is called: several results are derived from each, and each input is
+    parsed once. The other results are lazy.
     """
-    obs = read_observations(spark, observations_path)
-    confirmed_us = read_wide(spark, confirmed_us_path)
+    summary = write_scratch(place_summary(read_observations(spark, observations_path)), "place-summary")
+    raw_us = read_wide(spark, confirmed_us_path)
+    us_ids = _ids_present(raw_us, US_IDS)
+    confirmed_us = write_scratch(typed_wide(raw_us, us_ids), "confirmed-us")
     world = read_wide(spark, confirmed_world_path)
-    us_ids = _ids_present(confirmed_us, US_IDS)
     world_ids = _ids_present(world, WORLD_IDS)
 
-    totals_country = materialize(accumulate(obs, "country", countries))
-    totals_state = materialize(accumulate(obs, "state", US_STATES))
+    totals_country = totals_of_summary(summary, "country", countries)
+    totals_state = totals_of_summary(summary, "state", US_STATES)
     deaths_us = read_wide(spark, deaths_us_path)
     population = population_rollup(
         deaths_us.select(F.col("Province_State").alias("state"), F.col("Population").alias("population"))
@@ -85,9 +109,9 @@ def case_report(
     increments_us = wide_increment_table(confirmed_us, us_ids)
 
     return {
-        "relationship_countries": outcome_ratios(obs, "country", countries, tie_break=["state"]),
-        "relationship_states": outcome_ratios(
-            obs, "state", US_STATES, first_where=F.col("country") == US, population=population
+        "relationship_countries": ratios_of_summary(summary, "country", countries, tie_break=["state"]),
+        "relationship_states": ratios_of_summary(
+            summary, "state", US_STATES, first_where=F.col("country") == US, population=population
         ),
         "most_infected_countries": most_infected(totals_country, "country"),
         "least_infected_countries": least_infected(totals_country, "country"),
@@ -117,6 +141,45 @@ def _snapshots(confirmed_us: DataFrame, extremes: DataFrame, us_ids: list[str])
     )
 
 
+def comparison_report(spark: SparkSession, confirmed_us_path: str, deaths_us_path: str | None = None, k: int = 4) -> dict[str, DataFrame]:
+    """Places compared with each other, keyed by result name.
+
+    Reads wide files of any layout (``sources.uniform``) with the columns place, state, country, lat and lon.
+    With the deaths file's population, places are also cut into rural, mixed and urban thirds.
+    The typed wide table, the daily increments and the neighbours are stored when this is called.
+    """
+    wide = load_uniform(spark, confirmed_us_path)
+    ids = ["place", "state", "country", "lat", "lon"]
+    wide = write_scratch(wide.select(*ids, *[F.col(f"`{c}`") for c in wide.columns if "/" in c]), "compare-wide")
+    steps = write_scratch(wide_increments(wide, ids), "compare-steps")
+    near = write_scratch(nearest_places(wide, "place", "lat", "lon", k), "compare-near")
+    panel = wide_to_long(wide, ids)
+    growth = write_scratch(growth_factor(panel.select("country", "state", "place", "date", "value"), ["country", "state", "place"]), "compare-growth")
+    first = panel.where("value > 0").groupBy("place").agg(F.min("date").alias("date"))
+    high = spike_days(steps, "place", threshold=0.95)
+    flagged = steps.select("state", "place", "date").join(high.select("place", "date", F.lit(True).alias("high")), ["place", "date"], "left")
+    years = steps.agg(F.min(F.year("date")), F.max(F.year("date"))).first()
+    residuals = write_scratch(seasonal_residuals(steps, "place", value_col="increment", lat_col="lat"), "compare-residuals")
+    results = {
+        "nearest_places": near,
+        "first_against_neighbours": compare_with_neighbours(first, near),
+        "first_spike_against_neighbours": compare_with_neighbours(high, near),
+        "lagged_correlation": lagged_correlation(steps, near, value_col="increment"),
+        "holiday_spike_rates": holiday_spike_rates(flagged, holiday_calendar(spark, years[0] or 1900, years[1] or 1900), "state"),
+        "seasonal_spikes": residuals.where("spike"),
+        "season_spike_rates": season_spike_rates(residuals),
+        "spike_length_ranks": compare_spike_lengths(spike_lengths(steps, ["state", "place"]), ["state", "place"], "state"),
+        "growth_level_stats": growth_level_stats(growth, ["country", "state"]),
+        "growth_more_stats": growth_statistics(growth_moments(growth, "state")),
+    }
+    if deaths_us_path is not None:
+        people = load_uniform(spark, deaths_us_path, ["place", "population"])
+        classes = population_classes(people.groupBy("place").agg(F.max("population").alias("population")), "population", "population")
+        results["population_classes"] = classes
+        results["growth_by_class"] = growth_by_class(growth, classes, "place")
+    return results
+
+
 def write_report(results: dict[str, DataFrame], out_dir: str, mode: str = "errorifexists") -> None:
     """Store each result as a CSV folder with a header under ``out_dir``.
 
@@ -147,6 +210,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--confirmed-world", required=True)
     parser.add_argument("--countries", required=True, help="text file, one country name per line")
     parser.add_argument("--out", required=True)
+    parser.add_argument("--compare", action="store_true", help="also compare places with each other")
     args = parser.parse_args(argv)
     spark = build_session(app_name="epipanel-report")
     size_partitions_for(
@@ -160,6 +224,8 @@ def main(argv: list[str] | None = None) -> None:
         args.confirmed_world,
         _read_countries(spark, args.countries),
     )
+    if args.compare:
+        results |= comparison_report(spark, args.confirmed_us, args.deaths_us)
     write_report(results, args.out)
 
 

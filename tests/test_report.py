@@ -91,3 +91,38 @@ def test_report_command_line(spark):
     ])
     rel = spark.read.option("header", True).csv(f"{out}/relationship_countries")
     assert sorted(r.country for r in rel.collect()) == ["Japan", "US"]
+
+
+def test_summary_gives_what_the_observations_give(spark):
+    """Totals, ratios and first dates from one stored row a place."""
+    from epipanel.operators import accumulate, outcome_ratios
+    from epipanel.operators.occurrence import place_summary, ratios_of_summary, totals_of_summary
+    from pyspark.sql import functions as F
+
+    data = [
+        (d("1/22/20"), "Washington", "US", 1, 0, 0), (d("1/24/20"), "Washington", "US", 4, 1, 1), (d("1/21/20"), "Washington", "Elsewhere", 9, 9, 0),
+        (None, "Washington", "US", 7, 7, 7), (d("1/22/20"), None, "Japan", 2, 0, 0), (d("1/22/20"), "Tokyo", "Japan", 1, 1, None),
+        (d("1/23/20"), "New York", "US", 0, 0, 0), (d("1/25/20"), "New York", "US", 5, None, 1), (d("1/25/20"), "New York", "US", 3, 2, 1),
+    ]
+    obs = spark.createDataFrame(data, "obs_date date, state string, country string, confirmed bigint, deaths bigint, recovered bigint")
+    summary = place_summary(obs)
+    for entity, names, extra in (("country", ["US", "Japan"], {"tie_break": ["state"]}), ("state", ["Washington", "New York", "Tokyo"], {"first_where": F.col("country") == "US"})):
+        same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+        assert same(totals_of_summary(summary, entity, names), accumulate(obs, entity, names))
+        assert same(ratios_of_summary(summary, entity, names, **extra), outcome_ratios(obs, entity, names, **extra))
+    assert totals_of_summary(place_summary(obs.limit(0)), "country").collect() == []
+
+
+def test_comparison_report(spark):
+    from epipanel.plans.report import comparison_report
+
+    res = comparison_report(spark, put(spark, "cus3", CONFIRMED_US), put(spark, "dus3", DEATHS_US), k=1)
+    near = {r["place"]: r["neighbour"] for r in res["nearest_places"].collect()}
+    assert near["Maricopa, Arizona, US"] == "Pima, Arizona, US"
+    first = {r["place"]: r["days_after"] for r in res["first_against_neighbours"].collect()}
+    assert first["Maricopa, Arizona, US"] == -1 and first["Pima, Arizona, US"] == 1
+    assert {r["level"] for r in res["growth_level_stats"].collect()} == {"all", "country", "state"}
+    assert {r["class"] for r in res["growth_by_class"].collect()} <= {"rural", "mixed", "urban", None}
+    out = shared_scratch_path(spark, "compare-out")
+    write_report(res, out)
+    assert spark.read.option("header", True).csv(f"{out}/season_spike_rates").count() == 1
