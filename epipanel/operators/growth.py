@@ -148,7 +148,8 @@ def growth_daily_stats(
     buffer has a fixed size however many distinct deltas a group-date has.
     It equals the exact lower median whenever the sketch is exact (every
     group of up to several hundred places), and is within the sketch's rank
-    error beyond that.
+    error beyond that. ``median="none"`` leaves ``median_delta`` out: one
+    plain aggregation, enough for extremes of other statistics.
     """
     group_cols = as_list(group_cols)
     keys = [*group_cols, date_col]
@@ -161,8 +162,17 @@ def growth_daily_stats(
             F.min(delta).cast("double").alias("min_delta"),
             F.count(F.lit(1)).alias("n_entities"),
         )
+    if median == "none":
+        plain = growth.groupBy(*keys).agg(
+            F.sum(delta).alias("_sum"),
+            F.max(delta).cast("double").alias("max_delta"),
+            F.min(delta).cast("double").alias("min_delta"),
+            F.count(F.lit(1)).alias("n_entities"),
+        )
+        mean = (F.col("_sum") / F.col("n_entities")).cast("decimal(12,6)").cast("double")
+        return plain.select(*keys, mean.alias("avg_delta"), "max_delta", "min_delta", "n_entities")
     if median != "exact":
-        raise ValueError("median must be 'exact' or 'sketch'")
+        raise ValueError("median must be 'exact', 'sketch' or 'none'")
     hist = growth.groupBy(*keys, delta_col).agg(F.count(F.lit(1)).alias("_n"))
     return stats_from_histogram(hist, keys, delta_col)
 
@@ -336,6 +346,11 @@ def panel_snapshots(
     )
 
 
+def median_for(which: Sequence[str]) -> str:
+    """Whether the statistics need a median to find these extremes."""
+    return "exact" if any(_EXTREME_SPEC.get(name, ("median_delta",))[0] == "median_delta" for name in which) else "none"
+
+
 def growth_extreme_report(
     panel: DataFrame,
     group_cols: str | Sequence[str],
@@ -352,7 +367,7 @@ def growth_extreme_report(
     group_cols = as_list(group_cols)
     keys = group_cols + [c for c in as_list(entity_cols) if c not in group_cols]
     growth = growth_factor(panel, keys, date_col, value_col)
-    stats = growth_daily_stats(growth, group_cols)
+    stats = growth_daily_stats(growth, group_cols, median=median_for(which))
     extremes = growth_extremes(stats, group_cols, which=which)
     return panel_snapshots(panel, extremes, group_cols, entity_cols, date_col, value_col)
 

@@ -244,11 +244,12 @@ def wide_growth_extreme_report(
     The wide file is scanned twice (statistics, then snapshots) and never
     shuffled; only the small histogram and per-date tables move.
     """
-    from epipanel.operators.growth import EXTREMES, growth_daily_stats, growth_extremes
+    from epipanel.operators.growth import EXTREMES, growth_daily_stats, growth_extremes, median_for
 
     group_cols = as_list(group_cols)
     growth = wide_growth_factor(wide, id_cols, value_type)
-    extremes = growth_extremes(growth_daily_stats(growth, group_cols), group_cols, which=which or EXTREMES)
+    which = which or EXTREMES
+    extremes = growth_extremes(growth_daily_stats(growth, group_cols, median=median_for(which)), group_cols, which=which)
     return wide_snapshots(wide, extremes, id_cols, group_cols, value_type)
 
 

@@ -141,3 +141,15 @@ def test_sketch_median_matches_exact_on_small_groups(spark):
     assert [tuple(r) for r in sketch] == [tuple(r) for r in exact]
     with pytest.raises(ValueError):
         G.growth_daily_stats(growth, ["grp"], median="mean")
+
+
+def test_statistics_without_a_median(spark):
+    from epipanel.operators.growth import growth_daily_stats, median_for
+
+    assert [median_for(w) for w in (("max",), ("least_avg", "min"), ("max", "least_median"))] == ["none", "none", "exact"]
+    rows_ = [("g", f"p{i}", d("1/1/20"), Decimal(x)) for i, x in enumerate(("1.00", "0.01", "-3.33", "99.99", "0.02", "7.77", "0.00"))]
+    growth = spark.createDataFrame([*rows_, (None, "q", d("1/1/20"), Decimal("5.00"))], "grp string, place string, date date, delta decimal(8,2)")
+    whole = growth_daily_stats(growth, ["grp"]).drop("median_delta")
+    plain = growth_daily_stats(growth, ["grp"], median="none")
+    assert plain.columns == whole.columns
+    assert sorted(map(str, plain.collect())) == sorted(map(str, whole.collect()))
