@@ -30,6 +30,9 @@ LEAD_BYTES = 5000
 LEVEL = 12
 MIN_MARGIN = 1  # bytes by which the best language must beat the second
 MIN_SHARE = 0.07  # and of its own output size; at sf0.1 2 of 1,960 held-out texts have less, as unlearned languages and random letters do
+MARGIN_ROWS = 4000  # labelled rows, about, from which margin_share is taken
+LOST_SHARE = 0.005  # of these that the margin may reject
+LEAST_ROWS = 200  # with fewer MIN_SHARE holds
 MAX_LANGUAGES = 512  # dictionaries are sent to every task: 512 x 64 KiB at most
 UNKNOWN = "und"
 HAS_LETTER = r"\p{L}"
@@ -82,14 +85,15 @@ def predict_languages(
     docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text",
     level: int = LEVEL, min_margin: int = MIN_MARGIN, min_share: float = MIN_SHARE,
 ) -> DataFrame:
-    """``docs`` with ``__lang_pred, __lang_score, __lang_margin, __lang_rejected`` added.
+    """``docs`` with ``__lang_pred, __lang_score, __lang_margin, __lang_size, __lang_rejected`` added.
 
     * null text, or text without a letter: ``und``, score 0, rejected;
     * score: 2^-bytes shares of the languages' output sizes, so 1/2 for a
       tie of two; ties go to the language that sorts first, and are rejected;
     * margin: bytes by which the second language is larger (null with one language);
       less than ``min_margin``, or than ``min_share`` of the best size, is rejected;
-    * without dictionaries every row is ``und``; repeated rows are predicted alike.
+    * size: bytes of the best language (null where nothing was encoded);
+    * without dictionaries every row is ``und``; repeated rows are predicted alike; an empty table gives no rows.
     """
     langs = sorted(dictionaries)
     schema = docs.select(
@@ -97,6 +101,7 @@ def predict_languages(
         F.lit("").alias("__lang_pred"),
         F.lit(0.0).alias("__lang_score"),
         F.lit(None).cast("bigint").alias("__lang_margin"),
+        F.lit(None).cast("bigint").alias("__lang_size"),
         F.lit(True).alias("__lang_rejected"),
     ).schema
 
@@ -109,10 +114,10 @@ def predict_languages(
             leads.append(dictionaries[lang][:LEAD_BYTES])
             spent.append(len(coders[-1].compress(leads[-1])))
         for batch in few_rows(batches):
-            pred, score, margin, rejected = [], [], [], []
+            pred, score, margin, size, rejected = [], [], [], [], []
             for text in batch.column("__lang_bytes").to_pylist():
                 if text is None or not coders:
-                    pred.append(UNKNOWN), score.append(0.0), margin.append(None), rejected.append(True)
+                    pred.append(UNKNOWN), score.append(0.0), margin.append(None), size.append(None), rejected.append(True)
                     continue
                 sizes = [len(c.compress(lead + text)) - s for c, lead, s in zip(coders, leads, spent)]
                 best = min(sizes)
@@ -121,9 +126,10 @@ def predict_languages(
                 pred.append(langs[first])
                 score.append(1.0 / sum(2.0 ** max(best - s, -1000) for s in sizes))
                 margin.append(None if second is None else second - best)
+                size.append(best)
                 rejected.append(second is not None and second - best < max(min_margin, min_share * best))
             arrays = [*batch.drop_columns(["__lang_bytes"]).columns]
-            arrays += [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.int64()), pa.array(rejected, pa.bool_())]
+            arrays += [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.int64()), pa.array(size, pa.int64()), pa.array(rejected, pa.bool_())]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     text = col(text_col)
@@ -131,6 +137,28 @@ def predict_languages(
     return docs.select("*", encoded).mapInArrow(run, schema)
 
 
+def margin_share(
+    labelled: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", lang_col: str = "lang",
+    max_rows: int = MARGIN_ROWS, lost: float = LOST_SHARE, level: int = LEVEL,
+) -> float:
+    """The margin, as a share of the output size, that rejects at most ``lost`` of the
+    rightly predicted ones among ``labelled`` rows that the dictionaries have not seen;
+    never more than ``MIN_SHARE``.
+
+    Taken from about ``max_rows`` rows drawn by their texts' hash: the only rows that this threshold is
+    fitted on, and all the driver sees. Fewer than ``LEAST_ROWS`` of them: ``MIN_SHARE``.
+    """
+    rows = narrow(labelled, text=text_col, lang=lang_col).where(F.col("lang").isNotNull() & F.col("text").rlike(HAS_LETTER))
+    number = rows.count()
+    drawn = rows.where(F.pmod(F.xxhash64(F.lit("margin"), "text"), F.lit(max(1, number // max_rows))) == 0)
+    found = predict_languages(drawn, dictionaries, text_col="text", level=level).where("__lang_pred = lang AND __lang_margin IS NOT NULL")
+    found = found.select((F.col("__lang_margin") / F.greatest(F.col("__lang_size"), F.lit(1))).alias("share")).limit(4 * max_rows)
+    shares = sorted(r["share"] for r in found.collect())
+    if len(shares) < LEAST_ROWS:
+        return MIN_SHARE
+    return min(MIN_SHARE, shares[int(lost * len(shares))] * (1 - 1e-9))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_bucket(F.col("doc_id"), 5) == 0

@@ -19,3 +19,52 @@ def test_gibberish_and_an_unlearned_language_are_rejected(spark, docs):
     learned = learn_dictionaries(spark.read.parquet(f"{SF_DIR}/documents.parquet").where("lang <> 'fr'"))
     out = predict_languages(docs(rows), learned).collect()
     assert len(out) == 80 and sum(r["__lang_rejected"] for r in out) >= 76
+
+
+def test_the_margin_loses_few_clean_rows(spark):
+    """Set on rows not learned from, it rejects at most its share of them."""
+    import random
+
+    from epipanel.llm import langid
+
+    rng = random.Random(9)
+    letters = {"aa": "abcdefghij", "bb": "ghijklmnop", "cc": "mnopqrstuv"}
+    word = lambda lang: "".join(rng.choices(letters[lang], k=rng.randint(2, 8)))
+    rows = [(i, " ".join(word(lang) for _ in range(rng.randint(2, 60))), lang) for i in range(900) for lang in letters]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    learned = langid.learn_dictionaries(df.where("doc_id % 2 = 0"))
+    held = df.where("doc_id % 2 = 1")
+    share = langid.margin_share(held, learned, max_rows=2000)
+    assert 0 <= share <= langid.MIN_SHARE
+    found = langid.predict_languages(held, learned, min_share=share).where("__lang_pred = lang")
+    assert found.where("__lang_rejected AND __lang_margin > 0").count() <= 0.005 * found.count() + 1
+    assert langid.margin_share(held.limit(5), learned) == langid.MIN_SHARE
+    assert langid.margin_share(held.limit(0), {}) == langid.MIN_SHARE
+
+
+def test_prediction_is_the_smallest_output(spark, docs):
+    """Every text compressed with every dictionary in one process gives the same rows."""
+    import random
+
+    import zstandard
+
+    from epipanel.llm import langid
+
+    rng = random.Random(3)
+    text = lambda alphabet: " ".join("".join(rng.choices(alphabet, k=5)) for _ in range(rng.randint(1, 40)))
+    learned = {"x": text("abcdef").encode() * 9, "y": text("defghi").encode() * 9}
+    rows = [(i, text(rng.choice(["abcdef", "defghi", "xyz"]))) for i in range(60)] + [(100, None), (101, "12 !"), (102, "")]
+    got = {r["doc_id"]: r for r in langid.predict_languages(docs(rows), learned).collect()}
+    for ident, body in rows:
+        if not any(c.isalpha() for c in body or ""):
+            assert (got[ident]["__lang_pred"], got[ident]["__lang_rejected"]) == ("und", True)
+            continue
+        sizes = {}
+        for lang, content in learned.items():
+            coder = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False)
+            lead = content[: langid.LEAD_BYTES]
+            sizes[lang] = len(coder.compress(lead + f" {body} ".encode())) - len(coder.compress(lead))
+        best, second = sorted(sizes.values())
+        r = got[ident]
+        assert r["__lang_pred"] == min(sizes, key=lambda k: (sizes[k], k)) and r["__lang_margin"] == second - best and r["__lang_size"] == best
+        assert r["__lang_rejected"] == (second - best < max(1, langid.MIN_SHARE * best))
