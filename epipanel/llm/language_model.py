@@ -20,7 +20,9 @@ Nothing of the model is bounded, sampled or held in one place. Texts are cut
 into blocks of about ``BLOCK_TOKENS`` tokens and written once. Each block sends its
 distinct words, then its distinct bigrams, to shards by hash and gets one
 number back for each; how often texts share a word or a bigram therefore
-does not matter. A shard is a trie of its own, built and asked in one task. Contexts
+does not matter. What a block sends and keeps grows with its own words only: it
+has parts for the shards its words lie in, and no list of all shards. The shuffles
+have as many partitions as there are shards and blocks. A shard is a trie of its own, built and asked in one task. Contexts
 that make up over 1 / 65536 of the training tokens, of which there can be
 65536 at most, are dealt over several shards by their followers, in proportion
 to their count.
@@ -48,6 +50,7 @@ from epipanel.session import write_scratch
 BLOCK_TOKENS = 1 << 20
 SHARD_TOKENS = 1 << 20
 SHARDS_PER_TASK = 2  # evens out what hashing the shards to tasks does not
+BLOCKS_PER_TASK = 2
 HOT = 1 << 16
 MU = 200.0
 FOLLOWER_BITS = 40  # of a follower's hash; contexts of a shard have the other 24 bits
@@ -76,9 +79,15 @@ def unpack(data: bytes, n: int | None = None) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
-def shard_edges(shards: int) -> np.ndarray:
-    """The first hash of each shard."""
-    return np.array([s * 2**64 // shards for s in range(shards)], dtype=np.uint64)
+def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each hash (of at most 2**32); grows with the hash."""
+    return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
+def _stretches(shard: np.ndarray) -> list[tuple[int, int, int]]:
+    """(shard, start, end) of the stretches of a sorted array; only of shards that occur."""
+    first = np.flatnonzero(np.diff(shard, prepend=-1)).tolist()
+    return list(zip(shard[first].tolist(), first, [*first[1:], len(shard)]))
 
 
 def _quantise(p: np.ndarray) -> np.ndarray:
@@ -150,15 +159,12 @@ def _in_training(row: dict) -> np.ndarray:
 
 def _send_words(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = shard_edges(shards)
         for row in _rows(batches):
             vocab = unpack(row["vocab"])
             tokens = unpack(row["tokens"], row["n_tokens"]).astype(np.int64)
             counts = np.bincount(tokens[_in_training(row)], minlength=len(vocab))
-            bounds = [*np.searchsorted(vocab, edges).tolist(), len(vocab)]
-            for s, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                if a < b:
-                    yield _part(s, 0, row["block"], pack(vocab[a:b]), pack(counts[a:b]))
+            for s, a, b in _stretches(shard_of(vocab, shards)):
+                yield _part(s, 0, row["block"], pack(vocab[a:b]), pack(counts[a:b]))
 
     return run
 
@@ -192,32 +198,30 @@ class Bigrams:
 
     A bigram goes to the shard of its context's hash; that of a hot context
     to one of the ``spread`` shards from ``turn`` on, by its follower's hash.
-    The last entries of ``turn`` and ``spread`` are those of the start of a text."""
+    ``home`` is the shard of each word of the block. The last entries of ``turn`` and ``spread`` are those of the start of a text."""
 
     def __init__(
-        self, tokens: np.ndarray, lens: list[int], size: int, bounds: np.ndarray, hot: np.ndarray, turn: np.ndarray, spread: np.ndarray
+        self, tokens: np.ndarray, lens: list[int], home: np.ndarray, shards: int, hot: np.ndarray, turn: np.ndarray, spread: np.ndarray
     ) -> None:
-        self.size, shards = size, len(bounds) - 1  # size: words of the block; the start is context number size
+        size = len(home)  # words of the block; the start is context number size
         previous = np.empty_like(tokens)
         previous[1:] = tokens[:-1]
         previous[np.cumsum([0, *lens[:-1]])] = size
         distinct, self.place = np.unique(previous * (size + 1) + tokens, return_inverse=True)
         context, follower = distinct // (size + 1), distinct % (size + 1)
-        home = np.repeat(np.arange(shards), np.diff(bounds))
         first, over = np.append(home, 0), np.ones(size + 1, dtype=np.int64)
         hot = np.append(hot, size)
         first[hot], over[hot] = turn, spread
         shard = (first[context] + home[follower] * over[context] // shards) % shards
         self.order = np.argsort(shard, kind="stable")
         self.context, self.follower = context[self.order], follower[self.order]
-        self.bounds = np.searchsorted(shard[self.order], np.arange(shards + 1))
+        self.stretches = _stretches(shard[self.order])
 
     def slices(self) -> Iterator[tuple[int, slice, np.ndarray, np.ndarray]]:
         """(shard, its bigrams, its contexts, followers per context)."""
-        for s, (a, b) in enumerate(zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist())):
-            if a < b:
-                first = np.flatnonzero(np.diff(self.context[a:b], prepend=-1))
-                yield s, slice(a, b), self.context[a:b][first], np.diff([*first, b - a])
+        for s, a, b in self.stretches:
+            first = np.flatnonzero(np.diff(self.context[a:b], prepend=-1))
+            yield s, slice(a, b), self.context[a:b][first], np.diff([*first, b - a])
 
 
 def _send_bigrams(shards: int, hot_words: np.ndarray, hot_share: np.ndarray):
@@ -225,22 +229,21 @@ def _send_bigrams(shards: int, hot_words: np.ndarray, hot_share: np.ndarray):
     spreads = np.clip(np.ceil(4 * shards * hot_share), 1, shards).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = shard_edges(shards)
         for row in _rows(batches):
             vocab = unpack(row["vocab"])
             tokens = unpack(row["tokens"], row["n_tokens"]).astype(np.int64)
-            bounds = np.append(np.searchsorted(vocab, edges), len(vocab))
+            home = shard_of(vocab, shards)
             known = _lookup(hot_words, vocab)
             hot = np.flatnonzero(known >= 0)
             spread = spreads[np.append(known[hot], _lookup(hot_words, np.array([START])))]
             turn = np.append((vocab[hot] % np.uint64(shards)).astype(np.int64), 0)
-            bigrams = Bigrams(tokens, row["lens"], len(vocab), bounds, hot, turn, spread)
+            bigrams = Bigrams(tokens, row["lens"], home, shards, hot, turn, spread)
             counts = np.bincount(bigrams.place, weights=_in_training(row), minlength=len(bigrams.order))[bigrams.order]
             hashes = np.append(vocab, START)
             for s, part, contexts, followers in bigrams.slices():
                 follower = vocab[bigrams.follower[part]] >> np.uint64(64 - FOLLOWER_BITS)
                 yield _part(s, 0, row["block"], pack(hashes[contexts]), pack(followers), pack(follower), pack(counts[part]))
-            layout = (pack(bounds), pack(hot), pack(np.concatenate((turn, spread))), pack(np.array([len(bounds), len(hot)])))
+            layout = (pack(np.diff(home, prepend=0)), pack(hot), pack(np.concatenate((turn, spread))), pack(np.array([len(hot)])))
             yield _part(row["block"] % shards, 1, row["block"], *layout)
 
     return run
@@ -344,7 +347,7 @@ def _answer_bigrams(hot: np.ndarray, hot_totals: np.ndarray, mu: float):
 _SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-def _score(n: int, v: int):
+def _score(n: int, v: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             tokens = unpack(row["tokens"], row["n_tokens"]).astype(np.int64)
@@ -352,9 +355,9 @@ def _score(n: int, v: int):
             counts = np.concatenate(words).astype(np.float64)
             p1 = (counts + 1) / (n + v + 1)
             layout = next(p for p in row["answers"] if p["kind"])
-            n_bounds, n_hot = unpack(layout["d"], 2).tolist()
-            bounds, hot, dealt = (unpack(layout[c], k).astype(np.int64) for c, k in (("a", n_bounds), ("b", n_hot), ("c", 2 * n_hot + 2)))
-            bigrams = Bigrams(tokens, row["lens"], len(counts), bounds, hot, *np.split(dealt, 2))
+            n_hot = int(unpack(layout["d"], 1)[0])
+            home, hot, dealt = (unpack(layout[c], k).astype(np.int64) for c, k in (("a", len(counts)), ("b", n_hot), ("c", 2 * n_hot + 2)))
+            bigrams = Bigrams(tokens, row["lens"], np.cumsum(home), shards, hot, *np.split(dealt, 2))
             answers = {p["shard"]: p for p in row["answers"] if not p["kind"]}
             logp = np.empty(len(bigrams.order))
             for s, part, _, followers in bigrams.slices():
@@ -400,7 +403,7 @@ def score_texts(
         F.col("ident").cast("bigint").alias("ident"), F.coalesce("text", F.lit("")).cast("binary").alias("body"), "train"
     )
     blocks = write_scratch(rows.mapInArrow(_blocks(block_tokens), _BLOCK), "token-blocks")
-    sizes = blocks.agg(F.coalesce(F.sum("n_train"), F.lit(0)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+    sizes = blocks.agg(F.coalesce(F.sum("n_train"), F.lit(0)), F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count("*")).first()
     n, shards = int(sizes[0]), max(1, -(-int(sizes[1]) // shard_tokens))
 
     sent = blocks.select("block", "lens", "train", "n_tokens", "vocab", "tokens")
@@ -419,13 +422,14 @@ def score_texts(
     hot, hot_totals = hot[order], hot_totals[order]
 
     answers = by_shard(sent.mapInArrow(_send_bigrams(shards, hot, hot_totals / max(n, 1)), _PARTS)).mapInArrow(_answer_bigrams(hot, hot_totals, mu), _PARTS)
-    gather = lambda parts, name: parts.groupBy("block").agg(F.collect_list(F.struct("shard", "kind", "a", "b", "c", "d")).alias(name))
+    by_block = lambda parts: parts.repartition(max(1, -(-int(sizes[2]) // BLOCKS_PER_TASK)), "block")
+    gather = lambda parts, name: by_block(parts).groupBy("block").agg(F.collect_list(F.struct("shard", "kind", "a", "b", "c", "d")).alias(name))
     joined = (
-        blocks.select("block", "idents", "lens", "train", "n_tokens", "tokens")
+        by_block(blocks.select("block", "idents", "lens", "train", "n_tokens", "tokens"))
         .join(gather(words.where("kind = 0"), "words"), "block")
         .join(gather(answers, "answers"), "block")
     )
-    scores = joined.mapInArrow(_score(n, v), _SCORES)
+    scores = joined.mapInArrow(_score(n, v, shards), _SCORES)
     return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"), "base_score", "score")
 
 

@@ -112,3 +112,27 @@ def test_too_many_contexts_in_a_shard_raise(tmp_path, monkeypatch):
     context = np.arange(1, 40, dtype=np.uint64)
     with pytest.raises(ValueError):
         Trie.build(str(tmp_path), context, context, np.ones(39), context[:0], np.zeros(0), 1.0)
+
+
+def test_shards_are_ranges_of_the_hashes():
+    hashes = np.sort(np.random.default_rng(2).integers(0, 2**64, 10_000, dtype=np.uint64))
+    for shards in (1, 3, 1000, 2**31):
+        home = lm.shard_of(hashes, shards)
+        assert (np.diff(home) >= 0).all() and home[0] >= 0 and home[-1] < shards
+    assert np.bincount(lm.shard_of(hashes, 4), minlength=4).min() > 2300
+
+
+def test_a_block_sends_as_much_however_many_shards_there_are():
+    rng = np.random.default_rng(3)
+    tokens = rng.integers(0, 2**64, 300, dtype=np.uint64)[rng.integers(0, 300, 4000)]
+    row = lm._block(5, [tokens], [(1, 3000, True), (2, 1000, False)])
+    hot = np.array([lm.START], dtype=np.uint64)
+    sizes = []
+    for shards in (1000, 1_000_000, 1_000_000_000):
+        parts = [r for b in lm._send_bigrams(shards, hot, np.array([0.001]))(iter([row])) for r in lm._rows([b])]
+        words = [r for b in lm._send_words(shards)(iter([row])) for r in lm._rows([b])]
+        assert sum(len(unpack(r["a"])) for r in words) == len(np.unique(tokens)) and len(words) <= 300
+        asked = [r for r in parts if not r["kind"]]
+        assert len({r["shard"] for r in asked}) == len(asked) <= 4000
+        sizes.append(sum(len(r[c]) for r in parts if r["kind"] for c in "abcd"))
+    assert max(sizes) < 3000  # the layout: of the block's words, not of the shards
