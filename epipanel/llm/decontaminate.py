@@ -21,8 +21,10 @@
    from every ``SEED`` words, verified as in 4. Items of fewer than
    ``MIN_ITEM_WORDS`` words are looked up only whole.
 
-The benchmark is the query set: it is read in blocks of about ``BLOCK_ITEMS``
-items, each block against all documents. Nothing is shuffled but column counts and sketches.
+The benchmark is the query set: it is stored in files of at most ``BLOCK_ITEMS``
+items under the shared checkpoint folder, and never collected. One pass over the
+documents searches all of it: a task holds a chunk of documents against one file of
+items after the other. Nothing is shuffled but column counts, the sample and sketches.
 """
 
 from __future__ import annotations
@@ -31,14 +33,18 @@ import os
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epipanel.llm.common import col, fresh, narrow, table
 from epipanel.llm.words import PUNCTUATION, Words, groups, run_hashes, words_of
+from epipanel.session import shared_scratch_path
 
 TERMS = 1 << 15
 PASSAGE = 32
@@ -48,6 +54,9 @@ SKETCH_ROWS = 512  # columns of A in a block of the sketch
 STRIDE = 8
 SIZES = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256)  # window lengths, in strides; goes on like this
 BLOCK_ITEMS = 4096
+KEPT_BLOCKS = 4  # of items, held by a task; it reads more of them again for each chunk
+CHUNK_BYTES = 16 << 20  # of documents, held against all items
+SCORED_ITEMS = 256  # a matrix of cosines has so many rows
 MIN_COSINE = 0.55
 SAME, PARAPHRASE, ANSWER = 0.8, 0.65, 0.8
 MIN_ITEM_WORDS = 8  # a shorter item is found only verbatim
@@ -144,8 +153,11 @@ def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_index(bodies: DataFrame, seed: int = 11) -> np.ndarray | None:
     """The latent vector of each column: IDF-weighted V / sigma, of shape
     (TERMS + 1, RANK); its last row, that of no word, is zero. Its size does
-    not depend on the data. None for a corpus without words."""
-    counted = bodies.mapInArrow(_count, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    not depend on the data. None for a corpus without words.
+
+    It is fitted on the distinct rows whose hash (of all columns of ``bodies``) is small,
+    about ``FIT_DOCUMENTS`` of them, however the rows are dealt to tasks."""
+    counted = bodies.select("body").mapInArrow(_count, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(TERMS + 2, dtype=np.float64)
     for row in counted:
         counts[row["term"]] = row["n"]
@@ -154,8 +166,9 @@ def fit_index(bodies: DataFrame, seed: int = 11) -> np.ndarray | None:
     idf = np.zeros(TERMS + 1)
     idf[:TERMS] = np.log((counts[TERMS] + 1) / (counts[:TERMS] + 1))
     share = min(1.0, FIT_DOCUMENTS / counts[TERMS + 1])
-    sample = bodies.where((F.octet_length("body") > 0) & (F.rand(seed) < share)).repartition(FIT_TASKS)
-    parts = sample.mapInArrow(_sketch(idf, seed), "block int, part binary").repartition(FIT_TASKS, "block")
+    drawn = F.pmod(F.xxhash64(F.lit(seed), *bodies.columns), F.lit(1 << 40)) < int(share * (1 << 40))
+    sample = bodies.where((F.octet_length("body") > 0) & drawn).distinct().repartition(FIT_TASKS)
+    parts = sample.select("body").mapInArrow(_sketch(idf, seed), "block int, part binary").repartition(FIT_TASKS, "block")
     omega = _omega(seed)[:TERMS].astype(np.float64)
     sketch = np.zeros_like(omega)
     for row in parts.mapInArrow(_sum_blocks, "block int, part binary").collect():
@@ -210,6 +223,7 @@ class Items:
         self.starts = {k: (np.array(sorted(which), dtype=np.uint64), which) for k, which in starts.items()}
         self.seeds = np.array(sorted(seeds), dtype=np.uint64), seeds
         self.vectors = _unit(np.array(folded, dtype=np.float32).reshape(-1, vectors.shape[1]))
+        self.masks, self.answer_masks = [_masks(w) for w in self.words], [_masks(w) for w in self.answers]
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -270,14 +284,16 @@ def _candidates(
         mine = np.flatnonzero(sizes == size)
         sums_here = _wider(wider, int(size), last)
         norm = np.sqrt(np.einsum("ij,ij->i", sums_here, sums_here))
-        score = items.vectors[mine] @ sums_here.T
         bar = np.maximum(norm, 1e-6) * np.float32(min_cosine)
-        for k in np.flatnonzero((score >= bar).any(axis=1)):
-            hits = np.flatnonzero(score[k] >= bar)
-            cosine = score[k][hits] / norm[hits]
-            runs = np.flatnonzero((np.diff(hits, prepend=-2) > 1) | starts[hits])
-            for a, b in zip(runs, [*runs[1:], len(hits)]):
-                yield int(hits[a]), int(hits[b - 1]), int(mine[k]), float(cosine[a:b].max())
+        for at in range(0, len(mine), SCORED_ITEMS):
+            part = mine[at : at + SCORED_ITEMS]
+            score = items.vectors[part] @ sums_here.T
+            for k in np.flatnonzero((score >= bar).any(axis=1)):
+                hits = np.flatnonzero(score[k] >= bar)
+                cosine = score[k][hits] / norm[hits]
+                runs = np.flatnonzero((np.diff(hits, prepend=-2) > 1) | starts[hits])
+                for a, b in zip(runs, [*runs[1:], len(hits)]):
+                    yield int(hits[a]), int(hits[b - 1]), int(part[k]), float(cosine[a:b].max())
 
 
 def _runs(words: Words, length: int, keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -340,60 +356,93 @@ _FOUND = (
 )
 
 
-def _search(vectors: np.ndarray, rows: list[tuple], min_cosine: float):
+def _matches(words: Words, vectors: np.ndarray, items: Items, min_cosine: float) -> dict[tuple[int, int], tuple]:
+    """By text and item: share of the subsequence, cosine, first word, words and share of the answer, of the best window."""
+    terms = _terms(words)
+    stride_rows, first = _rows_of(words, terms, STRIDE)
+    best: dict[tuple[int, int], tuple] = {}
+    for text, item, place in _verbatim(words, items):
+        best[text, item] = (1.0, 1.0, place - int(words.bounds[text]), len(items.words[item]), 1.0)
+    for text, item, start, end in _seeded(words, items):
+        here, size = words.hashes[start:end].tolist(), len(items.words[item])
+        if sum(w in items.masks[item] for w in here) < PARAPHRASE * size:
+            continue
+        share = common_subsequence(items.masks[item], size, here) / size
+        answer = len(items.answers[item])
+        answer_share = common_subsequence(items.answer_masks[item], answer, here) / answer
+        if share >= SAME or (share >= PARAPHRASE and answer_share >= ANSWER):
+            window = _unit(vectors[terms[start:end]].sum(axis=0, keepdims=True))[0]
+            found = (share, float(window @ items.vectors[item]), start - int(words.bounds[text]), end - start, answer_share)
+            best[text, item] = max(best.get((text, item), (0,)), found)
+    for row, last_row, item, cosine in _candidates(stride_rows, first, vectors, items, min_cosine):
+        text = int(np.searchsorted(first, row, side="right")) - 1
+        size, begin = len(items.words[item]), int(words.bounds[text])
+        at_word = begin + (row - int(first[text])) * STRIDE
+        start = max(begin, at_word - size)
+        end = at_word + (last_row - row + items.sizes[item]) * STRIDE + size
+        end = min(int(words.bounds[text + 1]), end)
+        here = words.hashes[start:end].tolist()
+        for a, b, common in _pieces(size, items.masks[item], here):
+            share = common / size
+            if share < PARAPHRASE:
+                continue
+            answer = len(items.answers[item])
+            answer_share = common_subsequence(items.answer_masks[item], answer, here[a:b]) / answer
+            if share < SAME and answer_share < ANSWER:
+                continue
+            found = (share, cosine, start + a - begin, b - a, answer_share)
+            if found > best.get((text, item), (0,)):
+                best[text, item] = found
+    return best
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[list, list, Words]]]:
+    """Lists of (ids, text keys, words) of groups of texts, of about ``CHUNK_BYTES`` together."""
+    chunk, size = [], 0
+    for batch in batches:
+        idents, keys = batch.column("ident").to_pylist(), batch.column("text_key").to_pylist()
+        for at, group in groups(batch.column("body")):
+            chunk.append((idents[at : at + len(group)], keys[at : at + len(group)], _words(group)))
+            size += sum(map(len, group))
+            if size >= CHUNK_BYTES:
+                yield chunk
+                chunk, size = [], 0
+    if chunk:
+        yield chunk
+
+
+def _read_items(file: str) -> list[tuple]:
+    system, path = fs.FileSystem.from_uri(file)
+    stored = pq.read_table(path, filesystem=system, columns=["item", "text"])
+    return list(zip(stored["item"].to_pylist(), stored["text"].to_pylist()))
+
+
+def _search(vectors: np.ndarray, files: list[str], min_cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(rows, vectors)
-        masks, answer_masks = [_masks(w) for w in items.words], [_masks(w) for w in items.answers]
+        load = lru_cache(KEPT_BLOCKS)(lambda file: Items(_read_items(file), vectors))
         names = [c.split()[0] for c in _FOUND.split(", ")]
         kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.float64()] * 3
-        for batch in batches:
-            out: list[tuple] = []
-            idents, keys = batch.column("ident").to_pylist(), batch.column("text_key").to_pylist()
-            for at, group in groups(batch.column("body")) if items.ids else ():
-                words = _words(group)
-                terms = _terms(words)
-                stride_rows, first = _rows_of(words, terms, STRIDE)
-                best: dict[tuple[int, int], tuple] = {}
-                for text, item, place in _verbatim(words, items):
-                    best[text, item] = (1.0, 1.0, place - int(words.bounds[text]), len(items.words[item]), 1.0)
-                for text, item, start, end in _seeded(words, items):
-                    here, size = words.hashes[start:end].tolist(), len(items.words[item])
-                    if sum(w in masks[item] for w in here) < PARAPHRASE * size:
-                        continue
-                    share = common_subsequence(masks[item], size, here) / size
-                    answer = len(items.answers[item])
-                    answer_share = common_subsequence(answer_masks[item], answer, here) / answer
-                    if share >= SAME or (share >= PARAPHRASE and answer_share >= ANSWER):
-                        window = _unit(vectors[terms[start:end]].sum(axis=0, keepdims=True))[0]
-                        found = (share, float(window @ items.vectors[item]), start - int(words.bounds[text]), end - start, answer_share)
-                        best[text, item] = max(best.get((text, item), (0,)), found)
-                for row, last_row, item, cosine in _candidates(stride_rows, first, vectors, items, min_cosine):
-                    text = int(np.searchsorted(first, row, side="right")) - 1
-                    size, begin = len(items.words[item]), int(words.bounds[text])
-                    at_word = begin + (row - int(first[text])) * STRIDE
-                    start = max(begin, at_word - size)
-                    end = at_word + (last_row - row + items.sizes[item]) * STRIDE + size
-                    end = min(int(words.bounds[text + 1]), end)
-                    here = words.hashes[start:end].tolist()
-                    for a, b, common in _pieces(size, masks[item], here):
-                        share = common / size
-                        if share < PARAPHRASE:
-                            continue
-                        answer = len(items.answers[item])
-                        answer_share = common_subsequence(answer_masks[item], answer, here[a:b]) / answer
-                        if share < SAME and answer_share < ANSWER:
-                            continue
-                        found = (share, cosine, start + a - begin, b - a, answer_share)
-                        if found > best.get((text, item), (0,)):
-                            best[text, item] = found
-                for (text, item), (share, cosine, start, n, answer_share) in best.items():
-                    out.append((idents[at + text], keys[at + text], items.ids[item], start, n, cosine, share, answer_share))
-            columns = list(zip(*out)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        for chunk in _chunks(batches):
+            for file in files:
+                items = load(file)
+                out: list[tuple] = []
+                for idents, keys, words in chunk if items.ids else ():
+                    for (text, item), (share, cosine, start, n, answer_share) in _matches(words, vectors, items, min_cosine).items():
+                        out.append((idents[text], keys[text], items.ids[item], start, n, cosine, share, answer_share))
+                columns = list(zip(*out)) or [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return run
 
 
+def _stored(items: DataFrame, count: int) -> list[str]:
+    """The files of at most ``BLOCK_ITEMS`` rows that ``items`` is written to, a block of items each."""
+    path = shared_scratch_path(items.sparkSession, "benchmark")
+    dealt = items.repartition(-(-count // BLOCK_ITEMS))
+    dealt.write.option("maxRecordsPerFile", BLOCK_ITEMS).parquet(path)
+    return sorted(items.sparkSession.read.schema(items.schema).parquet(path).inputFiles())
+
+
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", min_cosine: float = MIN_COSINE,
@@ -406,23 +455,18 @@ def find_contamination(
     * empty documents or an empty benchmark give no rows; other columns are ignored;
     * ``text_key`` is ``xxhash64`` of the text, to tell rows of one id apart.
 
-    Counts and fits the index when called; the search is lazy.
+    Counts, fits the index and stores the benchmark when called; the search is lazy.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = narrow(docs, ident=id_col, text=text_col).select(
         F.col("ident").cast("bigint").alias("ident"), F.xxhash64(text).alias("text_key"), text.cast("binary").alias("body")
     )
     items = narrow(benchmark, item=item_col, text=item_text_col).select(F.col("item").cast("bigint").alias("item"), "text")
-    blocks = -(-items.count() // BLOCK_ITEMS)
-    vectors = fit_index(rows.select("body")) if blocks else None
+    count = items.count()
+    vectors = fit_index(rows.select("ident", "body")) if count else None
     if vectors is None:
         return rows.sparkSession.createDataFrame([], _FOUND)
-    found = None
-    for block in range(blocks):
-        chosen = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).orderBy("item", "text").collect()
-        part = rows.mapInArrow(_search(vectors, [tuple(r) for r in chosen], min_cosine), _FOUND)
-        found = part if found is None else found.unionAll(part)
-    return found
+    return rows.mapInArrow(_search(vectors, _stored(items, count), min_cosine), _FOUND)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
