@@ -217,10 +217,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_public(table(spark, sf_dir, "documents"))
 
 
-def pack_public(docs: DataFrame) -> DataFrame:
+def pack_public(docs: DataFrame, with_ids: bool = False) -> DataFrame:
     """With the public byte-level tokenizer of 50,257 ids."""
     import public_tokenizers
 
     return pack_documents(
-        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+        with_ids=with_ids,
     )
