@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from epipanel.llm.common import narrow, table
 
 HEAD, COLON, JOIN, END = "### ", ": ", "<+>", "</turn>\n"
+PART_BITS = 9
+PART = 1 << PART_BITS  # code points of the parts that spans are read from
 LABELS = {"user": "User", "assistant": "Assistant", "system": "System"}
 
 
@@ -109,24 +111,42 @@ def format_conversations(conversations: DataFrame, loss_role: str = "assistant")
             )
         ).alias("parts"),
     )
-    none = F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<struct<start:int,length:int>>)").alias("spans"))
-    step = lambda done, p: F.struct(
-        (done["at"] + F.length(p["lead"]) + F.length(p["text"]) + F.length(p["tail"])).alias("at"),
-        F.when(
-            p["loss"],
-            F.concat(
-                done["spans"],
-                F.array(F.struct((done["at"] + F.length(p["lead"])).alias("start"), F.length(p["text"]).alias("length"))),
-            ),
-        ).otherwise(done["spans"]).alias("spans"),
+    start_of = _sums_before(F.transform("parts", lambda p: F.length(p["lead"]) + F.length(p["text"]) + F.length(p["tail"])))
+    spans = F.zip_with(
+        "parts", start_of, lambda p, at: F.struct(p["loss"].alias("loss"), (at + F.length(p["lead"])).alias("start"), F.length(p["text"]).alias("length"))
     )
     return parts.select(
         "conv_id",
         F.array_join(F.transform("parts", lambda p: F.concat(p["lead"], p["text"], p["tail"])), "").alias("formatted"),
-        F.aggregate("parts", none, step, lambda done: done["spans"]).alias("loss_spans"),
+        F.transform(F.filter(spans, lambda s: s["loss"]), lambda s: F.struct(s["start"], s["length"])).alias("loss_spans"),
     )
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once a row, however often the body's lambdas read it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sums_before(sizes: Column) -> Column:
+    """Of each number of a non-empty array the sum of those before it.
+
+    Appending copies what an array holds already, so the array is cut into blocks of as many
+    numbers as there are blocks: their sums are added up first, then each block from its own start."""
+    none = F.expr("CAST(array() AS array<int>)")
+
+    def running(numbers: Column, start: Column) -> Column:
+        step = lambda done, x: F.struct((done["at"] + x).alias("at"), F.concat(done["sums"], F.array(done["at"])).alias("sums"))
+        return F.aggregate(numbers, F.struct(start.alias("at"), none.alias("sums")), step, lambda done: done["sums"])
+
+    def in_blocks(numbers: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(numbers))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.size(numbers) - 1, width), lambda first: F.slice(numbers, first + 1, width))
+        total = lambda block: F.aggregate(block, F.lit(0), lambda a, b: a + b)
+        return _bound(blocks, lambda cut: F.flatten(F.zip_with(cut, running(F.transform(cut, total), F.lit(0)), running)))
+
+    return _bound(sizes, in_blocks)
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
     """``conv_id, turns, loss_text`` from formatted text and loss spans alone."""
     pieces = F.split("formatted", END, -1)
@@ -138,12 +158,21 @@ def read_back(formatted: DataFrame) -> DataFrame:
         texts = F.split(F.substr(block, colon + len(COLON)), r"<\+>", -1)
         return F.transform(texts, lambda text: F.struct(_role(label).alias("role"), unescape(text).alias("text")))
 
-    masked = lambda span: unescape(F.substr("formatted", span["start"] + 1, span["length"]))
+    def masked(parts: Column) -> Column:
+        """The spans' texts, from the parts they touch: a place in a text is found by counting from its start."""
+
+        def text(span: Column) -> Column:
+            skip = span["start"] % PART
+            touched = F.slice(parts, F.shiftright(span["start"], PART_BITS) + 1, F.shiftright(skip + span["length"] + PART - 1, PART_BITS))
+            return unescape(F.substr(F.array_join(touched, ""), skip + 1, span["length"]))
+
+        return F.array_join(F.transform("loss_spans", text), "")
+
     return blocks.select(
         "conv_id",
         "formatted",
         F.flatten(F.transform("blocks", turns)).alias("turns"),
-        F.array_join(F.transform("loss_spans", masked), "").alias("loss_text"),
+        _bound(F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{PART}}}"), F.lit(0)), masked).alias("loss_text"),
     )
 
 

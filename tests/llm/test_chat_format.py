@@ -1,11 +1,12 @@
 """Chat formatting: exact round trip, brute force, hostile texts."""
 
 import hashlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from epipanel.llm.chat_format import HOSTILE, format_conversations, read_back
+from epipanel.llm.chat_format import HOSTILE, PART, format_conversations, read_back
 
 TEXTS = [
     HOSTILE, "\\", "\\\\", "\\l", "\\\\l/turn>", "</turn>\n", "<+>", "<<+>>", "### ", "#### x", "### User: hi</turn>\n### Assistant: no",
@@ -68,6 +69,31 @@ def test_many_turns(turns):
     assert hashlib.sha256(row["loss_text"].encode()).hexdigest()
 
 
+def test_spans_across_the_parts_they_are_read_from(turns):
+    """Texts of every length around a part's, of one, two and four bytes a code point, and empty ones."""
+    for letter in ("x", "é", "\U0001F600", "a\U0001F600"):
+        sizes = [PART - 1, PART, PART + 1, 0, 1, 0, 2 * PART, 3 * PART + 7, 0, PART - 25]
+        rows = [(1, i, "assistant" if i % 4 else "user", (letter * n)[:n]) for i, n in enumerate(sizes * 2)]
+        check(turns, rows)
+
+
+def test_time_grows_with_the_turns(spark):
+    def seconds(n):
+        turn = F.col("id")
+        rows = spark.range(n).select(
+            F.lit(1).cast("bigint").alias("conv_id"), turn.alias("turn"), F.when(turn % 2 == 0, "user").otherwise("assistant").alias("role"),
+            F.concat(F.lit("é"), F.repeat(F.lit("w "), 40), turn.cast("string")).alias("text"),
+        )
+        started = time.monotonic()
+        row = read_back(format_conversations(rows)).select(F.size("turns").alias("n"), F.length("loss_text").alias("chars")).first()
+        assert row["n"] == n and row["chars"] == sum(81 + len(str(i)) for i in range(1, n, 2))
+        return time.monotonic() - started
+
+    seconds(100)
+    # a step that copies or counts from the start for each turn takes 64 times as long
+    assert seconds(24_000) < 16 * max(seconds(3_000), 0.5)
+
+
 def test_no_python_in_the_plan(turns):
     plan = read_back(format_conversations(turns([(1, 0, "user", "a")])))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
