@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +45,23 @@ def crc_bucket(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; null ids count as
     the text ``null`` so that every row has a bucket."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")) % modulus
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow``, handing its memory back to the system when a task
+    ends: Spark keeps the Python worker for later stages, with all it has allocated."""
+
+    def wrapped(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+
+    return wrapped

@@ -42,7 +42,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epipanel.llm.common import col, fresh, narrow, table
+from epipanel.llm.common import col, fresh, narrow, table, tidy
 from epipanel.llm.words import PUNCTUATION, Words, groups, run_hashes, words_of
 from epipanel.session import shared_scratch_path
 
@@ -157,7 +157,7 @@ def fit_index(bodies: DataFrame, seed: int = 11) -> np.ndarray | None:
 
     It is fitted on the distinct rows whose hash (of all columns of ``bodies``) is small,
     about ``FIT_DOCUMENTS`` of them, however the rows are dealt to tasks."""
-    counted = bodies.select("body").mapInArrow(_count, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    counted = bodies.select("body").mapInArrow(tidy(_count), "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(TERMS + 2, dtype=np.float64)
     for row in counted:
         counts[row["term"]] = row["n"]
@@ -168,10 +168,10 @@ def fit_index(bodies: DataFrame, seed: int = 11) -> np.ndarray | None:
     share = min(1.0, FIT_DOCUMENTS / counts[TERMS + 1])
     drawn = F.pmod(F.xxhash64(F.lit(seed), *bodies.columns), F.lit(1 << 40)) < int(share * (1 << 40))
     sample = bodies.where((F.octet_length("body") > 0) & drawn).distinct().repartition(FIT_TASKS)
-    parts = sample.select("body").mapInArrow(_sketch(idf, seed), "block int, part binary").repartition(FIT_TASKS, "block")
+    parts = sample.select("body").mapInArrow(tidy(_sketch(idf, seed)), "block int, part binary").repartition(FIT_TASKS, "block")
     omega = _omega(seed)[:TERMS].astype(np.float64)
     sketch = np.zeros_like(omega)
-    for row in parts.mapInArrow(_sum_blocks, "block int, part binary").collect():
+    for row in parts.mapInArrow(tidy(_sum_blocks), "block int, part binary").collect():
         at = row["block"] * SKETCH_ROWS
         sketch[at : at + SKETCH_ROWS] = np.frombuffer(row["part"], dtype=np.float32).reshape(SKETCH_ROWS, -1)
     core = omega.T @ sketch
@@ -466,7 +466,7 @@ def find_contamination(
     vectors = fit_index(rows.select("ident", "body")) if count else None
     if vectors is None:
         return rows.sparkSession.createDataFrame([], _FOUND)
-    return rows.mapInArrow(_search(vectors, _stored(items, count), min_cosine), _FOUND)
+    return rows.mapInArrow(tidy(_search(vectors, _stored(items, count), min_cosine)), _FOUND)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

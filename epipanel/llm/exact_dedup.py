@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epipanel.llm.common import col, fresh, narrow, table
+from epipanel.llm.common import col, fresh, narrow, table, tidy
 from epipanel.llm.words import few_rows
 
 TRIE_BYTES = 96 * 1024 * 1024  # text bytes of one trie before it spills
@@ -225,9 +225,9 @@ def exact_owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     body = normalised(F.col("text"))
     texts = narrow(docs, ident=id_col, text=text_col).select(F.col("ident").cast("bigint").alias("ident"), body.alias("body"))
     keyed = texts.select("ident", F.unhex(F.sha2("body", 256)).alias("sha"), F.col("body").cast("binary").alias("body"))
-    local = keyed.mapInArrow(_fold(False, budget), _OWNER_SCHEMA)
+    local = keyed.mapInArrow(tidy(_fold(False, budget)), _OWNER_SCHEMA)
     dealt = local.repartition(F.octet_length("body"), F.xxhash64("body"))
-    owners = dealt.mapInArrow(_fold(True, budget), _OWNER_SCHEMA).select(
+    owners = dealt.mapInArrow(tidy(_fold(True, budget)), _OWNER_SCHEMA).select(
         "sha", F.col("ident").alias("keep_id"), F.col("n_rows").alias("group_size")
     )
     # rows that repeat both id and text are counted once here and dealt out again below

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epipanel.llm.common import col, crc_bucket, narrow, table
+from epipanel.llm.common import col, crc_bucket, narrow, table, tidy
 from epipanel.llm.words import few_rows
 
 DICT_BYTES = 64 * 1024
@@ -134,7 +134,7 @@ def predict_languages(
 
     text = col(text_col)
     encoded = F.when(text.rlike(HAS_LETTER), letters(text).cast("binary")).alias("__lang_bytes")
-    return docs.select("*", encoded).mapInArrow(run, schema)
+    return docs.select("*", encoded).mapInArrow(tidy(run), schema)
 
 
 def margin_share(

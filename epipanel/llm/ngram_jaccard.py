@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epipanel.llm.common import col, fresh, narrow, table
+from epipanel.llm.common import col, fresh, narrow, table, tidy
 from epipanel.llm.groups import connected_components, fixed_bytes, grouped
 from epipanel.llm.words import groups, shingle_sets, words_of
 from epipanel.session import write_scratch
@@ -259,7 +259,7 @@ def near_duplicates(
         F.col("ident").cast("bigint").alias("ident"), F.xxhash64(text).alias("text_key"), text.cast("binary").alias("body")
     )
     sketches = write_scratch(
-        rows.mapInArrow(_sketch(n_words), "ident bigint, text_key bigint, node binary, sig binary"), "sketches"
+        rows.mapInArrow(tidy(_sketch(n_words)), "ident bigint, text_key bigint, node binary, sig binary"), "sketches"
     )
     classes = write_scratch(
         sketches.where("node IS NOT NULL").groupBy("node", "sig").agg(F.min("ident").alias("ident"), F.count("*").alias("copies")), "classes"
@@ -279,7 +279,7 @@ def near_duplicates(
     in_blocks = with_sig.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
     pairs = write_scratch(
         in_blocks.mapInArrow(
-            _candidates(needed_matches(threshold, tolerance)), "bucket bigint, low int, high int, node binary, others array<binary>"
+            tidy(_candidates(needed_matches(threshold, tolerance))), "bucket bigint, low int, high int, node binary, others array<binary>"
         ),
         "pairs",
     )
@@ -288,13 +288,13 @@ def near_duplicates(
     wanted = involved.select("node").distinct().join(classes.select("node", "ident", "copies"), "node")
     ids = wanted.select(F.col("ident").alias("wanted_id")).distinct()
     texts = rows.join(ids, F.col("ident").eqNullSafe(F.col("wanted_id")), "left_semi").select("body")
-    sets = texts.mapInArrow(_shingles(n_words), "node binary, shingles binary")
+    sets = texts.mapInArrow(tidy(_shingles(n_words)), "node binary, shingles binary")
     sets = sets.join(wanted.select("node", "copies"), "node").dropDuplicates(["node"])
     none = lambda kind: F.lit(None).cast(kind)
     material = involved.join(sets, "node").select("bucket", "low", "high", "node", none("array<binary>").alias("others"), "shingles", "copies")
     questions = pairs.where("others IS NOT NULL").select("bucket", "low", "high", "node", "others", none("binary").alias("shingles"), none("bigint").alias("copies"))
     blocks = material.unionAll(questions).repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    verified = write_scratch(blocks.mapInArrow(_verify(threshold), "node binary, links bigint, root binary"), "links")
+    verified = write_scratch(blocks.mapInArrow(tidy(_verify(threshold)), "node binary, links bigint, root binary"), "links")
 
     components = connected_components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))

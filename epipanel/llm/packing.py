@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from epipanel.llm.common import narrow, table
+from epipanel.llm.common import narrow, table, tidy
 from epipanel.llm.words import few_rows
 from epipanel.session import write_scratch
 
@@ -199,7 +199,7 @@ def pack_documents(
         F.col("ident").cast("bigint").alias("ident"), F.coalesce("text", F.lit("")).alias("text")
     )
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids array<int>" if with_ids else "")
-    cut = rows.mapInArrow(_pieces(tokenizer_path, ranks_path, pattern, end_id, capacity, with_ids), schema)
+    cut = rows.mapInArrow(tidy(_pieces(tokenizer_path, ranks_path, pattern, end_id, capacity, with_ids)), schema)
     pieces = write_scratch(cut.withColumn("part", F.spark_partition_id()), "pieces")
 
     sizes = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
@@ -210,7 +210,7 @@ def pack_documents(
     within = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
     ranked = pieces.join(bases, ["length", "part"]).withColumn("rank", F.col("base") + F.row_number().over(within) - 1)
     ranked = ranked.select(*[c for c in pieces.columns if c != "part"], "rank")
-    return ranked.mapInArrow(_place(flows), schema + ", sequence_id bigint, offset bigint")
+    return ranked.mapInArrow(tidy(_place(flows)), schema + ", sequence_id bigint, offset bigint")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
