@@ -16,6 +16,7 @@ language, chosen by the hash of the text); prediction reads whole texts of all r
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -24,14 +25,16 @@ from pyspark.sql import functions as F
 
 from epipanel.llm.common import col, crc_bucket, narrow, table, tidy
 from epipanel.llm.words import few_rows
+from epipanel.operators.ranges import running_total
+from epipanel.session import write_scratch
 
 DICT_BYTES = 64 * 1024
 LEAD_BYTES = 5000
 LEVEL = 12
 MIN_MARGIN = 1  # bytes by which the best language must beat the second
 MIN_SHARE = 0.07  # and of its own output size; at sf0.1 2 of 1,960 held-out texts have less, as unlearned languages and random letters do
-MARGIN_ROWS = 4000  # labelled rows, about, from which margin_share is taken
-LOST_SHARE = 0.005  # of these that the margin may reject
+MARGIN_ROWS = 4000  # counts, at most, that margin_share adds up on the driver
+LOST_SHARE = 0.005  # of the rightly predicted rows that the margin may reject
 LEAST_ROWS = 200  # with fewer MIN_SHARE holds
 MAX_LANGUAGES = 512  # dictionaries are sent to every task: 512 x 64 KiB at most
 UNKNOWN = "und"
@@ -145,18 +148,28 @@ def margin_share(
     rightly predicted ones among ``labelled`` rows that the dictionaries have not seen;
     never more than ``MIN_SHARE``.
 
-    Taken from about ``max_rows`` rows drawn by their texts' hash: the only rows that this threshold is
-    fitted on, and all the driver sees. Fewer than ``LEAST_ROWS`` of them: ``MIN_SHARE``.
+    Every row with a language and a letter is predicted and counts, repeated ones each. The counts of
+    equal shares are added up on the driver if there are at most ``max_rows`` of them, otherwise
+    by ranges on the executors; the result is the same. Fewer than ``LEAST_ROWS`` rightly predicted rows: ``MIN_SHARE``.
     """
     rows = narrow(labelled, text=text_col, lang=lang_col).where(F.col("lang").isNotNull() & F.col("text").rlike(HAS_LETTER))
-    number = rows.count()
-    drawn = rows.where(F.pmod(F.xxhash64(F.lit("margin"), "text"), F.lit(max(1, number // max_rows))) == 0)
-    found = predict_languages(drawn, dictionaries, text_col="text", level=level).where("__lang_pred = lang AND __lang_margin IS NOT NULL")
-    found = found.select((F.col("__lang_margin") / F.greatest(F.col("__lang_size"), F.lit(1))).alias("share")).limit(4 * max_rows)
-    shares = sorted(r["share"] for r in found.collect())
-    if len(shares) < LEAST_ROWS:
+    found = predict_languages(rows, dictionaries, text_col="text", level=level).where("__lang_pred = lang AND __lang_margin IS NOT NULL")
+    share = F.col("__lang_margin") / F.greatest(F.col("__lang_size"), F.lit(1))
+    # among shares well over MIN_SHARE the order does not matter
+    counted = found.groupBy(F.least(share, F.lit(2 * MIN_SHARE)).alias("share")).agg(F.count("*").alias("rows"))
+    counted = write_scratch(counted, "margin-shares")
+    shares, number = counted.agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    if number < LEAST_ROWS:
         return MIN_SHARE
-    return min(MIN_SHARE, shares[int(lost * len(shares))] * (1 - 1e-9))
+    place = int(lost * number)
+    if shares <= max_rows:
+        ranked = sorted(counted.collect())
+        ends = accumulate(r["rows"] for r in ranked)
+        at = next(r["share"] for r, end in zip(ranked, ends) if end > place)
+    else:
+        ranked = running_total(counted, [F.col("share")], F.col("rows"))
+        at = ranked.where(F.col("before") <= place).agg(F.max("share")).first()[0]
+    return min(MIN_SHARE, at * (1 - 1e-9))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

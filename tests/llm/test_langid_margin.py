@@ -68,3 +68,27 @@ def test_prediction_is_the_smallest_output(spark, docs):
         r = got[ident]
         assert r["__lang_pred"] == min(sizes, key=lambda k: (sizes[k], k)) and r["__lang_margin"] == second - best and r["__lang_size"] == best
         assert r["__lang_rejected"] == (second - best < max(1, langid.MIN_SHARE * best))
+
+
+def test_the_margin_is_set_on_all_rows(spark):
+    """Every labelled row counts, however many counts the driver adds up."""
+    import random
+
+    from epipanel.llm import langid
+
+    rng = random.Random(4)
+    letters = {"aa": "abcdefghij", "bb": "ghijklmnop", "cc": "mnopqrstuv"}
+    words = {lang: ["".join(rng.choices(a, k=rng.randint(2, 8))) for _ in range(300)] for lang, a in letters.items()}
+    text = lambda lang, n, odd: " ".join(rng.choice(words[rng.choice([*letters]) if rng.random() < odd else lang]) for _ in range(n))
+    learned = {lang: text(lang, 3000, 0).encode() for lang in letters}
+    rows = [(i, text(lang, rng.randint(10, 40), 0.6), lang) for i in range(3000) for lang in letters]
+    rows += rows[:9] + [(1, None, "aa"), (2, "12 !", "bb"), (3, "abc", None)]
+    held = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = langid.predict_languages(held, learned).where("__lang_pred = lang").collect()
+    shares = sorted(r["__lang_margin"] / r["__lang_size"] for r in found)
+    at = lambda lost: shares[int(lost * len(shares))]
+    assert len(shares) > langid.MARGIN_ROWS and 0 < at(0.05) < at(0.1) < at(0.2) < langid.MIN_SHARE < at(0.9)
+    for lost in (0.05, 0.1, 0.2, 0.9):
+        want = min(langid.MIN_SHARE, at(lost) * (1 - 1e-9))
+        assert langid.margin_share(held, learned, lost=lost) == want
+        assert langid.margin_share(held, learned, lost=lost, max_rows=10) == want
